@@ -6,11 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from folioframe.llm.bpe import op9_bpe
 from folioframe.llm.oracle_quality import OP2
+from folioframe.llm.pii import op8_pii
 from folioframe.llm.quality_rules import op2_quality_rules
+from folioframe.llm.token_files import op10_token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_rules": op2_quality_rules,
+    "op8_pii": op8_pii,
+    "op9_bpe": op9_bpe,
+    "op10_token_files": op10_token_files,
 }
 
 ORACLES: dict[str, str] = {
