@@ -7,13 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from folioframe.llm.bpe import op9_bpe
+from folioframe.llm.near_dedup import op7_near_dedup
+from folioframe.llm.oracle_near import OP7
 from folioframe.llm.oracle_quality import OP2
 from folioframe.llm.pii import op8_pii
 from folioframe.llm.quality_rules import op2_quality_rules
 from folioframe.llm.token_files import op10_token_files
+from folioframe.llm.toxicity import op3_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_rules": op2_quality_rules,
+    "op3_toxicity": op3_toxicity,
+    "op7_near_dedup": op7_near_dedup,
     "op8_pii": op8_pii,
     "op9_bpe": op9_bpe,
     "op10_token_files": op10_token_files,
@@ -21,4 +26,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLES: dict[str, str] = {
     "op2_quality_rules": OP2,
+    "op7_near_dedup": OP7,
 }
