@@ -87,7 +87,7 @@ def signature(hashes: np.ndarray, multipliers: np.ndarray) -> np.ndarray:
 
 
 def signed(docs: DataFrame, size: int = SHINGLE, trees: int = TREES, depth: int = DEPTH) -> DataFrame:
-    """doc_id, n_shingles, cls (digest of the set, null if empty) and sig of each document."""
+    """doc_id, text_hash, n_shingles, cls (digest of the set, null if empty) and sig of each document."""
 
     def each(batches):
         multipliers = _multipliers(trees * depth)
@@ -98,9 +98,10 @@ def signed(docs: DataFrame, size: int = SHINGLE, trees: int = TREES, depth: int
                 sizes.append(len(s))
                 keys.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
                 sigs.append(signature(s, multipliers).tobytes() if len(s) else None)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(sigs, pa.binary())], names=["doc_id", "n_shingles", "cls", "sig"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(sigs, pa.binary())], names=["doc_id", "text_hash", "n_shingles", "cls", "sig"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(each, "doc_id bigint, n_shingles bigint, cls binary, sig binary")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_hash"))
+    return rows.mapInArrow(each, "doc_id bigint, text_hash bigint, n_shingles bigint, cls binary, sig binary")
 
 
 def _neighbours(tree: np.ndarray, keys: np.ndarray, label: np.ndarray, shallow: int, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -204,7 +205,7 @@ def sets_of(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
 
 
 def clusters(spark: SparkSession, docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, trees: int = TREES, depth: int = DEPTH, shallow: int = SHALLOW, width: int = WIDTH) -> DataFrame:
-    """doc_id, n_shingles and component_id, the smallest doc_id that links reach."""
+    """doc_id, text_hash, n_shingles, cls and component_id, the smallest doc_id that links reach, of each document."""
     own = written(spark, signed(docs, size, trees, depth), "signatures")
     classes = written(spark, own.where("cls IS NOT NULL").groupBy("cls").agg(F.min("doc_id").alias("doc_id"), F.first("sig").alias("sig")), "classes")
     found = written(spark, candidates(classes.withColumn("label", F.col("cls")), trees, depth, shallow, width), "candidates")
@@ -237,7 +238,7 @@ def clusters(spark: SparkSession, docs: DataFrame, size: int = SHINGLE, percent:
     linked = roots.select(F.col("b").alias("root")).distinct()
     of_root = least.join(linked, "root", "left_semi").groupBy("root").agg(F.min("doc_id").alias("component_id"))
     of_class = written(spark, least.join(of_root, "root", "left").select("cls", F.coalesce("component_id", "doc_id").alias("component_id")), "class-components")
-    return own.select("doc_id", "n_shingles", "cls").join(of_class, "cls", "left").select("doc_id", "n_shingles", "cls", F.coalesce("component_id", "doc_id").alias("component_id"))
+    return own.drop("sig").join(of_class, "cls", "left").select("doc_id", "text_hash", "n_shingles", "cls", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
 def _between(pairs: DataFrame, roots: DataFrame) -> DataFrame:
@@ -248,11 +249,17 @@ def _between(pairs: DataFrame, roots: DataFrame) -> DataFrame:
 
 
 def keep_one(spark: SparkSession, docs: DataFrame, **options) -> DataFrame:
-    """docs with one row of each component, the one with the smallest doc_id; of repeated rows one stays."""
-    found = clusters(spark, docs, **options).where(F.col("doc_id").eqNullSafe(F.col("component_id")) | F.col("cls").isNull())
-    chosen = written(spark, found.select(F.col("doc_id").alias("_id")).distinct(), "kept")
-    kept = docs.join(chosen, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")), "left_semi")
-    return kept.dropDuplicates(["doc_id"]) if "doc_id" in docs.columns else kept
+    """docs with one row of each component, that of the smallest doc_id, and all rows without words.
+
+    Of rows that share that doc_id, one stays: the one whose text has the lowest hash.
+    """
+    found = clusters(spark, docs, **options).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    first = found.where("cls IS NOT NULL").groupBy("component_id").agg(F.min("text_hash").alias("_hash")).withColumnRenamed("component_id", "_id")
+    first = written(spark, first, "kept")
+    keyed = docs.withColumns({"_key": F.col("doc_id").cast("long"), "_text_hash": F.xxhash64("text")})
+    words = F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    one = keyed.where(words).join(first, F.col("_key").eqNullSafe(F.col("_id")) & (F.col("_text_hash") == F.col("_hash")), "left_semi").dropDuplicates(["_key", "_text_hash"])
+    return one.unionByName(keyed.where(~words)).drop("_key", "_text_hash")
 
 
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

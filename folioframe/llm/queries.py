@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from folioframe.llm.bpe import op9_bpe
+from folioframe.llm.mixing import op6_mixing
 from folioframe.llm.near_dedup import op7_near_dedup
 from folioframe.llm.oracle_near import OP7
 from folioframe.llm.oracle_quality import OP2
@@ -18,6 +19,7 @@ from folioframe.llm.toxicity import op3_toxicity
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_rules": op2_quality_rules,
     "op3_toxicity": op3_toxicity,
+    "op6_mixing": op6_mixing,
     "op7_near_dedup": op7_near_dedup,
     "op8_pii": op8_pii,
     "op9_bpe": op9_bpe,
