@@ -60,6 +60,9 @@ def measure(docs: DataFrame) -> DataFrame:
     })
     t = t.drop("_t", "_w", "_l", "_n", "_g", "_p", "_s")
     ratio = lambda c, scale, by: F.when(F.col(by) > 0, F.expr(f"({scale} * {c}) div {by}")).otherwise(F.lit(0).cast("long"))
+    made = ["n_words", "word_chars", "n_symbols", "n_upper", "n_lines", "n_dup_lines", "n_repeat_words"]
+    # a generator keeps the optimizer from copying these expressions into filters that use them
+    t = t.select(*[f"`{c}`" for c in docs.columns], F.inline(F.array(F.struct(*made))))
     return t.withColumns({
         "base_failed": (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")),
         "symbol_pm": ratio("n_symbols", 1000, "word_chars"),
