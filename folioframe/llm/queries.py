@@ -14,9 +14,11 @@ from folioframe.llm.oracle_quality import OP2
 from folioframe.llm.pii import op8_pii
 from folioframe.llm.quality_rules import op2_quality_rules
 from folioframe.llm.token_files import op10_token_files
+from folioframe.llm.suffix_dedup import op1_suffix_dedup
 from folioframe.llm.toxicity import op3_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op2_quality_rules": op2_quality_rules,
     "op3_toxicity": op3_toxicity,
     "op6_mixing": op6_mixing,
