@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+from folioframe.plans import word_queries
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**word_queries.QUERIES}
+ORACLES: dict[str, str] = {**word_queries.ORACLES}
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The number of regions' nations; a stand-in until the first page query is there."""
-    return spark.read.parquet(f"{sf_dir}/nation.parquet").groupBy("n_regionkey").count()
+    """Lines of the pages' words."""
+    return QUERIES["words_to_lines"](spark, sf_dir)
