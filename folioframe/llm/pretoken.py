@@ -17,16 +17,28 @@ _BYTE_LATIN = re.compile(_CUT + r"| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|
 _WORD_LATIN = re.compile(_CUT + r"|[^\W\d_]+|\d|(?:[^\s\w]|_)+")
 
 
+def is_latin(text: str) -> bool:
+    """No character of the text is one that the two may treat differently."""
+    if text.isascii():
+        return not any(c in text for c in "\x1c\x1d\x1e\x1f")
+    return _OTHER.search(text) is None
+
+
 def byte_pieces(text: str, tokenizer: Tokenizer) -> list[str]:
     """Pieces of byte-level vocabularies; together they are the text."""
-    if _OTHER.search(text) is None:
+    if is_latin(text):
         return _BYTE_LATIN.findall(text)
     return [text[a:b] for _, (a, b) in tokenizer.pre_tokenizer.pre_tokenize_str(text)]
 
 
-def word_pieces(text: str, tokenizer: Tokenizer) -> list[str]:
-    """Lower-case pieces without white space."""
-    if _OTHER.search(text) is None:
-        return _WORD_LATIN.findall(text.lower())
+def words(text: str, tokenizer: Tokenizer) -> list[str]:
+    """Lower-case runs without white space, which pieces never reach beyond; beyond Latin letters, the pieces."""
+    if is_latin(text):
+        return text.lower().split()
     text = tokenizer.normalizer.normalize_str(text)
     return [text[a:b] for _, (a, b) in tokenizer.pre_tokenizer.pre_tokenize_str(text)]
+
+
+def count_pieces(word: str, tokenizer: Tokenizer) -> int:
+    """How many pieces a word has."""
+    return len(_WORD_LATIN.findall(word)) if is_latin(word) else len(tokenizer.pre_tokenizer.pre_tokenize_str(word))

@@ -33,14 +33,14 @@ from pyspark.sql.window import Window
 from tokenizers import Tokenizer
 
 from folioframe.llm.bpe import read_definition, vocabulary
-from folioframe.llm.pretoken import word_pieces
+from folioframe.llm.pretoken import count_pieces, words
 from folioframe.llm.shared import fresh_path, table, written
 
 MAGIC = b"FOLIOIDS"
 BLOCK = 65_536
 END_ID = 2
-#: A worker forgets its encoded pieces when it has so many.
-CACHE_PIECES = 400_000
+#: A worker forgets its encoded words when it has so many.
+CACHE_WORDS = 800_000
 _TAIL = struct.Struct("<IIQQQ8s")
 
 
@@ -139,7 +139,7 @@ class Reader:
 
 
 class WordEncoder:
-    """Ids by the tokenizers library; pieces seen before are remembered as the bytes of their ids."""
+    """Ids by the tokenizers library; words seen before are remembered as the bytes of their ids."""
 
     def __init__(self, definition: str):
         self.tokenizer = Tokenizer.from_str(definition)
@@ -153,25 +153,26 @@ class WordEncoder:
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _learn(self, pieces: list[str]) -> None:
-        """Encode new pieces in one call of the library; each ends with a token that ends a word."""
-        ids = np.array(self.tokenizer.encode(" ".join(pieces), add_special_tokens=False).ids, "<u4")
+    def _learn(self, new: list[str]) -> None:
+        """Encode new words in one call of the library; each of their pieces ends with a token that ends a word."""
+        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(new)], add_special_tokens=False)[0].ids, "<u4")
         ends = np.flatnonzero(self.ends[ids]) + 1
-        if len(ends) != len(pieces):
-            self.seen.update((p, self._whole(p)) for p in pieces)
+        last = np.cumsum([count_pieces(w, self.tokenizer) for w in new])
+        if len(ends) != last[-1]:
+            self.seen.update((w, self._whole(w)) for w in new)
             return
         data, at = ids.tobytes(), 0
-        for p, end in zip(pieces, (ends * 4).tolist(), strict=True):
-            self.seen[p] = data[at:end]
+        for w, end in zip(new, (ends[last - 1] * 4).tolist(), strict=True):
+            self.seen[w] = data[at:end]
             at = end
 
     def encode_batch(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
-        split: list[list[str] | None] = [None if t and any(s in t for s in self.special) else word_pieces(t, self.tokenizer) if t else [] for t in texts]
-        if len(self.seen) > CACHE_PIECES:
+        split = [None if t and any(s in t for s in self.special) else words(t, self.tokenizer) if t else [] for t in texts]
+        if len(self.seen) > CACHE_WORDS:
             self.seen.clear()
         seen = self.seen
-        new = list(dict.fromkeys(p for p in chain.from_iterable(x for x in split if x) if p not in seen))
+        new = list(set(chain.from_iterable(filter(None, split))).difference(seen))
         for k in range(0, len(new), 4096):
             self._learn(new[k : k + 4096])
         return [self._whole(t) if x is None else b"".join(map(seen.__getitem__, x)) for t, x in zip(texts, split, strict=True)]
