@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from folioframe.plans import word_queries
+from folioframe.plans import cell_queries, word_queries
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**word_queries.QUERIES}
-ORACLES: dict[str, str] = {**word_queries.ORACLES}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**word_queries.QUERIES, **cell_queries.QUERIES}
+ORACLES: dict[str, str] = {**word_queries.ORACLES, **cell_queries.ORACLES}
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -68,6 +68,17 @@ def parsed(c: Column, decimal: bool = False) -> Column:
     return F.filter(F.transform(number_tokens(c), lambda t: parse_number(t, decimal)), lambda v: v != "")
 
 
+def values_of(tokens: Column, decimal: bool = False) -> Column:
+    """Values of number tokens, in order."""
+    return F.filter(F.transform(tokens, lambda t: parse_number(t, decimal)), lambda v: v != "")
+
+
+def greatest_of(values: Column) -> Column:
+    """The value with the most whole digits, then the greatest, then the first; '' for none."""
+    ranked = F.transform(values, lambda v, i: F.struct(F.length(F.substring_index(v, ".", 1)).alias("n"), as_decimal(v).alias("d"), (-i).alias("i"), v.alias("v")))
+    return F.coalesce(F.array_max(ranked)["v"], F.lit(""))
+
+
 def bond_parsed(c: Column, decimal: bool = False) -> Column:
     return F.filter(F.transform(plain_tokens(bond_text(c)), lambda t: parse_bond_number(t, decimal)), lambda v: v != "")
 
@@ -97,8 +108,7 @@ def first_numeric(c: Column, decimal: bool = False, prefer_large: bool = False,
         values = F.filter(values, lambda v: as_decimal(v) <= most)
     if not prefer_large:
         return first_of(values)
-    ranked = F.transform(values, lambda v, i: F.struct(F.length(F.substring_index(v, ".", 1)).alias("n"), as_decimal(v).alias("d"), (-i).alias("i"), v.alias("v")))
-    return F.coalesce(F.array_max(ranked)["v"], F.lit(""))
+    return greatest_of(values)
 
 
 def _whole(c: Column) -> Column:
@@ -176,41 +186,54 @@ def only_small_extras(tokens: Column, selected: Column, most: int = 31) -> Colum
     return (F.size(tokens) > 1) & (selected != "") & _true(F.get(values, F.lit(0)) == selected) & (F.size(extras) > 0) & F.forall(extras, lambda v: _true(_whole(v) <= most))
 
 
-def column_sequence(values: Column) -> Column:
-    """struct(capital, shares, nominal) from whole numbers in order: the first two large ones and a nominal after them."""
-    kept = F.filter(values, lambda v: _true(_whole(v) > 30))
-    large = F.filter(kept, is_large)
-    second = F.array_position(kept, F.get(large, F.lit(1)))
-    after = F.slice(kept, F.greatest(second.cast("int") + 1, F.lit(1)), F.greatest(F.size(kept), F.lit(1)))
-    nominal = first_of(F.filter(after, lambda v: is_nominal(v) & ~is_large(v)))
-    found = F.size(large) >= 2
-    return F.struct(F.when(found, F.get(large, F.lit(0))).otherwise("").alias("capital"), F.when(found, F.get(large, F.lit(1))).otherwise("").alias("shares"), F.when(found, nominal).otherwise("").alias("nominal"))
+def over_thirty(values: Column) -> Column:
+    return F.filter(values, lambda v: _true(_whole(v) > 30))
 
 
-def _marked(values: Column, test) -> Column:
+def places(values: Column, test) -> Column:
     """Places (from 1) of the values that pass the test."""
     return F.filter(F.transform(values, lambda v, i: F.when(test(v), i + 1)), lambda p: p.isNotNull())
 
 
+def _if(found: Column, **fields: Column) -> Column:
+    return F.struct(*[F.when(found, c).otherwise("").alias(n) for n, c in fields.items()])
+
+
+def sequence_of(kept: Column, large: Column) -> Column:
+    """struct(capital, shares, nominal) of values over thirty and the large ones of them."""
+    second = F.array_position(kept, F.get(large, F.lit(1)))
+    after = F.slice(kept, F.greatest(F.coalesce(second.cast("int"), F.lit(0)) + 1, F.lit(1)), F.greatest(F.size(kept), F.lit(1)))
+    return _if(F.size(large) >= 2, capital=F.get(large, F.lit(0)), shares=F.get(large, F.lit(1)), nominal=first_of(F.filter(after, lambda v: is_nominal(v) & ~is_large(v))))
+
+
+def column_sequence(values: Column) -> Column:
+    """struct(capital, shares, nominal) from whole numbers in order: the first two large ones and a nominal after them."""
+    kept = over_thirty(values)
+    return sequence_of(kept, F.filter(kept, is_large))
+
+
+def row_pattern_of(values: Column, at: Column, suffix: Column, repaired: Column) -> Column:
+    """struct(capital, shares, nominal) of a row's values, the places of its amounts, the values after and nominals in them."""
+    nominal = first_of(F.filter(F.when(F.size(repaired) > 0, repaired).otherwise(suffix), lambda v: is_nominal(v) & ~is_identity_amount(v)))
+    return _if(F.size(at) >= 2, capital=F.get(values, F.get(at, F.lit(0)) - 1), shares=F.get(values, F.get(at, F.lit(1)) - 1), nominal=nominal)
+
+
 def raw_row_pattern(text: Column) -> Column:
     """struct(capital, shares, nominal) from a whole row: two amounts of 1000 and more and a nominal in the next four."""
-    values = F.filter(parsed(text), lambda v: _true(_whole(v) > 30))
-    places = _marked(values, is_identity_amount)
-    first, second = F.get(places, F.lit(0)), F.get(places, F.lit(1))
-    suffix = F.when(second.isNotNull(), F.slice(values, second + 1, F.lit(4))).otherwise(F.array().cast("array<string>"))
-    repaired = nominal_values(F.array_join(suffix, " "))
-    nominal = first_of(F.filter(F.when(F.size(repaired) > 0, repaired).otherwise(suffix), lambda v: is_nominal(v) & ~is_identity_amount(v)))
-    return F.struct(F.when(second.isNotNull(), F.get(values, first - 1)).otherwise("").alias("capital"), F.when(second.isNotNull(), F.get(values, second - 1)).otherwise("").alias("shares"), F.when(second.isNotNull(), nominal).otherwise("").alias("nominal"))
+    values = over_thirty(parsed(text))
+    at = places(values, is_identity_amount)
+    suffix = F.when(F.size(at) >= 2, F.slice(values, F.get(at, F.lit(1)) + 1, F.lit(4))).otherwise(F.array().cast("array<string>"))
+    return row_pattern_of(values, at, suffix, nominal_values(F.array_join(suffix, " ")))
 
 
 def identity_fallback(text: Column) -> Column:
     """struct(capital, shares, nominal) from a right page's row, small numbers before large ones left out."""
     values = identity_values(text)
     kept = F.filter(F.transform(values, lambda v, i: F.when(~(_true(_whole(v) <= 30) & is_large(F.coalesce(F.get(values, i + 1), F.lit("")))), v)), lambda v: v.isNotNull())
-    places = _marked(kept, is_large)
-    second = F.get(places, F.lit(1))
+    at = places(kept, is_large)
+    second = F.get(at, F.lit(1))
     after = F.when(second.isNotNull(), F.slice(kept, second + 1, F.greatest(F.size(kept), F.lit(1)))).otherwise(F.array().cast("array<string>"))
-    return F.struct(F.when(second.isNotNull(), F.get(kept, F.get(places, F.lit(0)) - 1)).otherwise("").alias("capital"), F.when(second.isNotNull(), F.get(kept, second - 1)).otherwise("").alias("shares"), F.when(second.isNotNull(), first_of(F.filter(after, is_nominal))).otherwise("").alias("nominal"))
+    return F.struct(F.when(second.isNotNull(), F.get(kept, F.get(at, F.lit(0)) - 1)).otherwise("").alias("capital"), F.when(second.isNotNull(), F.get(kept, second - 1)).otherwise("").alias("shares"), F.when(second.isNotNull(), first_of(F.filter(after, is_nominal))).otherwise("").alias("nominal"))
 
 
 def price_quantity(low: Column, high: Column) -> Column:
