@@ -160,18 +160,26 @@ def glued(c: Column) -> Column:
     return out
 
 
-def identity_values(c: Column) -> Column:
-    """Whole numbers of an identity cell; a row number and a nominal read as one count as the nominal."""
+def identity_pairs(tokens: Column) -> Column:
+    """For each token its value and, of tokens of two parts, the values of both ('' for others)."""
 
     def one(t: Column) -> Column:
-        t = F.btrim(ocr_text(t))
-        parts = F.split(t, r"\s+")
-        left, right = parse_number(F.get(parts, F.lit(0))), parse_number(F.coalesce(F.get(parts, F.lit(1)), F.lit("")))
-        marker = (F.size(parts) == 2) & _true(_whole(left) <= 30) & is_nominal(right) & ~is_large(right)
-        value = parse_number(t)
-        return F.when(marker & (value != ""), right).otherwise(value)
+        parts = F.split(F.btrim(ocr_text(t)), r"\s+")
+        part = lambda k: F.when(F.size(parts) == 2, parse_number(F.get(parts, F.lit(k)))).otherwise("")
+        return F.struct(parse_number(t).alias("value"), part(0).alias("left"), part(1).alias("right"))
+
+    return F.transform(tokens, one)
 
-    return F.filter(F.transform(number_tokens(c), one), lambda v: v != "")
+
+def values_of_pairs(pairs: Column) -> Column:
+    """Values of such tokens; a row number and a nominal read as one count as the nominal."""
+    pick = lambda p: F.when(_true(_whole(p["left"]) <= 30) & is_nominal(p["right"]) & ~is_large(p["right"]), p["right"]).otherwise(p["value"])
+    return F.filter(F.transform(F.filter(pairs, lambda p: p["value"] != ""), pick), lambda v: v != "")
+
+
+def identity_values(c: Column) -> Column:
+    """Whole numbers of an identity cell; a row number and a nominal read as one count as the nominal."""
+    return values_of_pairs(identity_pairs(number_tokens(c)))
 
 
 def nominal_values(c: Column) -> Column:
@@ -226,24 +234,36 @@ def raw_row_pattern(text: Column) -> Column:
     return row_pattern_of(values, at, suffix, nominal_values(F.array_join(suffix, " ")))
 
 
-def identity_fallback(text: Column) -> Column:
-    """struct(capital, shares, nominal) from a right page's row, small numbers before large ones left out."""
-    values = identity_values(text)
-    kept = F.filter(F.transform(values, lambda v, i: F.when(~(_true(_whole(v) <= 30) & is_large(F.coalesce(F.get(values, i + 1), F.lit("")))), v)), lambda v: v.isNotNull())
-    at = places(kept, is_large)
+def without_markers(values: Column) -> Column:
+    """values without small ones before large ones."""
+    return F.filter(F.transform(values, lambda v, i: F.when(~(_true(_whole(v) <= 30) & is_large(F.coalesce(F.get(values, i + 1), F.lit("")))), v)), lambda v: v.isNotNull())
+
+
+def fallback_of(kept: Column, at: Column) -> Column:
+    """struct(capital, shares, nominal) of values and the places of the large ones; null where there are none."""
     second = F.get(at, F.lit(1))
     after = F.when(second.isNotNull(), F.slice(kept, second + 1, F.greatest(F.size(kept), F.lit(1)))).otherwise(F.array().cast("array<string>"))
-    return F.struct(F.when(second.isNotNull(), F.get(kept, F.get(at, F.lit(0)) - 1)).otherwise("").alias("capital"), F.when(second.isNotNull(), F.get(kept, second - 1)).otherwise("").alias("shares"), F.when(second.isNotNull(), first_of(F.filter(after, is_nominal))).otherwise("").alias("nominal"))
+    return F.when(kept.isNotNull(), _if(second.isNotNull(), capital=F.get(kept, F.get(at, F.lit(0)) - 1), shares=F.get(kept, second - 1), nominal=first_of(F.filter(after, is_nominal))))
 
 
-def price_quantity(low: Column, high: Column) -> Column:
-    """struct(price, quantity) from the cells of the lowest and the highest price."""
-    values = F.filter(parsed(F.concat_ws(" ", text_of(low), text_of(high)), True), is_price)
+def identity_fallback(text: Column) -> Column:
+    """struct(capital, shares, nominal) from a right page's row, small numbers before large ones left out."""
+    kept = without_markers(identity_values(text))
+    return fallback_of(kept, places(kept, is_large))
+
+
+def price_pair(values: Column) -> Column:
+    """struct(price, quantity) of prices in order: the last is a quantity if it may be one and isn't the only one."""
     n = F.size(values)
     pair = (n >= 2) & is_quantity(last_of(values))
     return F.struct(F.when(pair, F.get(values, n - 2)).otherwise(last_of(values)).alias("price"), F.when(pair, last_of(values)).otherwise("").alias("quantity"))
 
 
+def price_quantity(low: Column, high: Column) -> Column:
+    """struct(price, quantity) from the cells of the lowest and the highest price."""
+    return price_pair(F.filter(parsed(F.concat_ws(" ", text_of(low), text_of(high)), True), is_price))
+
+
 def best_identity(field: str, text: Column) -> Column:
     """The value of a strip read for one identity field; too much text beside several values makes it unsafe."""
     values, letters = parsed(text), letter_count(text)
