@@ -6,12 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from folioframe.plans import cell_queries, word_queries
+from folioframe.plans import cell_queries, page_queries, word_queries
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**word_queries.QUERIES, **cell_queries.QUERIES}
-ORACLES: dict[str, str] = {**word_queries.ORACLES, **cell_queries.ORACLES}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**word_queries.QUERIES, **cell_queries.QUERIES, **page_queries.QUERIES}
+ORACLES: dict[str, str] = {**word_queries.ORACLES, **cell_queries.ORACLES, **page_queries.ORACLES}
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines of the pages' words."""
-    return QUERIES["words_to_lines"](spark, sf_dir)
+    """How often each flag is on the cleaned rows."""
+    return QUERIES["flag_histogram"](spark, sf_dir)
