@@ -151,6 +151,14 @@ def occurrences(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text_hash", "text", "places").mapInArrow(each, "name binary, doc_id bigint, text_hash bigint, start bigint")
 
 
+def _stable_order(ranks: np.ndarray) -> np.ndarray:
+    """Stable order of ranks under 2^32, in passes of 16 bits."""
+    order = np.argsort((ranks & 0xFFFF).astype(np.uint16), kind="stable")
+    if ranks.size and ranks.max() >> 16:
+        order = order[np.argsort((ranks[order] >> 16).astype(np.uint16), kind="stable")]
+    return order
+
+
 class Shard:
     """The transform of some segments: for suffixes in sorted order, the symbol before each.
 
@@ -172,14 +180,14 @@ class Shard:
         h = gram_hashes(data, STEP)
         symbols[: len(h)] = h | np.uint64(1)
         symbols[left < STEP] = 0
-        rounds = LENGTH // STEP
-        columns = []
-        for k in range(rounds - 1, -1, -1):  # the last symbol is the least important
-            column = np.zeros(n, np.uint64)
-            column[: n - k * STEP] = symbols[k * STEP :]
+        _, ranks = np.unique(symbols, return_inverse=True)  # 0 where there's no whole symbol
+        order = None
+        for k in range(LENGTH // STEP - 1, -1, -1):  # the last symbol is the least important
+            column = np.zeros(n, ranks.dtype)
+            column[: n - k * STEP] = ranks[k * STEP :]
             column[left <= k * STEP] = 0
-            columns.append(column)
-        self.order = np.lexsort(columns)
+            order = _stable_order(column) if order is None else order[_stable_order(column[order])]
+        self.order = order
         self.ends = int((left < STEP).sum())
         before = np.zeros(n, np.uint64)
         before[STEP:] = symbols[:-STEP]
@@ -187,14 +195,6 @@ class Shard:
         self.before = before[self.order]
 
 
-def _stable_order(ranks: np.ndarray) -> np.ndarray:
-    """Stable order of ranks under 2^32, in passes of 16 bits."""
-    order = np.argsort((ranks & 0xFFFF).astype(np.uint16), kind="stable")
-    if ranks.size and ranks.max() >> 16:
-        order = order[np.argsort((ranks[order] >> 16).astype(np.uint16), kind="stable")]
-    return order
-
-
 def merge(shards: list[Shard]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Interleave (shard of each suffix in merged order), block (runs that share LENGTH bytes) and common prefix.
 
