@@ -2,14 +2,15 @@
 
 A document's set holds the 64-bit hashes of its distinct 4-word shingles. Documents with equal sets form a class. A
 class has TREES signatures of DEPTH minimum hashes each; sorting the classes by each signature gives the forest's
-trees. In a sorted order the classes that agree with one on the longest prefix stand next to it: its WIDTH neighbours
-on either side are candidates if they agree on SHALLOW values at least. A sparse region is thereby searched down to
-SHALLOW values, a crowded one only as deep as neighbours agree. Orders are dealt by ranges of signature and class, so a
-crowded region spreads over tasks.
-
-Candidates whose whole signatures estimate a similarity far below the threshold go; the others are confirmed on the
-full sets, at first the best candidate of each class, then those still between different components. Then, as long as
-that finds links, the classes of crowded regions look in every order for their nearest neighbours of other components.
+trees. In a sorted order the classes that agree with one on the longest prefix stand next to it: neighbours that agree
+on SHALLOW values at least are candidates. A sparse region is thereby searched down to SHALLOW values, a crowded one
+only as deep as neighbours agree. Orders are dealt by ranges of signature and class, so a crowded region spreads over
+tasks.
+
+A first pass takes the next neighbour in FIRST_TREES trees. Candidates whose whole signatures estimate a similarity far
+below the threshold go; the others are confirmed on the full sets, at first the best candidate of each class, then
+those still between different components. Further passes over all trees take the WIDTH nearest neighbours of other
+components on either side, until one confirms no link; after the first of them they look at classes with candidates.
 A pair at 0.8 stays unseen in all trees with a chance of 3e-8.
 
 Edge cases: a null or empty text, or one of white space, has an empty set and no links; fewer words than a shingle
@@ -34,6 +35,8 @@ from folioframe.llm.shared import table, written
 SHINGLE = 4
 PERCENT = 80
 TREES, DEPTH, SHALLOW, WIDTH = 24, 6, 3, 3
+#: Trees of the first pass, which joins most of what belongs together.
+FIRST_TREES = 8
 #: Candidates with a lower estimate are dropped: six standard errors under the threshold.
 LEAST_ESTIMATE = 0.6
 #: A worker forgets its words' hashes when it has so many.
@@ -104,8 +107,8 @@ def signed(docs: DataFrame, size: int = SHINGLE, trees: int = TREES, depth: int
     return rows.mapInArrow(each, "doc_id bigint, text_hash bigint, n_shingles bigint, cls binary, sig binary")
 
 
-def _neighbours(tree: np.ndarray, keys: np.ndarray, label: np.ndarray, shallow: int, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Places of candidate pairs in a sorted order, and whether each place is in a crowded region."""
+def _neighbours(tree: np.ndarray, keys: np.ndarray, label: np.ndarray, shallow: int, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places of candidate pairs in a sorted order."""
     n = len(tree)
     agree = lambda i, j: (tree[i] == tree[j]) & (keys[i, :shallow] == keys[j, :shallow]).all(1)
     at = np.arange(n)
@@ -113,26 +116,23 @@ def _neighbours(tree: np.ndarray, keys: np.ndarray, label: np.ndarray, shallow:
     following = np.append(change, n)[np.searchsorted(change, at, side="right")]  # first place after i of another label
     preceding = np.concatenate([[-1], change - 1])[np.searchsorted(change, at, side="right")]  # last place before i of another label
     left, right = [], []
+    before_run, after_run = following - at <= width, at - preceding <= width  # far inside a run others are nearer
     for o in range(width):
         j = following + o
-        ok = np.flatnonzero(j < n)
+        ok = np.flatnonzero(before_run & (j < n))
         ok = ok[agree(ok, j[ok]) & (label[ok] != label[j[ok]])]
         left.append(ok)
         right.append(j[ok])
         j = preceding - o
-        ok = np.flatnonzero(j >= 0)
+        ok = np.flatnonzero(after_run & (j >= 0))
         ok = ok[agree(ok, j[ok]) & (label[ok] != label[j[ok]])]
         left.append(j[ok])
         right.append(ok)
-    crowded = np.zeros(n, bool)
-    i = np.arange(max(0, n - width - 1))
-    for k in i[agree(i, i + width + 1)] if len(i) else ():
-        crowded[k : k + width + 2] = True
-    return np.concatenate(left), np.concatenate(right), crowded
+    return np.concatenate(left), np.concatenate(right)
 
 
 def candidates(classes: DataFrame, trees: int, depth: int, shallow: int, width: int) -> DataFrame:
-    """a, b (classes, a < b) of neighbours with different labels; b is null where a is in a crowded region."""
+    """a, b (classes, a < b) of neighbours with different labels in the first trees."""
     step = 2 * depth
     keyed = F.transform(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: F.struct(t.alias("tree"), F.substring(F.col("sig"), t * step + 1, F.lit(step)).alias("key")))
     rows = classes.select("cls", "label", F.explode(keyed).alias("x")).select("x.tree", "x.key", "cls", "label")
@@ -145,9 +145,9 @@ def candidates(classes: DataFrame, trees: int, depth: int, shallow: int, width:
         cls = np.array(whole.column(2).to_pylist(), object)
         _, label = np.unique(np.frombuffer(b"".join(whole.column(3).to_pylist()), "S16"), return_inverse=True)
         keys = np.frombuffer(b"".join(whole.column(1).to_pylist()), ">u2").reshape(-1, depth)
-        left, right, crowded = _neighbours(whole.column(0).to_numpy(), keys, label, shallow, width)
+        left, right = _neighbours(whole.column(0).to_numpy(), keys, label, shallow, width)
         pairs = {(x, y) if x < y else (y, x) for x, y in zip(cls[left], cls[right], strict=True)}
-        out = [(a, b) for a, b in pairs] + [(c, None) for c in set(cls[crowded])]
+        out = list(pairs)
         for k in range(0, len(out), 50_000):
             part = out[k : k + 50_000]
             yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in part], pa.binary()), pa.array([x[1] for x in part], pa.binary())], names=["a", "b"])
@@ -208,11 +208,9 @@ def clusters(spark: SparkSession, docs: DataFrame, size: int = SHINGLE, percent:
     """doc_id, text_hash, n_shingles, cls and component_id, the smallest doc_id that links reach, of each document."""
     own = written(spark, signed(docs, size, trees, depth), "signatures")
     classes = written(spark, own.where("cls IS NOT NULL").groupBy("cls").agg(F.min("doc_id").alias("doc_id"), F.first("sig").alias("sig")), "classes")
-    found = written(spark, candidates(classes.withColumn("label", F.col("cls")), trees, depth, shallow, width), "candidates")
-    pairs = written(spark, estimated(found.where("b IS NOT NULL"), classes), "pairs")
-    crowd = written(spark, found.where("b IS NULL").select(F.col("a").alias("cls")).join(classes, "cls"), "crowd")
-    ends = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).union(crowd.select("cls")).distinct()
-    sets = written(spark, sets_of(docs, classes.join(ends, "cls", "left_semi"), size), "sets")
+    ends = lambda p: p.select(F.col("a").alias("cls")).union(p.select("b")).distinct()
+    pairs = written(spark, estimated(candidates(classes.withColumn("label", F.col("cls")), min(trees, FIRST_TREES), depth, shallow, 1), classes), "pairs")
+    sets = written(spark, sets_of(docs, classes.join(ends(pairs), "cls", "left_semi"), size), "sets")
 
     # the best candidate of each class first: mostly enough to join what belongs together
     sides = pairs.select("a", "b", "estimate", F.col("a").alias("of")).union(pairs.select("a", "b", "estimate", F.col("b").alias("of")))
@@ -221,15 +219,17 @@ def clusters(spark: SparkSession, docs: DataFrame, size: int = SHINGLE, percent:
     roots = components(spark, links)
     rest = written(spark, _between(pairs.select("a", "b").join(best, ["a", "b"], "left_anti"), roots).select("a", "b"), "tried")
     more = written(spark, confirmed(rest, sets, percent), "links")
-    links, tried, new = links.union(more), best.union(rest), more.count()
-    roots = components(spark, links) if new else roots
-    has_crowd = crowd.limit(1).count()
-    while has_crowd:
-        labelled = crowd.join(roots.select(F.col("a").alias("cls"), "b"), "cls", "left").withColumn("label", F.coalesce("b", "cls")).drop("b")
-        near = candidates(labelled, trees, depth, shallow, width).where("b IS NOT NULL").join(tried, ["a", "b"], "left_anti")
-        near = written(spark, estimated(near, classes).select("a", "b"), "tried")
+    links, tried, pool = links.union(more), best.union(rest), classes
+    roots = components(spark, links) if more.count() else roots
+    while True:
+        labelled = pool.join(roots.select(F.col("a").alias("cls"), "b"), "cls", "left").withColumn("label", F.coalesce("b", "cls")).drop("b")
+        near = written(spark, estimated(candidates(labelled, trees, depth, shallow, width).join(tried, ["a", "b"], "left_anti"), classes).select("a", "b"), "tried")
+        pool = written(spark, classes.join(ends(near), "cls", "left_semi"), "pool")
+        if not near.limit(1).count():
+            break
+        sets = sets.union(written(spark, sets_of(docs, pool.join(sets, "cls", "left_anti"), size), "sets"))
         more = written(spark, confirmed(near, sets, percent), "links")
-        if not more.count():
+        if not more.limit(1).count():
             break
         links, tried = links.union(more), tried.union(near)
         roots = components(spark, links)
