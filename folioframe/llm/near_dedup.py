@@ -9,9 +9,12 @@ tasks.
 
 A first pass takes the next neighbour in FIRST_TREES trees. Candidates whose whole signatures estimate a similarity far
 below the threshold go; the others are confirmed on the full sets, at first the best candidate of each class, then
-those still between different components. Further passes over all trees take the WIDTH nearest neighbours of other
-components on either side, until one confirms no link; after the first of them they look at classes with candidates.
-A pair at 0.8 stays unseen in all trees with a chance of 3e-8.
+those still between different components. After it the search is exhaustive: in every region (tree and prefix of SHALLOW
+values) with classes of several components, all pairs between components are estimated, in tasks of at most BLOCK
+members a side. First each task gives a spanning forest of its components, until that confirms no link; then all pairs
+are given, and confirmed from the highest estimates down unless links have joined their components by then. So a pair at
+0.8 stays unseen only if no tree agrees on SHALLOW values (a chance of 3e-8) or its estimate is too low by six standard
+errors. Where many components agree on a prefix and no link joins them, the work grows with the square of their number.
 
 Edge cases: a null or empty text, or one of white space, has an empty set and no links; fewer words than a shingle
 make one shingle; repeated rows have equal sets and so are linked, each with its own row; a null doc_id is in a class
@@ -34,11 +37,17 @@ from folioframe.llm.shared import table, written
 
 SHINGLE = 4
 PERCENT = 80
-TREES, DEPTH, SHALLOW, WIDTH = 24, 6, 3, 3
+TREES, DEPTH, SHALLOW = 24, 6, 3
 #: Trees of the first pass, which joins most of what belongs together.
 FIRST_TREES = 8
 #: Candidates with a lower estimate are dropped: six standard errors under the threshold.
 LEAST_ESTIMATE = 0.6
+#: Lower ends of the ranges of estimates that are confirmed one after another.
+BANDS = (0.8, 0.7, 0.0)
+#: A region's members are dealt in blocks of about so many, each pair of blocks a task of its own.
+BLOCK = 512
+#: Pairs of a task that are estimated at once.
+PAIRS_AT_ONCE = 50_000
 #: A worker forgets its words' hashes when it has so many.
 CACHE_WORDS = 1_000_000
 
@@ -155,6 +164,93 @@ def candidates(classes: DataFrame, trees: int, depth: int, shallow: int, width:
     return rows.mapInArrow(each, "a binary, b binary").distinct()
 
 
+def regions(classes: DataFrame, trees: int, depth: int, shallow: int) -> DataFrame:
+    """tree, region (hash of tree and prefix) and cls of the regions with classes (columns cls, label, sig) of several labels."""
+    step = 2 * depth
+    at = F.transform(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: F.struct(t.alias("tree"), F.xxhash64(t, F.substring(F.col("sig"), t * step + 1, F.lit(2 * shallow))).alias("region")))
+    rows = classes.select("cls", F.xxhash64("label").alias("lab"), F.explode(at).alias("x")).select("x.tree", "x.region", "cls", "lab")
+    several = rows.groupBy("region").agg(F.min("lab").alias("low"), F.max("lab").alias("high")).where("low < high").select("region")
+    return rows.select("tree", "region", "cls").join(several, "region", "left_semi").select("tree", "region", "cls")
+
+
+def _forest(found: dict, edges: list) -> dict:
+    """The edges (estimate, a, b, label of a, label of b) of a maximum spanning forest of labels, among those found and more."""
+    parent: dict = {}
+
+    def root(x):
+        while (y := parent.setdefault(x, x)) != x:
+            parent[x] = x = parent[y]
+        return x
+
+    kept = {}
+    for e in sorted({*found, *edges}, reverse=True):
+        x, y = root(e[3]), root(e[4])
+        if x != y:
+            parent[x] = y
+            kept[e] = None
+    return kept
+
+
+def between(spark: SparkSession, mixed: DataFrame, classes: DataFrame, percent: int, depth: int, shallow: int, forest: bool, block: int = BLOCK) -> DataFrame:
+    """a, b (a < b) and estimate of all pairs of a common region (mixed: tree, region, cls) with different labels whose
+    estimate reaches the least, each once; with forest, of a spanning forest of the labels in each task.
+
+    In a region the label with most classes is dealt in blocks, and so are the other classes together: a task gets a
+    block of either, or two blocks of the others.
+    """
+    at = written(spark, mixed.join(classes.select("cls", F.xxhash64("label").alias("lab")), "cls").select("tree", "region", "cls", "lab"), "regions")
+    sizes = at.groupBy("region", "lab").agg(F.count("*").alias("n")).groupBy("region").agg(F.max(F.struct("n", "lab")).alias("top"), F.sum("n").alias("all"), F.count("*").alias("labels")).where("labels > 1")
+    blocks = lambda n: F.ceil(n / block).cast("int")
+    sizes = sizes.select("region", F.col("top.lab").alias("main"), "labels", blocks(F.col("top.n")).alias("k"), blocks(F.col("all") - F.col("top.n")).alias("q"))
+    rows = at.join(sizes, "region").withColumn("is_main", F.col("lab") == F.col("main"))
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("cls", F.lit(1)), F.when(F.col("is_main"), F.col("k")).otherwise(F.col("q"))).cast("int"))
+    cell = lambda kind, i, j: F.struct(F.lit(kind).alias("kind"), i.alias("i"), j.alias("j"))
+    own, upto = F.col("own"), lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    others = F.when(F.col("labels") > 2, F.transform(upto("q"), lambda j: cell(1, F.least(own, j), F.greatest(own, j)))).otherwise(F.array().cast("array<struct<kind:int,i:int,j:int>>"))
+    cells = F.when(F.col("is_main"), F.transform(upto("q"), lambda j: cell(0, own, j))).otherwise(F.concat(F.transform(upto("k"), lambda i: cell(0, i, own)), others))
+    rows = rows.select("tree", "region", "cls", "lab", "is_main", "own", F.explode(cells).alias("x")).select("region", "x.*", "tree", "cls", "lab", "is_main", "own")
+    task = ["region", "kind", "i", "j"]
+    rows = rows.join(classes.select("cls", "n", "sig"), "cls").select(*task, "tree", "cls", "lab", "is_main", "own", "n", "sig").repartition(*task).sortWithinPartitions(*task)
+
+    def each(batches):
+        whole = pa.Table.from_batches(batches) if (batches := list(batches)) else None
+        if whole is None or not whole.num_rows:
+            return
+        region, kind, i, j, tree, lab, main, own, n = (whole.column(c).to_numpy() for c in ("region", "kind", "i", "j", "tree", "lab", "is_main", "own", "n"))
+        cls = np.array(whole.column("cls").to_pylist(), object)
+        sig = np.frombuffer(b"".join(whole.column("sig").to_pylist()), ">u2").astype(np.uint16).reshape(len(cls), -1)
+        starts = np.flatnonzero((np.diff(region) != 0) | (np.diff(kind) != 0) | (np.diff(i) != 0) | (np.diff(j) != 0)) + 1
+        after = np.append(starts, len(cls))[np.searchsorted(starts, np.arange(len(cls)), side="right")] - np.arange(len(cls)) - 1  # partners behind each row
+        upto, kept, begin = np.cumsum(after), {}, 0
+        while begin < len(cls):
+            done = upto[begin] - after[begin]
+            end = max(begin + 1, int(np.searchsorted(upto, done + PAIRS_AT_ONCE, side="right")))
+            x = np.repeat(np.arange(begin, end), after[begin:end])
+            y = x + 1 + np.arange(len(x)) - np.repeat(upto[begin:end] - after[begin:end] - done, after[begin:end])
+            begin = end
+            ok = (lab[x] != lab[y]) & np.where(kind[x] == 0, main[x] != main[y], (own[x] != own[y]) | (i[x] == j[x]))
+            ok &= 100 * np.minimum(n[x], n[y]) >= percent * np.maximum(n[x], n[y])
+            x, y = x[ok], y[ok]
+            same = sig[x] == sig[y]
+            estimate = same.mean(1)
+            regions_of = same.reshape(len(x), sig.shape[1] // depth, depth)[:, :, :shallow].all(2)
+            ok = (estimate >= LEAST_ESTIMATE) & regions_of.any(1) & (regions_of.argmax(1) == tree[x])  # in the first tree that has both in a region
+            x, y, estimate = x[ok], y[ok], estimate[ok]
+            edges = [(e, a, b, p, q) if a < b else (e, b, a, q, p) for e, a, b, p, q in zip(estimate.tolist(), cls[x], cls[y], lab[x].tolist(), lab[y].tolist(), strict=True)]
+            if forest:
+                kept = _forest(kept, edges) if edges else kept
+            elif edges:
+                yield _edges(edges)
+        if kept:
+            yield _edges(list(kept))
+
+    return rows.mapInArrow(each, "a binary, b binary, estimate double")
+
+
+def _edges(edges: list) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([e[1] for e in edges], pa.binary()), pa.array([e[2] for e in edges], pa.binary()), pa.array([e[0] for e in edges], pa.float64())], names=["a", "b", "estimate"])
+
+
 def _both(pairs: DataFrame, values: DataFrame, name: str) -> DataFrame:
     """pairs with the value of a (<name>_a) and of b (<name>_b)."""
     of = lambda side: values.select(F.col("cls").alias(side), F.col(name).alias(f"{name}_{side}"))
@@ -204,10 +300,10 @@ def sets_of(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     return found.join(wanted.select("cls"), "cls", "left_semi").dropDuplicates(["cls"])
 
 
-def clusters(spark: SparkSession, docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, trees: int = TREES, depth: int = DEPTH, shallow: int = SHALLOW, width: int = WIDTH) -> DataFrame:
+def clusters(spark: SparkSession, docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, trees: int = TREES, depth: int = DEPTH, shallow: int = SHALLOW) -> DataFrame:
     """doc_id, text_hash, n_shingles, cls and component_id, the smallest doc_id that links reach, of each document."""
     own = written(spark, signed(docs, size, trees, depth), "signatures")
-    classes = written(spark, own.where("cls IS NOT NULL").groupBy("cls").agg(F.min("doc_id").alias("doc_id"), F.first("sig").alias("sig")), "classes")
+    classes = written(spark, own.where("cls IS NOT NULL").groupBy("cls").agg(F.min("doc_id").alias("doc_id"), F.first("sig").alias("sig"), F.first("n_shingles").alias("n")), "classes")
     ends = lambda p: p.select(F.col("a").alias("cls")).union(p.select("b")).distinct()
     pairs = written(spark, estimated(candidates(classes.withColumn("label", F.col("cls")), min(trees, FIRST_TREES), depth, shallow, 1), classes), "pairs")
     sets = written(spark, sets_of(docs, classes.join(ends(pairs), "cls", "left_semi"), size), "sets")
@@ -219,20 +315,36 @@ def clusters(spark: SparkSession, docs: DataFrame, size: int = SHINGLE, percent:
     roots = components(spark, links)
     rest = written(spark, _between(pairs.select("a", "b").join(best, ["a", "b"], "left_anti"), roots).select("a", "b"), "tried")
     more = written(spark, confirmed(rest, sets, percent), "links")
-    links, tried, pool = links.union(more), best.union(rest), classes
-    roots = components(spark, links) if more.count() else roots
-    while True:
-        labelled = pool.join(roots.select(F.col("a").alias("cls"), "b"), "cls", "left").withColumn("label", F.coalesce("b", "cls")).drop("b")
-        near = written(spark, estimated(candidates(labelled, trees, depth, shallow, width).join(tried, ["a", "b"], "left_anti"), classes).select("a", "b"), "tried")
-        pool = written(spark, classes.join(ends(near), "cls", "left_semi"), "pool")
-        if not near.limit(1).count():
-            break
-        sets = sets.union(written(spark, sets_of(docs, pool.join(sets, "cls", "left_anti"), size), "sets"))
-        more = written(spark, confirmed(near, sets, percent), "links")
+    links, tried = links.union(more), best.union(rest)
+    roots = components(spark, links) if more.limit(1).count() else roots
+
+    def labelled():
+        return classes.join(roots.select(F.col("a").alias("cls"), "b"), "cls", "left").withColumn("label", F.coalesce("b", "cls")).drop("b")
+
+    def joined(near):
+        """Confirm pairs; whether there are links among them."""
+        nonlocal sets, links, roots
+        sets = sets.union(written(spark, sets_of(docs, classes.join(ends(near), "cls", "left_semi").join(sets, "cls", "left_anti"), size), "sets"))
+        more = written(spark, confirmed(near.select("a", "b"), sets, percent), "links")
         if not more.limit(1).count():
-            break
-        links, tried = links.union(more), tried.union(near)
+            return False
+        links = links.union(more)
         roots = components(spark, links)
+        return True
+
+    mixed = written(spark, regions(labelled(), trees, depth, shallow), "mixed")
+    while True:
+        found = written(spark, between(spark, mixed, labelled(), percent, depth, shallow, True), "forest")
+        near = written(spark, found.select("a", "b").distinct().join(tried, ["a", "b"], "left_anti"), "tried")
+        tried = tried.union(near)
+        if not near.limit(1).count() or not joined(near):
+            break
+    if found.limit(1).count():  # else no pair is left
+        found = written(spark, between(spark, mixed, labelled(), percent, depth, shallow, False).join(tried, ["a", "b"], "left_anti"), "between")
+        for low, high in zip(BANDS, (2.0, *BANDS), strict=False):
+            near = written(spark, _between(found.where(f"estimate >= {low} AND estimate < {high}"), roots).select("a", "b"), "tried")
+            if near.limit(1).count():
+                joined(near)
 
     least = classes.join(roots.select(F.col("a").alias("cls"), "b"), "cls", "left").select("cls", "doc_id", F.coalesce("b", "cls").alias("root"))
     linked = roots.select(F.col("b").alias("root")).distinct()

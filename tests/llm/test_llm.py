@@ -106,6 +106,35 @@ def test_near_duplicates_equal_sql(spark, texts, tmp_path, empty):
     assert near_dedup.clusters(spark, empty).count() == 0
 
 
+def near_components(texts, percent=80):
+    sets = [set(near_dedup.shingles(t).tolist()) for t in texts]
+    of = list(range(len(texts)))
+    for a in range(len(texts)):
+        for b in range(a):
+            same = len(sets[a] & sets[b])
+            if of[a] != of[b] and 100 * same >= percent * (len(sets[a]) + len(sets[b]) - same):
+                low, high = sorted((of[a], of[b]))
+                of = [low if x == high else x for x in of]
+    return of
+
+
+def test_near_duplicates_in_a_crowded_region_by_brute_force(spark, monkeypatch):
+    random.seed(8)
+    base = [f"w{k}" for k in range(300)]
+    noisy = []
+    for d in range(240):
+        words = list(base)
+        for k in random.sample(range(300), 6):
+            words[k] = f"x{d}-{k}"
+        noisy.append(" ".join(words))
+    want = near_components(noisy)
+    assert 1 < len(set(want)) < len(noisy)
+    docs = frame(spark, noisy)
+    for block in (near_dedup.BLOCK, 16):
+        monkeypatch.setattr(near_dedup.between, "__defaults__", (block,))
+        assert {r.doc_id: r.component_id for r in near_dedup.clusters(spark, docs).collect()} == dict(enumerate(want)), block
+
+
 def test_toxicity_learns_and_scores(spark, empty):
     random.seed(1)
     words = ["sun", "tree", "river", "house", "stone"]
