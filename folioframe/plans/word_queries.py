@@ -202,8 +202,7 @@ def monotone_snap(spark: SparkSession, d: str) -> DataFrame:
 
 @query(None)
 def merged_rules(spark: SparkSession, d: str) -> DataFrame:
-    w = words(spark, d).where("line_num <= 3")
-    return w.groupBy("page").agg(F.collect_list("left_").alias("x")).select("page", F.array_join(W.merged_close(F.col("x")), ",").alias("rules"))
+    return words(spark, d).groupBy("page").agg(F.collect_list("left_").alias("x")).select("page", F.array_join(W.merged_close(F.col("x")), ",").alias("rules"))
 
 
 _ANCHORS = "an AS (SELECT page, list(t ORDER BY t) AS tops FROM (SELECT DISTINCT page, top AS t FROM v_words WHERE word_num = 1 AND line_num <= 40) GROUP BY page)"
@@ -211,7 +210,7 @@ _ANCHORS = "an AS (SELECT page, list(t ORDER BY t) AS tops FROM (SELECT DISTINCT
 
 @query(None)
 def nearest_anchor(spark: SparkSession, d: str) -> DataFrame:
-    w = words(spark, d).where("line_num <= 40")
+    w = words(spark, d)
     tops = w.where("word_num = 1").groupBy("page").agg(F.array_sort(F.collect_set("top")).alias("tops"))
     at = w.join(tops, "page").withColumn("anchor", W.nearest_anchor(F.col("tops"), F.col("top")).cast("long"))
     return at.groupBy("page", "anchor").agg(F.count("*").alias("n_words"))
@@ -222,7 +221,7 @@ ORACLES["nearest_anchor"] = f"WITH {WORDS},\n{_ANCHORS}\nSELECT page, anchor, co
 
 @query(None)
 def asof_anchor(spark: SparkSession, d: str) -> DataFrame:
-    w = words(spark, d).where("line_num <= 40")
+    w = words(spark, d)
     tops = w.where("word_num = 1").groupBy("page").agg(F.array_sort(F.collect_set("top")).alias("tops"))
     at = w.join(tops, "page").withColumn("anchor", W.asof_anchor(F.col("tops"), F.col("top"), 6).cast("long"))
     return at.groupBy("page", "anchor").agg(F.count("*").alias("n_words"))
@@ -235,7 +234,7 @@ ORACLES["asof_anchor"] = f"WITH {WORDS},\n{_ANCHORS}\nSELECT page, anchor, count
   JOIN v_words w ON w.page = r.page AND w.bottom >= r.band_top - floor(pad) AND w.top <= r.band_bottom + floor(pad) GROUP BY r.page, r.line_num""")
 def strip_band_join(spark: SparkSession, d: str) -> DataFrame:
     w = words(spark, d)
-    rows = w.where("line_num <= 10").groupBy("page", F.col("line_num").alias("row")).agg(F.min("top").alias("band_top"), F.max("bottom").alias("band_bottom"))
+    rows = w.groupBy("page", F.col("line_num").alias("row")).agg(F.min("top").alias("band_top"), F.max("bottom").alias("band_bottom"))
     pad = F.greatest(F.lit(3), F.floor((F.col("band_bottom") - F.col("band_top")) * 0.25))
     return W.band_words(w, rows, pad).groupBy("r.page", "r.row").agg(F.count("*").alias("n_words"))
 

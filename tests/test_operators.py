@@ -6,9 +6,10 @@ from folioframe.functions.text import clean_cell
 from folioframe.operators import review as R
 from folioframe.operators import words as W
 from folioframe.operators.sections import backup_merged, fuzzy_sections
-from folioframe.plans import equity
+from folioframe.plans import equity, word_queries
 from folioframe.sources import csv, vision
 from folioframe.sources.tsv import parse_tsv
+from folioframe.sources.views import words
 
 WORD = "page long, line_num int, word_num int, block_num int, psm string, text string, left_ int, right_ int, top int, bottom int, conf int"
 
@@ -106,3 +107,35 @@ def test_last_correction_wins(spark):
 
 def test_clean_cell(spark):
     assert spark.range(1).select(clean_cell(F.lit(" {a}\n[b] | c "))).first()[0] == "a b c"
+
+
+def test_page_queries_read_every_line(spark, tmp_path):
+    rng = np.random.default_rng(11)
+    lines = lambda n: "\n".join(" ".join("x" * int(rng.integers(1, 9)) for _ in range(int(rng.integers(1, 7)))) for _ in range(n))
+    spark.createDataFrame([(1, lines(57)), (2, lines(12)), (3, lines(2))], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = words(spark, str(tmp_path)).collect()
+    nearest, asof, bands, merged = {}, {}, {}, {}
+    for page in (1, 2, 3):
+        mine = [w for w in found if w.page == page]
+        tops = sorted({w.top for w in mine if w.word_num == 1})
+        for w in mine:
+            at = min(range(len(tops)), key=lambda i: (abs(tops[i] - w.top), i))
+            nearest[page, at] = nearest.get((page, at), 0) + 1
+            at = max([i for i, t in enumerate(tops) if t <= w.top - 6], default=0)
+            asof[page, at] = asof.get((page, at), 0) + 1
+        for row in {w.line_num for w in mine}:
+            top, bottom = min(w.top for w in mine if w.line_num == row), max(w.bottom for w in mine if w.line_num == row)
+            pad = max(3, int((bottom - top) * 0.25))
+            bands[page, row] = sum(w.bottom >= top - pad and w.top <= bottom + pad for w in mine)
+        kept = []
+        for x in sorted(w.left_ for w in mine):
+            if kept and x - kept[-1] <= 20:
+                kept[-1] = round((kept[-1] + x) / 2)
+            else:
+                kept.append(x)
+        merged[page] = ",".join(map(str, kept))
+    run = lambda name: word_queries.QUERIES[name](spark, str(tmp_path)).collect()
+    assert {(r.page, r.anchor): r.n_words for r in run("nearest_anchor")} == nearest
+    assert {(r.page, r.anchor): r.n_words for r in run("asof_anchor")} == asof
+    assert {(r.page, r.row): r.n_words for r in run("strip_band_join")} == bands
+    assert {r.page: r.rules for r in run("merged_rules")} == merged
