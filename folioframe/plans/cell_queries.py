@@ -56,7 +56,7 @@ def first_numeric(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"""SELECT {_K}, CASE WHEN k <= 30 AND nominal_raw <> '' THEN nominal_raw ELSE coalesce(nullif(regexp_replace(k::VARCHAR || nominal_raw, '\\D', '', 'g'), ''), '') END AS value FROM (SELECT {_K}, nominal_raw, sample_id % 60 + 1 AS k FROM v_cells WHERE length(nominal_raw) = 3)""")
 def identity_integers(spark: SparkSession, d: str) -> DataFrame:
-    c = cells(spark, d).where(F.length("nominal_raw") == 3)
+    c = cells(spark, d)
     text = F.concat_ws(" ", (F.col("sample_id") % 60 + 1).cast("string"), "nominal_raw")
     return c.select("sample_id", "row_index", N.first_of(N.identity_values(text)).alias("value"))
 
@@ -295,7 +295,7 @@ _INHERITED = ["sample_id", "row_index", "section", "row_role", "issuer_name_clea
 
 @query(_INHERIT + f"\nSELECT sample_id, row_index, issuer_name_clean, capital_subscribed, shares_outstanding, nominal_value, {_FL} FROM inh")
 def continuation_inherit(spark: SparkSession, d: str) -> DataFrame:
-    out = equity.inherit(plain_rows(spark, d).where("length(issuer_name_clean) = 0 OR length(issuer_name_clean) > 4").select(*_INHERITED))
+    out = equity.inherit(plain_rows(spark, d).select(*_INHERITED))
     return _flat(out).select("sample_id", "row_index", "issuer_name_clean", "capital_subscribed", "shares_outstanding", "nominal_value", "validation_flags")
 
 

@@ -1,3 +1,6 @@
+import datetime
+import re
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -6,7 +9,7 @@ from folioframe.functions.text import clean_cell
 from folioframe.operators import review as R
 from folioframe.operators import words as W
 from folioframe.operators.sections import backup_merged, fuzzy_sections
-from folioframe.plans import equity, word_queries
+from folioframe.plans import cell_queries, equity, word_queries
 from folioframe.sources import csv, vision
 from folioframe.sources.tsv import parse_tsv
 from folioframe.sources.views import words
@@ -139,3 +142,33 @@ def test_page_queries_read_every_line(spark, tmp_path):
     assert {(r.page, r.anchor): r.n_words for r in run("asof_anchor")} == asof
     assert {(r.page, r.row): r.n_words for r in run("strip_band_join")} == bands
     assert {r.page: r.rules for r in run("merged_rules")} == merged
+
+
+def test_cell_queries_keep_every_row(spark, tmp_path):
+    rng = np.random.default_rng(4)
+    names = ["Fiat", "Ansaldo Genova", "Ilva", "Privilegiate", "Terni Acciai", "Edison"]
+    spark.createDataFrame(list(enumerate(names)), "p_partkey long, p_name string").write.parquet(f"{tmp_path}/part.parquet")
+    items = [(o, n, int(rng.integers(0, 6)), int(rng.integers(0, 50)), float(rng.integers(1, 40)), 1234.5 + n, "AN"[n % 2], datetime.date(1995, 3, 4)) for o in range(70) for n in range(1, 8)]
+    spark.createDataFrame(items, "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_quantity double, l_extendedprice double, l_returnflag string, l_shipdate date").write.parquet(f"{tmp_path}/lineitem.parquet")
+    rows = sorted(cell_queries.plain_rows(spark, str(tmp_path)).collect(), key=lambda r: (r.sample_id, r.row_index))
+    run = lambda name: {(r.sample_id, r.row_index): r for r in cell_queries.QUERIES[name](spark, str(tmp_path)).collect()}
+    got, last, short = run("continuation_inherit"), {}, 0
+    assert len(got) == len(rows) == len(items)
+    fields = ("capital_subscribed", "shares_outstanding", "nominal_value")
+    for r in rows:
+        name, values, before = r.issuer_name_clean, [r[f] for f in fields], last.get((r.sample_id, r.section))
+        if r.row_role == "security_continuation_row" and before:
+            short += name in ("Fiat", "Ilva")
+            if len(name) <= 4 or re.match(r"b\)|»|\)|\(|privileg|ordinar", name.lower()):
+                name = f"{before[0]} {name}" if name and name not in before[0] else before[0]
+            values = [v or b for v, b in zip(values, before[1:], strict=True)]
+        elif r.row_role == "security_main_row" and name:
+            last[r.sample_id, r.section] = (name, *values)
+        mine = got[r.sample_id, r.row_index]
+        assert (mine.issuer_name_clean, *[mine[f] for f in fields]) == (name, *values)
+    assert short
+    got = run("identity_integers")
+    assert {len(r.nominal_value) for r in rows} == {0, 2, 3} and len(got) == len(rows)
+    for r in rows:
+        k, n = r.sample_id % 60 + 1, r.nominal_value  # only three digits may belong to the number before them
+        assert got[r.sample_id, r.row_index].value == (str(k) if len(n) < 3 else n if k <= 30 else f"{k}{n}")
