@@ -2,7 +2,9 @@
 
 Each stage gets what the one before kept, written as Parquet and read again. The quality rules drop documents, near
 duplicates leave one document of each group, personal data is replaced in the texts, the mix orders the documents so
-that any stretch of the files follows the sources' target weights, and the last stage encodes the texts.
+that any stretch of the files follows the sources' target weights, and the last stage encodes the texts. Files may be read
+in any order, so the last stage finds each document's slot and rank again, from its rows alone, and returns them: the
+result ordered by slot and rank is the mix.
 """
 
 from __future__ import annotations
@@ -34,8 +36,9 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Number of tokens and digests of ids and decoded text of each document."""
-    return bpe.digest(spark, docs, bpe.vocabulary("byte_bpe_50k.json"))
+    """Number of tokens, digests of ids and decoded text, and place in the mix (slot and rank) of each document."""
+    at = mixing.slotted(spark, docs, ["doc_id", "text"], mixing.WEIGHTS).select("_row.*", "slot", "rank")
+    return bpe.digest(spark, at, bpe.vocabulary("byte_bpe_50k.json"), ("slot", "rank"))
 
 
 STAGES = [("quality", quality), ("near_duplicates", near_duplicates), ("personal_data", personal_data), ("mix", mix), ("encode", encode)]

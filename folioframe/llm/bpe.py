@@ -185,8 +185,11 @@ def decode(spark: SparkSession, encoded: DataFrame, tokenizer_path: str) -> Data
     return encoded.select("doc_id", "ids").mapInArrow(each, "doc_id bigint, text string")
 
 
-def digest(spark: SparkSession, docs: DataFrame, tokenizer_path: str) -> DataFrame:
-    """One row for each document: number of tokens, digest of the ids and of the text decoded from them."""
+def digest(spark: SparkSession, docs: DataFrame, tokenizer_path: str, also: tuple[str, ...] = ()) -> DataFrame:
+    """One row for each document: number of tokens, digest of the ids and of the text decoded from them.
+
+    also: bigint columns that pass through.
+    """
     shared = spark.sparkContext.broadcast(read_definition(tokenizer_path))
 
     def each(batches):
@@ -199,9 +202,9 @@ def digest(spark: SparkSession, docs: DataFrame, tokenizer_path: str) -> DataFra
                 counts.append(len(ids))
                 ids_sha.append(hashlib.sha256(",".join(map(names.__getitem__, ids)).encode()).hexdigest())
                 text_sha.append(hashlib.sha256(bpe.decode(ids).encode()).hexdigest())
-            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(counts, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(counts, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string()), *batch.columns[2:]], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", *also])
 
-    return docs.select("doc_id", "text").mapInArrow(each, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+    return docs.select("doc_id", "text", *also).mapInArrow(each, ", ".join(["doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string", *[f"{c} bigint" for c in also]]))
 
 
 def vocabulary(name: str) -> str:

@@ -263,3 +263,19 @@ def test_pipeline_stages(spark, tmp_path):
     assert 0 < len(out) == at.count() < docs.count()
     mine = pd.DataFrame([(r.doc_id, hashlib.sha256((r.text or "").encode()).hexdigest()) for r in at.collect()], columns=["doc_id", "sha"])
     assert out.merge(mine, on="doc_id").eval("decoded_sha256 == sha").all()
+
+
+def test_pipeline_returns_the_mix(spark, tmp_path, monkeypatch):
+    rows = [(i, f"{i} " + "some more words " * 250, "en", "src0" if i % 7 < 5 else f"src{i % 7 - 4}", 0) for i in range(1050)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    docs.repartition(5).write.parquet(f"{tmp_path}/documents.parquet")
+    monkeypatch.setattr(corpus_pipeline, "STAGES", corpus_pipeline.STAGES[-2:])
+    out = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert sorted(r.doc_id for r in out) == list(range(1050))
+    out.sort(key=lambda r: (r.slot, r["rank"]))
+    mixed = [r.doc_id for r in mixing.mixed(spark, docs).collect()]
+    assert [r.doc_id for r in out] == mixed
+    taken = {r.slot: rows[r.doc_id][3] for r in out}
+    for end in range(1, 17):
+        for source, weight in (("src0", 6), ("src1", 1), ("src2", 1)):
+            assert abs(sum(taken[t] == source for t in range(end)) - weight * end / 8) < 1
