@@ -287,7 +287,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """cls and set of the wanted classes (columns cls, doc_id of one member), from the texts."""
+    """cls and set of the wanted classes (columns cls, doc_id and text_hash of one member), from the texts."""
 
     def each(batches):
         for batch in batches:
@@ -295,15 +295,16 @@ def sets_of(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
             keys = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in found]
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array([s.tobytes() for s in found], pa.binary())], names=["cls", "set"])
 
-    ids = wanted.select("doc_id").distinct()
-    found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(ids, "doc_id", "left_semi").select("text").mapInArrow(each, "cls binary, set binary")
+    ids = wanted.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
+    member = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash"))
+    found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text").join(ids, member, "left_semi").select("text").mapInArrow(each, "cls binary, set binary")
     return found.join(wanted.select("cls"), "cls", "left_semi").dropDuplicates(["cls"])
 
 
 def clusters(spark: SparkSession, docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, trees: int = TREES, depth: int = DEPTH, shallow: int = SHALLOW) -> DataFrame:
     """doc_id, text_hash, n_shingles, cls and component_id, the smallest doc_id that links reach, of each document."""
     own = written(spark, signed(docs, size, trees, depth), "signatures")
-    classes = written(spark, own.where("cls IS NOT NULL").groupBy("cls").agg(F.min("doc_id").alias("doc_id"), F.first("sig").alias("sig"), F.first("n_shingles").alias("n")), "classes")
+    classes = written(spark, own.where("cls IS NOT NULL").groupBy("cls").agg(F.min("doc_id").alias("doc_id"), F.first("sig").alias("sig"), F.first("n_shingles").alias("n"), F.min_by("text_hash", F.struct(F.col("doc_id").isNull(), "doc_id")).alias("text_hash")), "classes")
     ends = lambda p: p.select(F.col("a").alias("cls")).union(p.select("b")).distinct()
     pairs = written(spark, estimated(candidates(classes.withColumn("label", F.col("cls")), min(trees, FIRST_TREES), depth, shallow, 1), classes), "pairs")
     sets = written(spark, sets_of(docs, classes.join(ends(pairs), "cls", "left_semi"), size), "sets")

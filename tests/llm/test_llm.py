@@ -135,6 +135,13 @@ def test_near_duplicates_in_a_crowded_region_by_brute_force(spark, monkeypatch):
         assert {r.doc_id: r.component_id for r in near_dedup.clusters(spark, docs).collect()} == dict(enumerate(want)), block
 
 
+def test_near_duplicates_of_a_null_id(spark):
+    changed = lambda at: " ".join(f"x{k}" if k in at else f"w{k}" for k in range(300))
+    few, more = range(20, 100, 20), range(20, 180, 20)
+    docs = frame(spark, [changed(()), changed(few), changed(more), "other words of another text"], [4, None, 6, 7])
+    assert {r.doc_id: r.component_id for r in near_dedup.clusters(spark, docs).collect()} == {4: 4, None: 4, 6: 4, 7: 7}
+
+
 def test_toxicity_learns_and_scores(spark, empty):
     random.seed(1)
     words = ["sun", "tree", "river", "house", "stone"]
