@@ -2,54 +2,68 @@
 
 A document's set holds the 64-bit hashes of its distinct 4-word shingles. Documents with equal sets form a class. A
 class has TREES signatures of DEPTH minimum hashes each; sorting the classes by each signature gives the forest's
-trees. In a sorted order the classes that agree with one on the longest prefix stand next to it: neighbours that agree
-on SHALLOW values at least are candidates. A sparse region is thereby searched down to SHALLOW values, a crowded one
-only as deep as neighbours agree. Orders are dealt by ranges of signature and class, so a crowded region spreads over
-tasks.
-
-A first pass takes the next neighbour in FIRST_TREES trees. Candidates whose whole signatures estimate a similarity far
-below the threshold go; the others are confirmed on the full sets, at first the best candidate of each class, then
-those still between different components. After it the search is exhaustive: in every region (tree and prefix of SHALLOW
-values) with classes of several components, all pairs between components are estimated, in tasks of at most BLOCK
-members a side. First each task gives a spanning forest of its components, until that confirms no link; then all pairs
-are given, and confirmed from the highest estimates down unless links have joined their components by then. So a pair at
-0.8 stays unseen only if no tree agrees on SHALLOW values (a chance of 3e-8) or its estimate is too low by six standard
-errors. Where many components agree on a prefix and no link joins them, the work grows with the square of their number.
+trees. In a sorted order the classes that agree with one on the longest prefix stand next to it, so the candidates are
+the stretches of neighbours that agree on SHALLOW values at least. A stretch of more than LEAF classes is crowded and
+is split where neighbours agree on fewer than one value more, and so on down to DEPTH: each region is searched at the
+depth that it needs. Orders are dealt by ranges of signature and class, so a crowded region spreads over tasks, and
+read as a stream, of which a task holds a batch and a stretch.
+
+1. All pairs in a stretch are estimated from whole signatures. Pairs that may reach the threshold are confirmed on the full
+   sets: not pair by pair, but by groups of classes that such pairs connect, each group with its sets in one task, of at
+   most GROUP_SHINGLES (a larger group is dealt over tasks two parts at a time). A group gives a spanning forest of its
+   links, so rows grow with the classes, not with their pairs. Links make components.
+2. Stretches of more than LEAF classes that agree on DEPTH values are cut in the first step, and so is a stretch that
+   goes over the border of two tasks. Their classes are searched again together, all pairs of different components, in
+   tasks of BLOCK classes a side.
+
+Every pair that agrees on the needed depth in a tree is thus estimated. A pair at 0.8 is missed with a chance of 3e-11
+where stretches are not crowded (three values) and 6e-5 at the full depth; or if its estimate is low by six standard errors.
+Where many components agree on DEPTH values and no link joins them, the work grows with the square of their number.
+(A crowded stretch that goes over both borders of a task of fewer than LEAF rows isn't joined beyond it; tasks have more.)
 
 Edge cases: a null or empty text, or one of white space, has an empty set and no links; fewer words than a shingle
 make one shingle; repeated rows have equal sets and so are linked, each with its own row; a null doc_id is in a class
-like any other, but isn't the least id unless there's no other; an empty table gives an empty result; very long texts
-are hashed in blocks; further columns pass through keep_one().
+like any other, but isn't the least id unless there's no other; ties of a component's least id go to the row whose text
+has the lowest hash; an empty table gives an empty result; very long texts are hashed in blocks; further columns, of any
+name, pass through keep_one().
 """
 
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioframe.llm.components import components
-from folioframe.llm.shared import table, written
+from folioframe.llm.components import components, connected
+from folioframe.llm.shared import bounded, table, written
 
 SHINGLE = 4
 PERCENT = 80
-TREES, DEPTH, SHALLOW = 24, 6, 3
-#: Trees of the first pass, which joins most of what belongs together.
-FIRST_TREES = 8
-#: Candidates with a lower estimate are dropped: six standard errors under the threshold.
-LEAST_ESTIMATE = 0.6
-#: Lower ends of the ranges of estimates that are confirmed one after another.
-BANDS = (0.8, 0.7, 0.0)
-#: A region's members are dealt in blocks of about so many, each pair of blocks a task of its own.
+TREES, DEPTH, SHALLOW = 32, 6, 3
+#: A stretch of more classes is split at a greater depth.
+LEAF = 256
+#: Pairs with a lower estimate are dropped: six standard errors under the threshold.
+LEAST_ESTIMATE = 0.625
+#: Classes of cut stretches are dealt in blocks of about so many, each pair of blocks a task of its own.
 BLOCK = 512
-#: Pairs of a task that are estimated at once.
-PAIRS_AT_ONCE = 50_000
+#: Shingles of the sets that are confirmed in one go, if there are more than two.
+GROUP_SHINGLES = 2_000_000
+#: Rows that make a task of its own worth while.
+TASK_ROWS = 20_000
+#: Pairs that are estimated at once.
+PAIRS_AT_ONCE = 16_000
+#: Cells of the matrix in which common shingles are counted.
+MATRIX_CELLS = 4_000_000
+#: At most so many cut stretches are broadcast; beyond it the join shuffles.
+BROADCAST_ROWS = 50_000
 #: A worker forgets its words' hashes when it has so many.
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 400_000
 
 _M = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], np.uint64)
 
@@ -116,174 +130,286 @@ def signed(docs: DataFrame, size: int = SHINGLE, trees: int = TREES, depth: int
     return rows.mapInArrow(each, "doc_id bigint, text_hash bigint, n_shingles bigint, cls binary, sig binary")
 
 
-def _neighbours(tree: np.ndarray, keys: np.ndarray, label: np.ndarray, shallow: int, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places of candidate pairs in a sorted order."""
-    n = len(tree)
-    agree = lambda i, j: (tree[i] == tree[j]) & (keys[i, :shallow] == keys[j, :shallow]).all(1)
-    at = np.arange(n)
-    change = np.flatnonzero(label[1:] != label[:-1]) + 1
-    following = np.append(change, n)[np.searchsorted(change, at, side="right")]  # first place after i of another label
-    preceding = np.concatenate([[-1], change - 1])[np.searchsorted(change, at, side="right")]  # last place before i of another label
-    left, right = [], []
-    before_run, after_run = following - at <= width, at - preceding <= width  # far inside a run others are nearer
-    for o in range(width):
-        j = following + o
-        ok = np.flatnonzero(before_run & (j < n))
-        ok = ok[agree(ok, j[ok]) & (label[ok] != label[j[ok]])]
-        left.append(ok)
-        right.append(j[ok])
-        j = preceding - o
-        ok = np.flatnonzero(after_run & (j >= 0))
-        ok = ok[agree(ok, j[ok]) & (label[ok] != label[j[ok]])]
-        left.append(j[ok])
-        right.append(ok)
-    return np.concatenate(left), np.concatenate(right)
-
-
-def candidates(classes: DataFrame, trees: int, depth: int, shallow: int, width: int) -> DataFrame:
-    """a, b (classes, a < b) of neighbours with different labels in the first trees."""
-    step = 2 * depth
-    keyed = F.transform(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: F.struct(t.alias("tree"), F.substring(F.col("sig"), t * step + 1, F.lit(step)).alias("key")))
-    rows = classes.select("cls", "label", F.explode(keyed).alias("x")).select("x.tree", "x.key", "cls", "label")
-    rows = rows.repartitionByRange("tree", "key", "cls").sortWithinPartitions("tree", "key", "cls")
-
-    def each(batches):
-        whole = pa.Table.from_batches(list(batches)) if (batches := list(batches)) else None
-        if whole is None or not whole.num_rows:
-            return
-        cls = np.array(whole.column(2).to_pylist(), object)
-        _, label = np.unique(np.frombuffer(b"".join(whole.column(3).to_pylist()), "S16"), return_inverse=True)
-        keys = np.frombuffer(b"".join(whole.column(1).to_pylist()), ">u2").reshape(-1, depth)
-        left, right = _neighbours(whole.column(0).to_numpy(), keys, label, shallow, width)
-        pairs = {(x, y) if x < y else (y, x) for x, y in zip(cls[left], cls[right], strict=True)}
-        out = list(pairs)
-        for k in range(0, len(out), 50_000):
-            part = out[k : k + 50_000]
-            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in part], pa.binary()), pa.array([x[1] for x in part], pa.binary())], names=["a", "b"])
+def _runs(agreed: np.ndarray, closed: bool, depth: int, shallow: int, leaf: int) -> tuple[list[tuple[int, int, bool]], int]:
+    """Stretches (start, end, cut) of sorted rows, and the place from which rows must wait for those to come.
 
-    return rows.mapInArrow(each, "a binary, b binary").distinct()
-
-
-def regions(classes: DataFrame, trees: int, depth: int, shallow: int) -> DataFrame:
-    """tree, region (hash of tree and prefix) and cls of the regions with classes (columns cls, label, sig) of several labels."""
+    agreed: the number of values on which each row agrees with the one before it; closed: no rows follow. Stretches
+    of a single row are left out.
+    """
+    n, out = len(agreed), []
+    if not n:
+        return out, 0
+    starts = np.append(0, np.flatnonzero(agreed[1:] < shallow) + 1)
+    ends = np.append(starts[1:], n)
+    some = ends - starts > 1
+    for start, end in zip(starts[some].tolist(), ends[some].tolist(), strict=True):
+        whole = closed or end < n
+        while end - start > leaf:
+            near = agreed[start + 1 : start + leaf + 1]
+            for d in range(shallow + 1, depth + 1):
+                apart = np.flatnonzero(near < d)
+                if len(apart):
+                    stop, cut = start + 1 + int(apart[0]), False
+                    break
+            else:
+                stop, cut = start + leaf, True
+            if stop - start > 1:
+                out.append((start, stop, cut))
+            start = stop
+        if not whole:
+            return out, start
+        if end - start > 1:
+            out.append((start, end, False))
+    return out, n if closed else int(starts[-1])
+
+
+def _digest_of(parts: list[bytes]) -> bytes:
+    return xxhash.xxh3_128_digest(b"".join(sorted(parts)))
+
+
+def stretches(classes: DataFrame, trees: int, depth: int, shallow: int, leaf: int) -> DataFrame:
+    """cut, cell and cls: the classes of each stretch of the sorted orders; cut: those of stretches to be searched again.
+
+    A cell's name is a digest of its classes, so a stretch that several trees have is one; that of a cut stretch is a
+    digest of tree and prefix.
+    """
     step = 2 * depth
-    at = F.transform(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: F.struct(t.alias("tree"), F.xxhash64(t, F.substring(F.col("sig"), t * step + 1, F.lit(2 * shallow))).alias("region")))
-    rows = classes.select("cls", F.xxhash64("label").alias("lab"), F.explode(at).alias("x")).select("x.tree", "x.region", "cls", "lab")
-    several = rows.groupBy("region").agg(F.min("lab").alias("low"), F.max("lab").alias("high")).where("low < high").select("region")
-    return rows.select("tree", "region", "cls").join(several, "region", "left_semi").select("tree", "region", "cls")
-
-
-def _forest(found: dict, edges: list) -> dict:
-    """The edges (estimate, a, b, label of a, label of b) of a maximum spanning forest of labels, among those found and more."""
-    parent: dict = {}
-
-    def root(x):
-        while (y := parent.setdefault(x, x)) != x:
-            parent[x] = x = parent[y]
-        return x
-
-    kept = {}
-    for e in sorted({*found, *edges}, reverse=True):
-        x, y = root(e[3]), root(e[4])
-        if x != y:
-            parent[x] = y
-            kept[e] = None
-    return kept
-
+    key = F.transform(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: F.concat(F.unhex(F.lpad(F.hex(t), 2, "0")), F.substring(F.col("sig"), t * step + 1, F.lit(step))))
+    rows = classes.select("cls", F.explode(key).alias("key")).select("key", "cls")
+    parts = min(int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1 + classes.count() * trees // TASK_ROWS)
+    rows = rows.repartitionByRange(parts, "key", "cls").sortWithinPartitions("key", "cls")
+    width = step + 1
 
-def between(spark: SparkSession, mixed: DataFrame, classes: DataFrame, percent: int, depth: int, shallow: int, forest: bool, block: int = BLOCK) -> DataFrame:
-    """a, b (a < b) and estimate of all pairs of a common region (mixed: tree, region, cls) with different labels whose
-    estimate reaches the least, each once; with forest, of a spanning forest of the labels in each task.
-
-    In a region the label with most classes is dealt in blocks, and so are the other classes together: a task gets a
-    block of either, or two blocks of the others.
-    """
-    at = written(spark, mixed.join(classes.select("cls", F.xxhash64("label").alias("lab")), "cls").select("tree", "region", "cls", "lab"), "regions")
-    sizes = at.groupBy("region", "lab").agg(F.count("*").alias("n")).groupBy("region").agg(F.max(F.struct("n", "lab")).alias("top"), F.sum("n").alias("all"), F.count("*").alias("labels")).where("labels > 1")
-    blocks = lambda n: F.ceil(n / block).cast("int")
-    sizes = sizes.select("region", F.col("top.lab").alias("main"), "labels", blocks(F.col("top.n")).alias("k"), blocks(F.col("all") - F.col("top.n")).alias("q"))
-    rows = at.join(sizes, "region").withColumn("is_main", F.col("lab") == F.col("main"))
-    rows = rows.withColumn("own", F.pmod(F.xxhash64("cls", F.lit(1)), F.when(F.col("is_main"), F.col("k")).otherwise(F.col("q"))).cast("int"))
-    cell = lambda kind, i, j: F.struct(F.lit(kind).alias("kind"), i.alias("i"), j.alias("j"))
-    own, upto = F.col("own"), lambda n: F.sequence(F.lit(0), F.col(n) - 1)
-    others = F.when(F.col("labels") > 2, F.transform(upto("q"), lambda j: cell(1, F.least(own, j), F.greatest(own, j)))).otherwise(F.array().cast("array<struct<kind:int,i:int,j:int>>"))
-    cells = F.when(F.col("is_main"), F.transform(upto("q"), lambda j: cell(0, own, j))).otherwise(F.concat(F.transform(upto("k"), lambda i: cell(0, i, own)), others))
-    rows = rows.select("tree", "region", "cls", "lab", "is_main", "own", F.explode(cells).alias("x")).select("region", "x.*", "tree", "cls", "lab", "is_main", "own")
-    task = ["region", "kind", "i", "j"]
-    rows = rows.join(classes.select("cls", "n", "sig"), "cls").select(*task, "tree", "cls", "lab", "is_main", "own", "n", "sig").repartition(*task).sortWithinPartitions(*task)
+    def agreement(keys: np.ndarray) -> np.ndarray:
+        same = np.logical_and.accumulate(keys[1:] == keys[:-1], 1)
+        return np.append(-1, (same.sum(1) + 1) // 2 - 1)
 
     def each(batches):
-        whole = pa.Table.from_batches(batches) if (batches := list(batches)) else None
-        if whole is None or not whole.num_rows:
-            return
-        region, kind, i, j, tree, lab, main, own, n = (whole.column(c).to_numpy() for c in ("region", "kind", "i", "j", "tree", "lab", "is_main", "own", "n"))
-        cls = np.array(whole.column("cls").to_pylist(), object)
-        sig = np.frombuffer(b"".join(whole.column("sig").to_pylist()), ">u2").astype(np.uint16).reshape(len(cls), -1)
-        starts = np.flatnonzero((np.diff(region) != 0) | (np.diff(kind) != 0) | (np.diff(i) != 0) | (np.diff(j) != 0)) + 1
-        after = np.append(starts, len(cls))[np.searchsorted(starts, np.arange(len(cls)), side="right")] - np.arange(len(cls)) - 1  # partners behind each row
-        upto, kept, begin = np.cumsum(after), {}, 0
-        while begin < len(cls):
-            done = upto[begin] - after[begin]
-            end = max(begin + 1, int(np.searchsorted(upto, done + PAIRS_AT_ONCE, side="right")))
-            x = np.repeat(np.arange(begin, end), after[begin:end])
-            y = x + 1 + np.arange(len(x)) - np.repeat(upto[begin:end] - after[begin:end] - done, after[begin:end])
-            begin = end
-            ok = (lab[x] != lab[y]) & np.where(kind[x] == 0, main[x] != main[y], (own[x] != own[y]) | (i[x] == j[x]))
-            ok &= 100 * np.minimum(n[x], n[y]) >= percent * np.maximum(n[x], n[y])
-            x, y = x[ok], y[ok]
-            same = sig[x] == sig[y]
-            estimate = same.mean(1)
-            regions_of = same.reshape(len(x), sig.shape[1] // depth, depth)[:, :, :shallow].all(2)
-            ok = (estimate >= LEAST_ESTIMATE) & regions_of.any(1) & (regions_of.argmax(1) == tree[x])  # in the first tree that has both in a region
-            x, y, estimate = x[ok], y[ok], estimate[ok]
-            edges = [(e, a, b, p, q) if a < b else (e, b, a, q, p) for e, a, b, p, q in zip(estimate.tolist(), cls[x], cls[y], lab[x].tolist(), lab[y].tolist(), strict=True)]
-            if forest:
-                kept = _forest(kept, edges) if edges else kept
-            elif edges:
-                yield _edges(edges)
-        if kept:
-            yield _edges(list(kept))
-
-    return rows.mapInArrow(each, "a binary, b binary, estimate double")
-
-
-def _edges(edges: list) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([e[1] for e in edges], pa.binary()), pa.array([e[2] for e in edges], pa.binary()), pa.array([e[0] for e in edges], pa.float64())], names=["a", "b", "estimate"])
-
-
-def _both(pairs: DataFrame, values: DataFrame, name: str) -> DataFrame:
-    """pairs with the value of a (<name>_a) and of b (<name>_b)."""
-    of = lambda side: values.select(F.col("cls").alias(side), F.col(name).alias(f"{name}_{side}"))
-    return pairs.join(of("a"), "a").join(of("b"), "b")
-
-
-def estimated(pairs: DataFrame, classes: DataFrame, least: float = LEAST_ESTIMATE) -> DataFrame:
-    """a, b and the share of equal minima, for pairs that reach the least."""
+        keys, cls = np.empty((0, width), np.uint8), np.empty((0, 16), np.uint8)
+        head = tail = None  # up to leaf rows at the borders of the task
+        crowded = None  # the key of the last cut stretch
+        task = TaskContext.get().partitionId()
+        out: list[tuple[bool, bytes, list[bytes]]] = []
+
+        def border(k: np.ndarray, c: np.ndarray, number: int) -> None:
+            """Rows beside a border (the first row stands at it) that agree with the row there."""
+            agreed = (np.logical_and.accumulate(k == k[:1], 1).sum(1) + 1) // 2 - 1
+            names, prefix = _names(c[agreed >= shallow]), k[0, : 2 * shallow + 1].tobytes()
+            out.append((True, xxhash.xxh3_128_digest(prefix + number.to_bytes(4, "big")), names))
+            if len(names) < leaf:  # then the stretch may go on beyond the next task
+                out.append((True, xxhash.xxh3_128_digest(prefix), names))
+            out.append((True, xxhash.xxh3_128_digest(k[0].tobytes()), _names(c[agreed >= depth])))
+
+        def taken(closed: bool) -> int:
+            nonlocal crowded
+            agreed = agreement(keys)
+            found, upto = _runs(agreed, closed, depth, shallow, leaf)
+            full = {} if crowded is None else {crowded: None}  # keys of cut stretches
+            for start, end, cut in found:
+                names = _names(cls[start:end])
+                out.append((False, _digest_of(names), names))
+                if cut:
+                    crowded = keys[start].tobytes()
+                    full[crowded] = None
+            for key in full:
+                if (same := (keys[:upto] == np.frombuffer(key, np.uint8)).all(1)).any():
+                    out.append((True, xxhash.xxh3_128_digest(key), _names(cls[:upto][same])))
+            return upto
+
+        def batch_of_out():
+            sizes = [len(names) for *_, names in out]
+            flat = [c for *_, names in out for c in names]
+            cut = np.repeat([x for x, *_ in out], sizes)
+            cell = [x for (_, x, names) in out for _ in names]
+            out.clear()
+            return pa.RecordBatch.from_arrays([pa.array(cut, pa.bool_()), pa.array(cell, pa.binary()), pa.array(flat, pa.binary())], names=["cut", "cell", "cls"])
 
-    def each(batches):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            x, y = (np.frombuffer(b"".join(batch.column(k).to_pylist()), ">u2").reshape(batch.num_rows, -1) for k in (2, 3))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array((x == y).mean(1), pa.float64())], names=["a", "b", "estimate"])
+            k = np.frombuffer(b"".join(batch.column(0).to_pylist()), np.uint8).reshape(-1, width)
+            c = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint8).reshape(-1, 16)
+            if head is None or len(head[0]) < leaf:
+                head = (k[:leaf], c[:leaf]) if head is None else tuple(np.concatenate(x)[:leaf] for x in zip(head, (k, c), strict=True))
+            tail = (k[-leaf:], c[-leaf:]) if tail is None else tuple(np.concatenate(x)[-leaf:] for x in zip(tail, (k[-leaf:], c[-leaf:]), strict=True))
+            keys, cls = np.concatenate([keys, k]), np.concatenate([cls, c])
+            upto = taken(False)
+            keys, cls = keys[upto:], cls[upto:]
+            if out:
+                yield batch_of_out()
+        if head is not None:
+            taken(True)
+            border(*head, task)
+            border(tail[0][::-1], tail[1][::-1], task + 1)
+            yield batch_of_out()
+
+    return rows.mapInArrow(each, "cut boolean, cell binary, cls binary")
+
+
+def _names(cls: np.ndarray) -> list[bytes]:
+    data = cls.tobytes()
+    return [data[k : k + 16] for k in range(0, len(data), 16)]
+
+
+def _by_cell(batches, column: int) -> Iterator[pa.Table]:
+    """Tables of whole cells (rows with equal values of a column, which stand together), a batch or so each."""
+    waiting = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        part = pa.Table.from_batches([batch])
+        waiting = part if waiting is None else pa.concat_tables([waiting, part])
+        names = waiting.column(column)
+        last = names[len(names) - 1]
+        if names[0] == last:
+            continue
+        low, high = 0, len(names) - 1  # the first row of the last cell
+        while low < high:
+            at = (low + high) // 2
+            if names[at] == last or names[at].as_py() > last.as_py():
+                high = at
+            else:
+                low = at + 1
+        yield waiting.slice(0, low)
+        waiting = waiting.slice(low)
+    if waiting is not None:
+        yield waiting
+
+
+def promising(cells: DataFrame, percent: int, group_shingles: int = GROUP_SHINGLES) -> DataFrame:
+    """grp and cls: groups of classes of a cell that pairs connect whose estimates reach the least.
+
+    cells: cell, side, lab, cls, n, sig. Pairs of equal labels are left out, and so are pairs on one side, but for side
+    0. Groups with too many shingles for one task are dealt in parts, of which every two make a group.
+    """
+    rows = cells.repartition("cell").sortWithinPartitions("cell", "cls").select("cell", "side", "lab", "n", "cls", "sig")
+
+    def groups(members: list[tuple[bytes, int]]) -> Iterator[list[bytes]]:
+        members.sort()
+        parts, size = [[]], 0
+        for name, n in members:
+            if parts[-1] and size + n > group_shingles // 2:
+                parts.append([])
+                size = 0
+            parts[-1].append(name)
+            size += n
+        if len(parts) == 1:
+            yield parts[0]
+        for j in range(1, len(parts)):
+            for i in range(j):
+                yield parts[i] + parts[j]
 
-    return _both(pairs, classes, "sig").select("a", "b", "sig_a", "sig_b").mapInArrow(each, "a binary, b binary, estimate double").where(F.col("estimate") >= least)
+    def each(batches):
+        for whole in _by_cell(batches, 0):
+            cell = whole.column("cell").combine_chunks().dictionary_encode().indices.to_numpy()
+            side, lab, n = (whole.column(c).to_numpy() for c in ("side", "lab", "n"))
+            names = whole.column("cls").to_pylist()
+            sig = np.frombuffer(b"".join(whole.column("sig").to_pylist()), ">u2").astype(np.uint16).reshape(len(names), -1)
+            starts = np.flatnonzero(np.diff(cell)) + 1
+            at = np.arange(len(names))
+            after = np.append(starts, len(names))[np.searchsorted(starts, at, side="right")] - at - 1  # partners behind each row
+            upto, begin, lefts, rights = np.cumsum(after), 0, [], []
+            while begin < len(names):
+                done = upto[begin] - after[begin]
+                end = max(begin + 1, int(np.searchsorted(upto, done + PAIRS_AT_ONCE, side="right")))
+                x = np.repeat(np.arange(begin, end), after[begin:end])
+                y = x + 1 + np.arange(len(x)) - np.repeat(upto[begin:end] - after[begin:end] - done, after[begin:end])
+                begin = end
+                ok = (lab[x] != lab[y]) & ((side[x] == 0) | (side[x] != side[y])) & (100 * np.minimum(n[x], n[y]) >= percent * np.maximum(n[x], n[y]))
+                x, y = x[ok], y[ok]
+                ok = (sig[x] == sig[y]).mean(1) >= LEAST_ESTIMATE
+                lefts.append(x[ok])
+                rights.append(y[ok])
+            root = connected(len(names), np.concatenate(lefts), np.concatenate(rights))
+            order = np.argsort(root, kind="stable")
+            cuts = np.flatnonzero(np.diff(root[order])) + 1
+            grp, cls = [], []
+            for part in np.split(order, cuts):
+                if len(part) > 1:
+                    for group in groups([(names[k], int(n[k])) for k in part]):
+                        grp += [_digest_of(group)] * len(group)
+                        cls += group
+            yield pa.RecordBatch.from_arrays([pa.array(grp, pa.binary()), pa.array(cls, pa.binary())], names=["grp", "cls"])
+
+    return rows.mapInArrow(each, "grp binary, cls binary").distinct()
+
+
+def _linked(sets: list[np.ndarray], percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places of all pairs of sets that reach the threshold."""
+    n = np.array([len(s) for s in sets])
+    if len(sets) == 2:
+        same = len(np.intersect1d(sets[0], sets[1], assume_unique=True))
+        ok = 100 * same >= percent * (n.sum() - same)
+        return (np.array([0]), np.array([1])) if ok else (np.empty(0, int),) * 2
+    flat, row = np.concatenate(sets), np.repeat(np.arange(len(sets)), n)
+    _, column, times = np.unique(flat, return_inverse=True, return_counts=True)
+    often = times > 1  # a shingle of one set is in no intersection
+    number = np.cumsum(often) - 1
+    keep = often[column]
+    row, column = row[keep], number[column[keep]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    same = np.zeros((len(sets), len(sets)), np.float64)
+    width = max(1, MATRIX_CELLS // len(sets))
+    for first in range(0, int(often.sum()), width):
+        a, b = np.searchsorted(column, (first, first + width))
+        has = np.zeros((len(sets), width), np.float32)
+        has[row[a:b], column[a:b] - first] = 1
+        same += has @ has.T
+    return np.nonzero(np.triu(100 * same >= percent * (n[:, None] + n[None, :] - same), 1))
+
+
+def confirmed(groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """a, b (a > b): links of full sets that connect all classes of a group (grp, cls) that links connect."""
+    rows = groups.join(sets, "cls").select("grp", "cls", "set").repartition("grp").sortWithinPartitions("grp", "cls")
 
+    def each(batches):
+        def links(names, found):
+            x, y = _linked([np.frombuffer(s, np.uint64) for s in found], percent)
+            root = connected(len(names), x, y)
+            at = np.flatnonzero(root != np.arange(len(names)))
+            return [(names[k], names[root[k]]) for k in at]
 
-def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose full sets reach the threshold."""
+        def out(rows):
+            return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.binary()) for k in (0, 1)], names=["a", "b"])
 
-    def each(batches):
+        last, names, found, done = None, [], [], []
         for batch in batches:
-            ok = []
-            for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
-                same = len(np.intersect1d(x, y, assume_unique=True))
-                ok.append(100 * same >= percent * (len(x) + len(y) - same))
-            keep = pa.array(ok, pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], names=["a", "b"])
+            for grp, cls, set_ in zip(batch.column(0), batch.column(1), batch.column(2), strict=True):
+                if (grp := grp.as_py()) != last:
+                    done += links(names, found) if len(names) > 1 else []
+                    last, names, found = grp, [], []
+                names.append(cls.as_py())
+                found.append(set_.as_py())
+            yield out(done)
+            done = []
+        if len(names) > 1:
+            yield out(links(names, found))
 
-    return _both(pairs, sets, "set").select("a", "b", "set_a", "set_b").mapInArrow(each, "a binary, b binary")
+    return rows.mapInArrow(each, "a binary, b binary").distinct()
+
+
+def again(cut: DataFrame, classes: DataFrame, block: int = BLOCK) -> DataFrame:
+    """Cells (as promising() takes them) of all pairs of classes of a cut stretch (cell, cls) with different labels.
+
+    classes: cls, lab, n, sig. In a stretch the label with most classes is dealt in blocks, and so are the other classes
+    together: a cell gets a block of either, or two blocks of the others.
+    """
+    at = cut.distinct().join(classes.select("cls", "lab"), "cls")
+    sizes = at.groupBy("cell", "lab").agg(F.count("*").alias("m")).groupBy("cell").agg(F.max(F.struct("m", "lab")).alias("top"), F.sum("m").alias("all"), F.count("*").alias("labels")).where("labels > 1")
+    blocks: Callable[[Column], Column] = lambda m: F.ceil(m / block).cast("int")
+    sizes = sizes.select("cell", F.col("top.lab").alias("main"), "labels", blocks(F.col("top.m")).alias("k"), blocks(F.col("all") - F.col("top.m")).alias("q"))
+    rows = at.join(bounded(sizes, BROADCAST_ROWS), "cell").withColumn("is_main", F.col("lab") == F.col("main"))
+    own = F.pmod(F.xxhash64("cls", F.lit(1)), F.when(F.col("is_main"), F.col("k")).otherwise(F.col("q"))).cast("int")
+    rows = rows.withColumn("own", own)
+    cell = lambda kind, i, j, side: F.struct(F.lit(kind).alias("kind"), i.alias("i"), j.alias("j"), side.alias("side"))
+    own, upto = F.col("own"), lambda m: F.sequence(F.lit(0), F.col(m) - 1)
+    others = F.transform(upto("q"), lambda j: cell(1, F.least(own, j), F.greatest(own, j), F.when(own == j, 0).when(own < j, 1).otherwise(2)))
+    others = F.when(F.col("labels") > 2, others).otherwise(F.array().cast("array<struct<kind:int,i:int,j:int,side:int>>"))
+    cells = F.when(F.col("is_main"), F.transform(upto("q"), lambda j: cell(0, own, j, F.lit(1)))).otherwise(F.concat(F.transform(upto("k"), lambda i: cell(0, i, own, F.lit(2))), others))
+    rows = rows.select("cls", "cell", F.explode(cells).alias("x"))
+    name = F.unhex(F.md5(F.concat("cell", F.concat_ws(":", "x.kind", "x.i", "x.j").cast("binary"))))
+    return rows.select("cls", name.alias("cell"), "x.side").join(classes, "cls")
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
@@ -291,9 +417,10 @@ def sets_of(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
 
     def each(batches):
         for batch in batches:
-            found = [shingles(t, size) for t in batch.column(0).to_pylist()]
-            keys = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in found]
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array([s.tobytes() for s in found], pa.binary())], names=["cls", "set"])
+            for at in range(0, batch.num_rows, 256):
+                found = [shingles(t, size).tobytes() for t in batch.column(0).slice(at, 256).to_pylist()]
+                keys = [hashlib.blake2b(s, digest_size=16).digest() for s in found]
+                yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(found, pa.binary())], names=["cls", "set"])
 
     ids = wanted.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
     member = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash"))
@@ -301,64 +428,35 @@ def sets_of(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     return found.join(wanted.select("cls"), "cls", "left_semi").dropDuplicates(["cls"])
 
 
-def clusters(spark: SparkSession, docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, trees: int = TREES, depth: int = DEPTH, shallow: int = SHALLOW) -> DataFrame:
+def clusters(spark: SparkSession, docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, trees: int = TREES, depth: int = DEPTH, shallow: int = SHALLOW, leaf: int = LEAF) -> DataFrame:
     """doc_id, text_hash, n_shingles, cls and component_id, the smallest doc_id that links reach, of each document."""
     own = written(spark, signed(docs, size, trees, depth), "signatures")
-    classes = written(spark, own.where("cls IS NOT NULL").groupBy("cls").agg(F.min("doc_id").alias("doc_id"), F.first("sig").alias("sig"), F.first("n_shingles").alias("n"), F.min_by("text_hash", F.struct(F.col("doc_id").isNull(), "doc_id")).alias("text_hash")), "classes")
-    ends = lambda p: p.select(F.col("a").alias("cls")).union(p.select("b")).distinct()
-    pairs = written(spark, estimated(candidates(classes.withColumn("label", F.col("cls")), min(trees, FIRST_TREES), depth, shallow, 1), classes), "pairs")
-    sets = written(spark, sets_of(docs, classes.join(ends(pairs), "cls", "left_semi"), size), "sets")
-
-    # the best candidate of each class first: mostly enough to join what belongs together
-    sides = pairs.select("a", "b", "estimate", F.col("a").alias("of")).union(pairs.select("a", "b", "estimate", F.col("b").alias("of")))
-    best = written(spark, sides.groupBy("of").agg(F.max(F.struct("estimate", "a", "b")).alias("x")).select("x.a", "x.b").distinct(), "tried")
-    links = written(spark, confirmed(best, sets, percent), "links")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash"))  # the null id last
+    classes = own.where("cls IS NOT NULL").groupBy("cls").agg(first.alias("x"), F.first("sig").alias("sig"), F.first("n_shingles").alias("n"))
+    classes = written(spark, classes.select("cls", "x.doc_id", "x.text_hash", "sig", "n"), "classes")
+
+    def links_of(cells: DataFrame) -> DataFrame:
+        groups = written(spark, promising(cells, percent), "groups")
+        wanted = classes.select("cls", "doc_id", "text_hash").join(groups.select("cls").distinct(), "cls", "left_semi")
+        return written(spark, confirmed(groups, sets_of(docs, wanted, size), percent), "links")
+
+    found = written(spark, stretches(classes, trees, depth, shallow, leaf), "stretches")
+    cells = found.where("NOT cut").select("cell", "cls").distinct().join(classes.select("cls", "n", "sig"), "cls")
+    links = links_of(cells.select("cell", F.lit(0).alias("side"), F.xxhash64("cls").alias("lab"), "cls", "n", "sig"))
     roots = components(spark, links)
-    rest = written(spark, _between(pairs.select("a", "b").join(best, ["a", "b"], "left_anti"), roots).select("a", "b"), "tried")
-    more = written(spark, confirmed(rest, sets, percent), "links")
-    links, tried = links.union(more), best.union(rest)
-    roots = components(spark, links) if more.limit(1).count() else roots
-
-    def labelled():
-        return classes.join(roots.select(F.col("a").alias("cls"), "b"), "cls", "left").withColumn("label", F.coalesce("b", "cls")).drop("b")
-
-    def joined(near):
-        """Confirm pairs; whether there are links among them."""
-        nonlocal sets, links, roots
-        sets = sets.union(written(spark, sets_of(docs, classes.join(ends(near), "cls", "left_semi").join(sets, "cls", "left_anti"), size), "sets"))
-        more = written(spark, confirmed(near.select("a", "b"), sets, percent), "links")
-        if not more.limit(1).count():
-            return False
-        links = links.union(more)
-        roots = components(spark, links)
-        return True
-
-    mixed = written(spark, regions(labelled(), trees, depth, shallow), "mixed")
-    while True:
-        found = written(spark, between(spark, mixed, labelled(), percent, depth, shallow, True), "forest")
-        near = written(spark, found.select("a", "b").distinct().join(tried, ["a", "b"], "left_anti"), "tried")
-        tried = tried.union(near)
-        if not near.limit(1).count() or not joined(near):
-            break
-    if found.limit(1).count():  # else no pair is left
-        found = written(spark, between(spark, mixed, labelled(), percent, depth, shallow, False).join(tried, ["a", "b"], "left_anti"), "between")
-        for low, high in zip(BANDS, (2.0, *BANDS), strict=False):
-            near = written(spark, _between(found.where(f"estimate >= {low} AND estimate < {high}"), roots).select("a", "b"), "tried")
-            if near.limit(1).count():
-                joined(near)
-
-    least = classes.join(roots.select(F.col("a").alias("cls"), "b"), "cls", "left").select("cls", "doc_id", F.coalesce("b", "cls").alias("root"))
-    linked = roots.select(F.col("b").alias("root")).distinct()
-    of_root = least.join(linked, "root", "left_semi").groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    of_class = written(spark, least.join(of_root, "root", "left").select("cls", F.coalesce("component_id", "doc_id").alias("component_id")), "class-components")
-    return own.drop("sig").join(of_class, "cls", "left").select("doc_id", "text_hash", "n_shingles", "cls", F.coalesce("component_id", "doc_id").alias("component_id"))
-
-
-def _between(pairs: DataFrame, roots: DataFrame) -> DataFrame:
-    """The pairs whose classes are in different components."""
-    of = lambda side: roots.select(F.col("a").alias(side), F.col("b").alias(f"root_{side}"))
-    joined = pairs.join(of("a"), "a", "left").join(of("b"), "b", "left")
-    return joined.where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b"))
+    labelled = classes.select("cls", "n", "sig").join(roots.select(F.col("a").alias("cls"), "b"), "cls", "left").select("cls", "n", "sig", F.xxhash64(F.coalesce("b", "cls")).alias("lab"))
+    more = links_of(again(found.where("cut").select("cell", "cls"), labelled))
+    if more.limit(1).count():
+        roots = components(spark, roots.union(more))
+
+    nodes = roots.select(F.col("a").alias("cls"), F.col("b").alias("root")).union(roots.select("b", "b").distinct())
+    at = nodes.join(classes.select("cls", "doc_id"), "cls")
+    least = at.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    of_class = classes.select("cls", "doc_id").join(at.select("cls", "root").join(least, "root").select("cls", "component_id"), "cls", "left")
+    of_class = written(spark, of_class.select("cls", F.coalesce("component_id", "doc_id").alias("component_id")), "class-components")
+    columns = ("doc_id", "text_hash", "n_shingles", "cls")
+    some = own.where("cls IS NOT NULL").select(*columns).join(of_class, "cls").select(*columns, "component_id")
+    return some.union(own.where("cls IS NULL").select(*columns, F.col("doc_id").alias("component_id")))
 
 
 def keep_one(spark: SparkSession, docs: DataFrame, **options) -> DataFrame:
@@ -366,13 +464,15 @@ def keep_one(spark: SparkSession, docs: DataFrame, **options) -> DataFrame:
 
     Of rows that share that doc_id, one stays: the one whose text has the lowest hash.
     """
-    found = clusters(spark, docs, **options).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    first = found.where("cls IS NOT NULL").groupBy("component_id").agg(F.min("text_hash").alias("_hash")).withColumnRenamed("component_id", "_id")
-    first = written(spark, first, "kept")
-    keyed = docs.withColumns({"_key": F.col("doc_id").cast("long"), "_text_hash": F.xxhash64("text")})
+    found = clusters(spark, docs, **options).where("cls IS NOT NULL AND doc_id <=> component_id")
+    keys = [F.coalesce("id", F.lit(0)).alias("id"), F.col("id").isNull().alias("none"), "hash"]
+    # without ids, each component keeps a row: the members of a class share its digest
+    first = found.groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("cls"))).agg(F.min("text_hash").alias("hash")).select(F.col("component_id").alias("id"), "hash")
+    first = written(spark, first.select(*keys).distinct(), "kept")
     words = F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
-    one = keyed.where(words).join(first, F.col("_key").eqNullSafe(F.col("_id")) & (F.col("_text_hash") == F.col("_hash")), "left_semi").dropDuplicates(["_key", "_text_hash"])
-    return one.unionByName(keyed.where(~words)).drop("_key", "_text_hash")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("hash"), words.alias("words"))
+    one = rows.where("words").select("row", *keys).join(first, ["id", "none", "hash"], "left_semi").dropDuplicates(["id", "none", "hash"])
+    return one.select("row.*").union(rows.where("NOT words").select("row.*"))
 
 
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
