@@ -4,8 +4,10 @@ A finding has a kind, a start and an end (code points, end exclusive) and a scor
 follow fixed patterns; their findings are always reported, with a score. The kinds iban, local_phone and national_id
 are reported only when checksum, shape and the words just before them lift their score to ACCEPT.
 
-Edge cases: a null or empty text has no finding; texts of any length are scanned in time linear in their length;
-repeated rows each get their own row; an empty table gives an empty result; further columns pass through redact().
+Edge cases: a null or empty text has no finding; texts of any length are scanned in time linear in their length (but
+for the sort of their findings), and numbers of any length are read; a span of a further kind that overlaps one of
+an earlier kind is left out; repeated rows and null ids each get their own row; an empty table gives an empty result;
+further columns, of any name, pass through redact().
 """
 
 from __future__ import annotations
@@ -85,7 +87,7 @@ def base_findings(text: str) -> list[tuple[str, int, int]]:
     if "@" in text:
         found += [("email", a, b) for a, b in emails(text)]
     if _DIGIT.search(text):
-        found += [("ip", m.start(), m.end()) for m in _IP.finditer(text) if all(len(p.lstrip("0")) < 4 and int(p) <= 255 for p in m[0].split("."))]
+        found += [("ip", m.start(), m.end()) for m in _IP.finditer(text) if all(len(q := p.lstrip("0")) < 4 and int(q or "0") <= 255 for p in m[0].split("."))]
         for m in _CARD.finditer(text):
             digits = m[0].replace(" ", "").replace("-", "")
             if 16 <= len(digits) <= 19 and luhn(digits):
@@ -117,6 +119,17 @@ def score(text: str, kind: str, start: int, end: int) -> float:
     return min(1.0, bare + check * _confirmed(kind, text[start:end]) + near * bool(WORDS[kind].search(text, max(0, start - CONTEXT), start)))
 
 
+def _apart(spans: list[tuple[int, int]], taken: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
+    """The spans that overlap none of those taken, both in order of their starts, in one pass over either."""
+    k, reach = 0, 0
+    for a, b in spans:
+        while k < len(taken) and taken[k][0] < b:
+            reach = max(reach, taken[k][1])
+            k += 1
+        if reach <= a:
+            yield a, b
+
+
 def findings(text: str | None) -> list[tuple[str, int, int, float]]:
     """All findings of a text with their scores, kinds in order and then by start."""
     if not text:
@@ -124,13 +137,10 @@ def findings(text: str | None) -> list[tuple[str, int, int, float]]:
     base = base_findings(text)
     found = [(k, a, b, score(text, k, a, b)) for k, a, b in base]
     if _DIGIT.search(text):
-        taken = sorted((a, b) for _, a, b in base)
         for kind, pattern in (("iban", _IBAN), ("local_phone", _LOCAL_PHONE), ("national_id", _NATIONAL)):
-            for m in pattern.finditer(text):
-                a, b = m.span()
-                if all(b <= x or y <= a for x, y in taken) and (s := score(text, kind, a, b)) >= ACCEPT and _confirmed(kind, m[0]):
+            for a, b in _apart([m.span() for m in pattern.finditer(text)], sorted((a, b) for _, a, b, _ in found)):
+                if (s := score(text, kind, a, b)) >= ACCEPT and _confirmed(kind, text[a:b]):
                     found.append((kind, a, b, s))
-                    taken.append((a, b))
     return found
 
 
