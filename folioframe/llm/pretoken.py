@@ -31,11 +31,21 @@ def byte_pieces(text: str, tokenizer: Tokenizer) -> list[str]:
     return [text[a:b] for _, (a, b) in tokenizer.pre_tokenizer.pre_tokenize_str(text)]
 
 
-def words(text: str, tokenizer: Tokenizer) -> list[str]:
-    """Lower-case runs without white space, which pieces never reach beyond; beyond Latin letters, the pieces."""
+def normalised(text: str, tokenizer: Tokenizer) -> tuple[str, bool]:
+    """The text as the tokenizer's pieces see it: lower-cased, and beyond Latin letters in its normal form; and whether
+    it is of Latin letters then."""
+    if text.isascii():
+        return text.lower(), is_latin(text)
     if is_latin(text):
-        return text.lower().split()
-    text = tokenizer.normalizer.normalize_str(text)
+        low = text.lower()
+        return low, is_latin(low)
+    return tokenizer.normalizer.normalize_str(text), False
+
+
+def words(text: str, latin: bool, tokenizer: Tokenizer) -> list[str]:
+    """Runs without white space of a normalised text, which pieces never reach beyond; beyond Latin letters, the pieces."""
+    if latin:
+        return text.split()
     return [text[a:b] for _, (a, b) in tokenizer.pre_tokenizer.pre_tokenize_str(text)]
 
 

@@ -33,7 +33,7 @@ from pyspark.sql.window import Window
 from tokenizers import Tokenizer
 
 from folioframe.llm.bpe import read_definition, vocabulary
-from folioframe.llm.pretoken import count_pieces, words
+from folioframe.llm.pretoken import count_pieces, normalised, words
 from folioframe.llm.shared import fresh_path, table, written
 
 MAGIC = b"FOLIOIDS"
@@ -166,9 +166,15 @@ class WordEncoder:
             self.seen[w] = data[at:end]
             at = end
 
+    def _words(self, text: str) -> list[str] | None:
+        """Words to encode one by one; none if the text, or what becomes of it, holds a special token: the library then
+        takes the text as a whole, as it takes special tokens in their own case only."""
+        seen, latin = normalised(text, self.tokenizer)
+        return None if any(s in text or s in seen for s in self.special) else words(seen, latin, self.tokenizer)
+
     def encode_batch(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
-        split = [None if t and any(s in t for s in self.special) else words(t, self.tokenizer) if t else [] for t in texts]
+        split = [self._words(t) if t else [] for t in texts]
         if len(self.seen) > CACHE_WORDS:
             self.seen.clear()
         seen = self.seen
