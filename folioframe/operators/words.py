@@ -203,22 +203,6 @@ def merged_close(values: Column, gap: int = 20) -> Column:
     return F.aggregate(F.array_sort(values), F.array().cast("array<int>"), step)
 
 
-def asof_anchor(tops: Column, top: Column, margin: int) -> Column:
-    """Place of the last anchor at or above a top less a margin; the first without one."""
-    before = F.filter(F.transform(tops, lambda t, i: F.when(t <= top - margin, i)), lambda i: i.isNotNull())
-    return F.coalesce(F.try_element_at(before, F.lit(-1)), F.lit(0))
-
-
-def nearest_anchor(tops: Column, top: Column) -> Column:
-    """Place of the nearest anchor, the first of equally near ones."""
-    return F.array_min(F.transform(tops, lambda t, i: F.struct(F.abs(t - top).alias("d"), i.alias("i"))))["i"]
-
-
-def spaced_anchors(tops: Column, gap: int = 18) -> Column:
-    """Sorted tops that are more than gap below the last kept one."""
-    return F.aggregate(F.array_sort(tops), F.array().cast("array<int>"), lambda acc, t: F.when((F.size(acc) == 0) | (t - F.element_at(acc, -1) > gap), F.concat(acc, F.array(t.cast("int")))).otherwise(acc))
-
-
 def shifted(words: DataFrame, dx: int, dy: int) -> DataFrame:
     """Words of a crop in the coordinates of its page."""
     return words.withColumns({"left_": F.col("left_") + dx, "right_": F.col("right_") + dx, "top": F.col("top") + dy, "bottom": F.col("bottom") + dy})

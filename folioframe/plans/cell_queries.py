@@ -54,7 +54,8 @@ def first_numeric(spark: SparkSession, d: str) -> DataFrame:
     return cells(spark, d).select("sample_id", "row_index", N.first_numeric(F.col("shares_raw"), prefer_large=True).alias("shares"), N.first_of(values).alias("first_shares"), N.last_of(values).alias("last_shares"))
 
 
-@query(f"""SELECT {_K}, CASE WHEN k <= 30 AND nominal_raw <> '' THEN nominal_raw ELSE coalesce(nullif(regexp_replace(k::VARCHAR || nominal_raw, '\\D', '', 'g'), ''), '') END AS value FROM (SELECT {_K}, nominal_raw, sample_id % 60 + 1 AS k FROM v_cells WHERE length(nominal_raw) = 3)""")
+# only three digits join the number before them; a number up to 30 before a nominal is a row's number
+@query(f"""SELECT {_K}, CASE WHEN length(nominal_raw) <> 3 THEN k::VARCHAR WHEN k <= 30 THEN nominal_raw ELSE k::VARCHAR || nominal_raw END AS value FROM (SELECT {_K}, nominal_raw, sample_id % 60 + 1 AS k FROM v_cells)""")
 def identity_integers(spark: SparkSession, d: str) -> DataFrame:
     c = cells(spark, d)
     text = F.concat_ws(" ", (F.col("sample_id") % 60 + 1).cast("string"), "nominal_raw")

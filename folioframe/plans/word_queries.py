@@ -6,9 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from folioframe.dimensions import BOND_ENDS, EQUITY_BANDS, OCR_TERMS, bands_from_ends
+from folioframe.dimensions import BASE_WIDTH, BOND_ENDS, EQUITY_BANDS, OCR_TERMS, bands_from_ends
 from folioframe.functions import text as T
+from folioframe.operators import anchors as A
 from folioframe.operators import words as W
+from folioframe.operators.rescue import backup_texts
 from folioframe.sources.tsv import parse_tsv
 from folioframe.sources.views import WORDS, words
 
@@ -21,7 +23,7 @@ def query(sql: str | None):
     def add(f):
         QUERIES[f.__name__] = f
         if sql is not None:
-            ORACLES[f.__name__] = f"WITH {WORDS}\n{sql}"
+            ORACLES[f.__name__] = f"WITH {WORDS}{sql}" if sql.startswith(",") else f"WITH {WORDS}\n{sql}"
         return f
 
     return add
@@ -187,10 +189,23 @@ def cells_pivot(spark: SparkSession, d: str) -> DataFrame:
     return W.cells(w, ["page", "line_num"], [n for n, _, _ in _BOND_PIXELS[:6]])
 
 
-@query("""SELECT page, b AS boundary, (SELECT r FROM unnest(rules) u(r) ORDER BY abs(r - b), r LIMIT 1) AS rule FROM (SELECT page, list(DISTINCT left_ ORDER BY left_) AS rules FROM v_words WHERE line_num = 1 GROUP BY page), (VALUES (100), (450), (900)) v(b)""")
+# the page's first line stands for its detected rules
+_FITTED = f"""pg AS (SELECT page, min(left_) AS tx0, max(right_) AS tx1, coalesce(list(DISTINCT left_ ORDER BY left_) FILTER (WHERE line_num = 1), []) AS rules FROM v_words GROUP BY page),
+ex AS (SELECT page, tx0, tx1, rules, c.name, pos, round_even(tx0 + c.x0 * ((tx1 - tx0) / {BASE_WIDTH}), 0)::INTEGER AS a, round_even(tx0 + c.x1 * ((tx1 - tx0) / {BASE_WIDTH}), 0)::INTEGER AS b FROM pg, (VALUES {_values(EQUITY_BANDS)}) c(name, x0, x1, pos)),
+nr AS (SELECT *, (SELECT r FROM unnest(rules) u(r) ORDER BY abs(r - a), r LIMIT 1) AS ra, (SELECT r FROM unnest(rules) u(r) ORDER BY abs(r - b), r LIMIT 1) AS rb FROM ex),
+mv AS (SELECT *, CASE WHEN abs(ra - a) <= 35 AND ra BETWEEN tx0 - 15 AND tx1 + 15 THEN ra ELSE a END AS c, CASE WHEN abs(rb - b) <= 35 AND rb BETWEEN tx0 - 15 AND tx1 + 15 THEN rb ELSE b END AS d FROM nr),
+fitted AS (SELECT page, name AS "column", greatest(0, CASE WHEN d <= c + 10 THEN a ELSE c END) AS x0, CASE WHEN d <= c + 10 THEN b ELSE d END AS x1 FROM mv)"""
+
+
+def page_columns(w: DataFrame) -> DataFrame:
+    pages = w.groupBy("page").agg(F.min("left_").alias("x0"), F.max("right_").alias("x1"), F.array_sort(F.collect_set(F.when(F.col("line_num") == 1, F.col("left_")))).alias("rules"))
+    return A.fitted_columns(pages, EQUITY_BANDS, BASE_WIDTH)
+
+
+@query(f""", {_FITTED}
+SELECT page, "column", x0, x1 FROM fitted""")
 def nearest_rule_snap(spark: SparkSession, d: str) -> DataFrame:
-    rules = words(spark, d).where("line_num = 1").groupBy("page").agg(F.array_sort(F.collect_set("left_")).alias("rules"))
-    return rules.select("page", F.explode(F.array(F.lit(100), F.lit(450), F.lit(900))).alias("boundary"), "rules").select("page", "boundary", W.nearest(F.col("boundary"), F.col("rules")).alias("rule"))
+    return page_columns(words(spark, d))
 
 
 @query(None)
@@ -205,32 +220,46 @@ def merged_rules(spark: SparkSession, d: str) -> DataFrame:
     return words(spark, d).groupBy("page").agg(F.collect_list("left_").alias("x")).select("page", F.array_join(W.merged_close(F.col("x")), ",").alias("rules"))
 
 
-_ANCHORS = "an AS (SELECT page, list(t ORDER BY t) AS tops FROM (SELECT DISTINCT page, top AS t FROM v_words WHERE word_num = 1 AND line_num <= 40) GROUP BY page)"
-
-
-@query(None)
+@query("""SELECT page, anchor, count(*) AS n_words FROM (SELECT page, CASE WHEN (CASE WHEN lo IS NULL THEN hi - top WHEN hi IS NULL THEN top - lo ELSE least(top - lo, hi - top) END) <= tol THEN CASE WHEN lo IS NOT NULL AND (hi IS NULL OR top - lo <= hi - top) THEN i - 1 ELSE i END ELSE -1 END::BIGINT AS anchor
+FROM (SELECT page, top, tol, i, tops[i] AS lo, tops[i + 1] AS hi FROM (SELECT w.page, w.top, tops, tol, len(list_filter(tops, lambda t: t <= w.top)) AS i FROM v_words w JOIN (SELECT page, list(DISTINCT top ORDER BY top) FILTER (WHERE word_num = 1 AND line_num % 2 = 1) AS tops, greatest(26, round_even(median(bottom - top) * 1.15, 0)) AS tol FROM v_words GROUP BY page) USING (page)))) GROUP BY page, anchor""")
 def nearest_anchor(spark: SparkSession, d: str) -> DataFrame:
     w = words(spark, d)
-    tops = w.where("word_num = 1").groupBy("page").agg(F.array_sort(F.collect_set("top")).alias("tops"))
-    at = w.join(tops, "page").withColumn("anchor", W.nearest_anchor(F.col("tops"), F.col("top")).cast("long"))
-    return at.groupBy("page", "anchor").agg(F.count("*").alias("n_words"))
+    with_height = w.join(W.median_height(w), "page")
+    at = A.nearest_anchors(with_height, w.where("word_num = 1 AND line_num % 2 = 1"), A.anchor_tolerance(F.col("median_height")))
+    return at.groupBy("page", F.coalesce("anchor", F.lit(-1)).alias("anchor")).agg(F.count("*").alias("n_words"))
 
 
-ORACLES["nearest_anchor"] = f"WITH {WORDS},\n{_ANCHORS}\nSELECT page, anchor, count(*) AS n_words FROM (SELECT page, (SELECT i - 1 FROM (SELECT unnest(tops) AS t, generate_subscripts(tops, 1) AS i) ORDER BY abs(t - top), i LIMIT 1) AS anchor FROM v_words JOIN an USING (page) WHERE line_num <= 40) GROUP BY page, anchor"
+@query("""SELECT page, anchor, count(*) AS n_words FROM (SELECT w.page, CASE WHEN tops IS NOT NULL THEN greatest(len(list_filter(tops, lambda t: t <= w.top - 6)) - 1, 0) ELSE -1 END::BIGINT AS anchor FROM v_words w JOIN (SELECT page, list(DISTINCT top ORDER BY top) FILTER (WHERE word_num = 1) AS tops FROM v_words GROUP BY page) USING (page)) GROUP BY page, anchor""")
+def asof_anchor(spark: SparkSession, d: str) -> DataFrame:
+    w = words(spark, d)
+    return A.asof_anchors(w, w.where("word_num = 1"), 6).groupBy("page", F.coalesce("anchor", F.lit(-1)).alias("anchor")).agg(F.count("*").alias("n_words"))
 
 
 @query(None)
-def asof_anchor(spark: SparkSession, d: str) -> DataFrame:
-    w = words(spark, d)
-    tops = w.where("word_num = 1").groupBy("page").agg(F.array_sort(F.collect_set("top")).alias("tops"))
-    at = w.join(tops, "page").withColumn("anchor", W.asof_anchor(F.col("tops"), F.col("top"), 6).cast("long"))
-    return at.groupBy("page", "anchor").agg(F.count("*").alias("n_words"))
+def issuer_anchor_rows(spark: SparkSession, d: str) -> DataFrame:
+    issuer = next((a, b) for n, a, b in EQUITY_BANDS if n == "issuer_name_raw")
+    return A.issuer_anchor_rows(words(spark, d).where(W.useful("equity") & ~W.is_tall()), issuer)
 
 
-ORACLES["asof_anchor"] = f"WITH {WORDS},\n{_ANCHORS}\nSELECT page, anchor, count(*) AS n_words FROM (SELECT page, greatest(len(list_filter(tops, lambda t: t <= top - 6)) - 1, 0)::BIGINT AS anchor FROM v_words JOIN an USING (page) WHERE line_num <= 40) GROUP BY page, anchor"
+@query(None)
+def bond_anchor_split(spark: SparkSession, d: str) -> DataFrame:
+    """Two lines of a page are one merged row."""
+    band = {n: (a, b) for n, a, b in _BOND_PIXELS}
+    w = words(spark, d).withColumn("row", F.floor((F.col("line_num") + 1) / 2).cast("int"))
+    return A.bond_anchor_parts(w, [band["capital_in_circulation_raw"], band["nominal_value_raw"], band["maturity_year_raw"]], band["security_name_raw"])
+
+
+@query(f""", {_FITTED},
+rb AS (SELECT page, line_num AS row_index, min(top) AS band_top, max(bottom) AS band_bottom FROM v_words GROUP BY page, line_num),
+bw AS (SELECT page, line_num, word_num, left_, text, (left_ + right_) // 2 AS mx, (top + bottom) // 2 AS my FROM v_words WHERE NOT regexp_matches(text, '{_RULES}') AND conf >= 12)
+SELECT w.page, row_index, "column", trim(regexp_replace(translate(string_agg(text, ' ' ORDER BY left_, line_num, word_num), '{{}}[]|', '     '), '\\s+', ' ', 'g')) AS text FROM bw w JOIN rb r ON w.page = r.page AND my >= band_top AND my < band_bottom JOIN fitted c ON c.page = w.page AND mx >= c.x0 AND mx < c.x1 GROUP BY w.page, row_index, "column" """)
+def backup_cell_texts(spark: SparkSession, d: str) -> DataFrame:
+    w = words(spark, d)
+    rows = w.groupBy("page", F.col("line_num").alias("row_index")).agg(F.min("top").alias("band_top"), F.max("bottom").alias("band_bottom"))
+    return backup_texts(rows, page_columns(w), w)
 
 
-@query("""SELECT r.page, r.line_num AS "row", count(*) AS n_words FROM (SELECT page, line_num, min(top) AS band_top, max(bottom) AS band_bottom, greatest(3, ((max(bottom) - min(top)) * 0.25)::DECIMAL(18, 4)::DOUBLE) AS pad FROM v_words WHERE line_num <= 10 GROUP BY page, line_num) r
+@query("""SELECT r.page, r.line_num AS "row", count(*) AS n_words FROM (SELECT page, line_num, min(top) AS band_top, max(bottom) AS band_bottom, greatest(3, ((max(bottom) - min(top)) * 0.25)::DECIMAL(18, 4)::DOUBLE) AS pad FROM v_words GROUP BY page, line_num) r
   JOIN v_words w ON w.page = r.page AND w.bottom >= r.band_top - floor(pad) AND w.top <= r.band_bottom + floor(pad) GROUP BY r.page, r.line_num""")
 def strip_band_join(spark: SparkSession, d: str) -> DataFrame:
     w = words(spark, d)
