@@ -3,8 +3,10 @@
 1. Anchors. Every string of LENGTH bytes is filed under the least-hashed GRAM-byte string inside it, so two equal
    strings are filed alike and at the same distance from it. Neighbouring strings with one anchor form a segment.
    Anchors that occur once in all documents hold no repeat and go; counts are aggregated before they're shuffled.
-2. Segments. What is left is cut from the texts, equal segments of a task made one with a multiplicity, and dealt by
-   anchor. All strings that could be equal are now in the same task, and in the same key group there.
+2. Segments. What is left is named by a digest, and equal segments are counted by name: one that occurs twice is repeated
+   as a whole. (Inside a segment no string repeats, as its distance from the anchor tells each apart.) An anchor
+   all of whose segments are equal is done with that. Of the other anchors' segments one copy each is cut from the texts, with
+   its multiplicity, and dealt by anchor: all strings that could be equal are now in the same task, and in the same key group.
 3. Transforms. The segments of a task are read as strings over symbols of STEP bytes, one string for each of the STEP
    places to begin at, so every byte begins a suffix. Shards of bounded size get their suffixes sorted and give a transform each (the
    symbol before each suffix in sorted order). Merging knows the transforms alone: it starts with the shards one after
@@ -13,14 +15,15 @@
    Runs that share LENGTH bytes are the repeated intervals; those of two or more occurrences mark their suffixes.
 4. The marks go back to the documents, where marked strings' bytes are removed.
 
-An anchor with more than HOT occurrences files each of its strings alone, under that string's own hash, so one
-passage that a third of all documents share spreads over tasks. Work and memory of a task are bounded by the shards'
-size and the largest key group.
+An anchor whose different segments have more than KEY_BYTES together files each of its strings under that string's own
+digest instead, and strings are counted by it, so a passage that a third of all documents share spreads over tasks.
+A merge takes MERGE_BYTES and one key group at most, about 140 bytes of memory for each byte. Names that occur more than HOT
+times are joined by broadcast, as there are few.
 
 Edge cases: a null or empty text has nothing to remove, nor have texts shorter than LENGTH; matches never cross
 documents; repeated rows are documents of their own, so a long enough text that is there twice is removed from both;
-equal doc_ids are told apart by their texts; very long texts are anchored in blocks; an empty table gives an empty
-result; further columns are ignored.
+equal doc_ids are told apart by their texts, and a null doc_id is one like any other; very long texts are anchored in
+blocks; an empty table gives an empty result; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -38,9 +41,10 @@ from folioframe.llm.shared import table, written
 LENGTH, GRAM, STEP = 200, 64, 50
 #: Starts that are anchored at a time in long texts.
 CHUNK = 1 << 20
-HOT = 200_000
-#: Bytes of segments to a shard, and to one merge if its key groups allow.
-SHARD_BYTES, MERGE_BYTES = 1 << 18, 1 << 20
+#: Keys and names with more occurrences are joined by broadcast, if they are no more than BROADCAST_ROWS.
+HOT, BROADCAST_ROWS = 20_000, 50_000
+#: Bytes of segments to a shard, to one merge, and of the different segments of an anchor to merge.
+SHARD_BYTES, MERGE_BYTES, KEY_BYTES = 1 << 18, 1 << 20, 1 << 20
 
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 _BYTE = np.random.default_rng(4_096).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -103,52 +107,82 @@ def found_anchors(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(each, "key bigint, doc_id bigint, text_hash bigint, place bigint")
 
 
-def _pieces(data: bytes, places: list[dict]):
-    """Key, bytes and start of a document's segments that may hold repeats."""
-    for x in places:
-        start, count = x["place"] >> 10, x["place"] & 1023
-        if x["hot"]:
-            for s in range(start, start + count):
-                piece = data[s : s + LENGTH]
-                yield xxhash.xxh3_64_intdigest(piece) - (1 << 63), piece, s
-        else:
-            yield x["key"], data[start : start + count + LENGTH - 1], start
+def pieces(docs: DataFrame) -> DataFrame:
+    """key, name (digest), doc_id, text_hash, start and size (starts) of every segment of docs (with the array places)."""
+
+    def each(batches):
+        for batch in batches:
+            keys, names, ids, hashes, at = [], [], [], [], []
+            places = batch.column(3)
+            for doc_id, h, text, found in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), places, strict=True):
+                data, found = text.encode(), found.values
+                place = found.field(1).to_numpy()
+                keys.append(found.field(0).to_numpy())
+                names += [xxhash.xxh3_128_digest(data[a : a + n + LENGTH - 1]) for a, n in zip((place >> 10).tolist(), (place & 1023).tolist(), strict=True)]
+                at.append(place)
+                ids += [doc_id] * len(place)
+                hashes += [h] * len(place)
+            at = np.concatenate(at) if at else np.empty(0, np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys) if keys else [], pa.int64()), pa.array(names, pa.binary()), pa.array(ids, pa.int64()), pa.array(hashes, pa.int64()), pa.array(at >> 10), pa.array((at & 1023).astype(np.int32))], names=["key", "name", "doc_id", "text_hash", "start", "size"])
+
+    return docs.select("doc_id", "text_hash", "text", "places").mapInArrow(each, "key bigint, name binary, doc_id bigint, text_hash bigint, start bigint, size int")
 
 
-def segments(docs: DataFrame) -> DataFrame:
-    """name (digest), key, data and copies of the segments of docs (columns text, places), equal ones of a batch as one."""
+def cut_out(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """key, name, data and copies of wanted segments (key, name, doc_id, text_hash, start, size, copies), from the texts."""
 
     def each(batches):
         for batch in batches:
-            seen: dict[bytes, list] = {}
-            for text, places in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                for key, piece, _ in _pieces(text.encode(), places):
-                    name = xxhash.xxh3_128_digest(piece)
-                    if name in seen:
-                        seen[name][2] += 1
-                    else:
-                        seen[name] = [key, piece, 1]
-            v = list(seen.values())
-            yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()), *[pa.array([x[k] for x in v], t) for k, t in enumerate((pa.int64(), pa.binary(), pa.int64()))]], names=["name", "key", "data", "copies"])
+            rows = []
+            for text, found in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                data = text.encode()
+                rows += [(x["key"], x["name"], data[x["start"] : x["start"] + x["size"] + LENGTH - 1], x["copies"]) for x in found]
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int64(), pa.binary(), pa.binary(), pa.int64()))], names=["key", "name", "data", "copies"])
 
-    return docs.select("text", "places").mapInArrow(each, "name binary, key bigint, data binary, copies bigint")
+    keys = ["id", "none", "text_hash"]  # without nulls, so that the join's partitioning serves the next step too
+    keyed = lambda df, *more: df.select(F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("doc_id").isNull().alias("none"), "text_hash", *more)
+    of_doc = keyed(wanted, F.struct("key", "name", "start", "size", "copies").alias("x")).groupBy(*keys).agg(F.collect_list("x").alias("found"))
+    texts = keyed(docs, "text").join(of_doc, keys).dropDuplicates(keys)  # repeated rows have the same segments
+    return texts.select("text", "found").mapInArrow(each, "key bigint, name binary, data binary, copies bigint")
 
 
-def occurrences(docs: DataFrame) -> DataFrame:
-    """name, doc_id, text_hash and start of every segment of docs (columns doc_id, text_hash, text, places)."""
+def _same():
+    return F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash"))
 
-    def each(batches):
+
+def string_marks(cut: DataFrame, spark: SparkSession) -> DataFrame:
+    """name and runs of repeated starts of segments (as cut_out() gives them), their strings counted one by one."""
+
+    def strings(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, 512):
+                names, digests, places, copies = [], [], [], []
+                for name, data, n in zip(*(batch.column(k).slice(at, 512).to_pylist() for k in range(3)), strict=True):
+                    size = len(data) - LENGTH + 1
+                    digests += [xxhash.xxh3_128_digest(data[k : k + LENGTH]) for k in range(size)]
+                    places += range(size)
+                    names += [name] * size
+                    copies += [n] * size
+                yield pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), pa.array(digests, pa.binary()), pa.array(places, pa.int32()), pa.array(copies, pa.int64())], names=["name", "string", "place", "copies"])
+
+    def runs(batches):
         for batch in batches:
-            names, ids, hashes, starts = [], [], [], []
-            for doc_id, h, text, places in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
-                for _, piece, start in _pieces(text.encode(), places):
-                    names.append(xxhash.xxh3_128_digest(piece))
-                    ids.append(doc_id)
-                    hashes.append(h)
-                    starts.append(start)
-            yield pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), pa.array(ids, pa.int64()), pa.array(hashes, pa.int64()), pa.array(starts, pa.int64())], names=["name", "doc_id", "text_hash", "start"])
+            found = [_runs(np.sort(np.array(x, np.int64))) for x in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int32()))], names=["name", "runs"])
+
+    rows = written(spark, cut.select("name", "data", "copies").mapInArrow(strings, "name binary, string binary, place int, copies bigint"), "strings")
+    often = rows.groupBy("string").agg(F.sum("copies").alias("n"), F.count("*").alias("m")).where("n > 1")
+    found = _joined(rows.where("copies = 1"), written(spark, often, "repeated"), "string", "m")
+    return found.groupBy("name").agg(F.collect_list("place").alias("places")).mapInArrow(runs, "name binary, runs array<int>")
 
-    return docs.select("doc_id", "text_hash", "text", "places").mapInArrow(each, "name binary, doc_id bigint, text_hash bigint, start bigint")
+
+def _joined(rows: DataFrame, values: DataFrame, key: str, count: str) -> DataFrame:
+    """rows joined with the values of a key, which has count rows: by broadcast where there are many, else by a shuffle."""
+    hot = values.where(F.col(count) > HOT)
+    if not 0 < hot.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        return rows.join(values, key)
+    few = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(values.where(F.col(count) <= HOT), key)
+    return few.unionByName(rows.join(F.broadcast(hot), key))
 
 
 def _stable_order(ranks: np.ndarray) -> np.ndarray:
@@ -195,8 +229,8 @@ class Shard:
         self.before = before[self.order]
 
 
-def merge(shards: list[Shard]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Interleave (shard of each suffix in merged order), block (runs that share LENGTH bytes) and common prefix.
+def merge(shards: list[Shard]) -> tuple[np.ndarray, np.ndarray]:
+    """Interleave (shard of each suffix in merged order) and common prefix.
 
     The common prefix of each suffix with the one before it is in symbols. Only the shards' transforms are read.
     """
@@ -223,7 +257,7 @@ def merge(shards: list[Shard]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         interleave = np.concatenate([ends, interleave[order]])
         common[new & (common > h)] = h
         block = np.cumsum(new) - 1
-    return interleave, block, common
+    return interleave, common
 
 
 def repeated(pieces: list[bytes], copies: list[int]) -> list[np.ndarray]:
@@ -236,7 +270,8 @@ def repeated(pieces: list[bytes], copies: list[int]) -> list[np.ndarray]:
             shards.append(Shard(shard, copies[first[-1] : k + 1]))
             first.append(k + 1)
             shard, size = [], 0
-    interleave, block, _ = merge(shards)
+    interleave, common = merge(shards)
+    block = np.cumsum(common < LENGTH // STEP)  # the repeated intervals: runs with a long enough common prefix
     out: list[np.ndarray] = [np.empty(0, np.int64)] * len(pieces)
     weight = np.zeros(len(block), np.int64)
     whole = np.zeros(len(block), bool)
@@ -264,13 +299,13 @@ def _runs(starts: np.ndarray) -> list[int]:
 
 
 def marks(found: DataFrame) -> DataFrame:
-    """name and runs of repeated starts of the segments that have any. A key's segments share a task and a merge."""
+    """name and runs of repeated starts of the segments of one copy that have any. A key's segments share a task and a merge."""
 
     def each(batches):
         names, pieces, copies, size, last = [], [], [], 0, None
 
         def flush():
-            done = [(n, _runs(s)) for n, s in zip(names, repeated(pieces, copies), strict=True) if len(s)]
+            done = [(n, _runs(s)) for n, s, c in zip(names, repeated(pieces, copies), copies, strict=True) if len(s) and c == 1]
             return pa.RecordBatch.from_arrays([pa.array([x[0] for x in done], pa.binary()), pa.array([x[1] for x in done], pa.list_(pa.int32()))], names=["name", "runs"])
 
         for batch in batches:
@@ -278,13 +313,10 @@ def marks(found: DataFrame) -> DataFrame:
                 if size >= MERGE_BYTES and key != last:
                     yield flush()
                     names, pieces, copies, size = [], [], [], 0
-                if names and names[-1] == name:
-                    copies[-1] += n
-                else:
-                    names.append(name)
-                    pieces.append(data)
-                    copies.append(n)
-                    size += len(data)
+                names.append(name)
+                pieces.append(data)
+                copies.append(n)
+                size += len(data)
                 last = key
         if names:
             yield flush()
@@ -329,18 +361,32 @@ def _finished(docs: DataFrame, text: bool) -> DataFrame:
     return docs.select("doc_id", "text", "starts", "runs").mapInArrow(each, RESULT + (", kept_bytes binary" if text else ""))
 
 
-def remove_repeats(spark: SparkSession, docs: DataFrame, text: bool = False, hot: int = HOT) -> DataFrame:
+def repeated_runs(spark: SparkSession, may: DataFrame, found: DataFrame, key_bytes: int = KEY_BYTES) -> DataFrame:
+    """name, runs and m (occurrences) of the segments (found: as pieces() gives them) that hold repeated strings."""
+    first = F.min(F.struct("doc_id", "text_hash", "start", "size")).alias("x")
+    names = written(spark, found.groupBy("key", "name").agg(F.count("*").alias("copies"), first).select("key", "name", "copies", "x.*"), "names")
+    several = names.groupBy("key").agg(F.count("*").alias("n"), F.sum(F.col("size") + LENGTH - 1).alias("bytes")).where("n > 1").select("key", (F.col("bytes") > key_bytes).alias("big"), "n")
+    mixed = _joined(names, written(spark, several, "mixed"), "key", "n")
+    cut = written(spark, cut_out(may, mixed.where("NOT big").select(*names.columns)), "segments")
+    by_merge = marks(cut)
+    by_string = string_marks(cut_out(may, mixed.where("big").select(*names.columns)), spark)
+    whole = names.where("copies > 1").select("name", F.array(F.lit(0), F.col("size") - 1).alias("runs"), F.col("copies").alias("m"))
+    return whole.union(by_merge.union(by_string).select("name", "runs", F.lit(1).cast("long").alias("m")))
+
+
+def remove_repeats(spark: SparkSession, docs: DataFrame, text: bool = False, key_bytes: int = KEY_BYTES) -> DataFrame:
     """One row for each document: how much was removed, and a digest of what stays; with text, what stays too."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_hash"))
-    found = written(spark, found_anchors(rows), "anchors")
-    often = found.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key", (F.col("n") > hot).alias("hot"))
-    of_doc = found.join(often, "key").groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("key", "place", "hot")).alias("places")).withColumnsRenamed({"doc_id": "_id", "text_hash": "_hash"})
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash"))
-    joined = written(spark, rows.join(of_doc, same, "left").drop("_id", "_hash"), "candidates")
+    anchored = written(spark, found_anchors(rows), "anchors")
+    often = written(spark, anchored.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "often")
+    of_doc = _joined(anchored, often, "key", "n").groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("key", "place")).alias("places")).withColumnsRenamed({"doc_id": "_id", "text_hash": "_hash"})
+    joined = written(spark, rows.join(of_doc, _same(), "left").drop("_id", "_hash"), "candidates")
     may = joined.where("places IS NOT NULL")
-    runs = written(spark, marks(segments(may)), "marks")
-    at = occurrences(may).join(runs, "name").groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("start", "runs")).alias("x")).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("x.start").alias("starts"), F.col("x.runs").alias("runs"))
-    some = _finished(may.join(at, same, "left"), text)
+    found = written(spark, pieces(may), "pieces")
+    runs = written(spark, repeated_runs(spark, may, found, key_bytes), "marks")
+    hit = _joined(found.select("name", "doc_id", "text_hash", "start"), runs, "name", "m")
+    at = hit.groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("start", "runs")).alias("x")).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("x.start").alias("starts"), F.col("x.runs").alias("runs"))
+    some = _finished(may.join(at, _same(), "left"), text)
     nothing = joined.where("places IS NULL").select("doc_id", "text", F.lit(None).cast("array<bigint>").alias("starts"), F.lit(None).cast("array<array<int>>").alias("runs"))
     return some.union(_finished(nothing, text))
 

@@ -51,8 +51,8 @@ def test_repeated_strings_by_brute_force(spark, texts, empty):
                 gone[i : i + 200] = b"\1" * 200
         spans = sum(1 for i, g in enumerate(gone) if g and not (i and gone[i - 1]))
         expected.append((len(d), sum(gone), spans, hashlib.sha256(bytes(x for x, g in zip(d, gone) if not g)).hexdigest()))
-    for hot in (suffix_dedup.HOT, 1):
-        got = suffix_dedup.remove_repeats(spark, frame(spark, texts), hot=hot).orderBy("doc_id").collect()
+    for key_bytes in (suffix_dedup.KEY_BYTES, 1):
+        got = suffix_dedup.remove_repeats(spark, frame(spark, texts), key_bytes=key_bytes).orderBy("doc_id").collect()
         assert [tuple(r)[1:] for r in got] == expected
     assert suffix_dedup.remove_repeats(spark, empty).count() == 0
 
@@ -63,8 +63,8 @@ def test_merge_gives_common_prefixes():
     base = bytes(random.choice(b"ab") for _ in range(900))
     pieces = [base[:400], base[100:500], base[600:900]]
     shards = [suffix_dedup.Shard([p], [1]) for p in pieces]
-    interleave, block, common = suffix_dedup.merge(shards)
-    order = np.empty(len(block), object)
+    interleave, common = suffix_dedup.merge(shards)
+    order = np.empty(len(common), object)
     for k, s in enumerate(shards):
         order[interleave == k] = [pieces[k][i:] for i in s.order]
     whole = [(x, y, c) for x, y, c in zip(order[:-1], order[1:], common[1:]) if len(x) >= length and len(y) >= length]
@@ -130,9 +130,9 @@ def test_near_duplicates_in_a_crowded_region_by_brute_force(spark, monkeypatch):
     want = near_components(noisy)
     assert 1 < len(set(want)) < len(noisy)
     docs = frame(spark, noisy)
-    for block in (near_dedup.BLOCK, 16):
-        monkeypatch.setattr(near_dedup.between, "__defaults__", (block,))
-        assert {r.doc_id: r.component_id for r in near_dedup.clusters(spark, docs).collect()} == dict(enumerate(want)), block
+    for leaf in (near_dedup.LEAF, 16):
+        monkeypatch.setattr(near_dedup.again, "__defaults__", (leaf,))
+        assert {r.doc_id: r.component_id for r in near_dedup.clusters(spark, docs, leaf=leaf).collect()} == dict(enumerate(want)), leaf
 
 
 def test_near_duplicates_of_a_null_id(spark):
