@@ -1,15 +1,20 @@
 """Quality rules with thresholds read from mergeable quantile sketches.
 
-Each document gets integer measures of its whole text. A sketch of a measure is a histogram whose bins are exact up
-to 31 and then 16 to each power of two, so a quantile read from it is at most 1/16 too high. Sketches merge by adding
-counts: Spark's partial aggregation builds one for each language and source, and adding those gives the sketches of a
-language and of the corpus, which stand in for sources with few documents. The upper fence of a measure is its upper
-quartile and three times the quartile range above it, but never below a slack, so that sources without any spread keep
-their clean documents. A document with a measure over its fence is rejected.
-
-Edge cases: a null text has no words and fails the base rules; a null language or source is a group of its own;
-repeated rows count as often as they occur, each getting its own row; an empty table gives an empty result; further
-columns of the input pass through filter_documents() and are ignored by judge().
+Each document gets integer measures of its whole text, each a count in so many units of the text. A sketch of a measure
+is a histogram of the shares, whose bins are exact up to 31 and then 16 to each power of two, so a quantile read from it
+is at most 1/16 too high. Sketches merge by adding counts: Spark's partial aggregation builds one for each language and
+source, of the documents that pass the base rules, and adding those gives the sketches of a language and of the corpus.
+
+The upper fence of a measure is its upper quartile and SPREADS times its spread, which is the quartile range or, where most
+documents have the same share, the mean's distance from the median if that is more. A source's fence is drawn towards its
+language's, and that towards the corpus's, as if PRIOR documents of the wider group were its own; no group's size
+switches anything. A document is rejected if a count is above the fence by more than chance (NOISE standard errors
+of the count) explains, so that short texts aren't judged by one line or word. There are no fixed cutoffs.
+
+Edge cases: a null text has no words and fails the base rules; a null language or source is a group of its own; shares
+equal to a fence are kept; repeated rows and ids count as often as they occur, each getting its own row; with no document
+that passes the base rules there is no fence, and nothing else is rejected; an empty table gives an empty result; texts of
+any length are measured whole; further columns of the input, of any name, pass through filter_documents() and are ignored by judge().
 """
 
 from __future__ import annotations
@@ -22,11 +27,16 @@ from pyspark.sql.window import Window
 
 from folioframe.llm.shared import WORD_GAP, bounded, table, written
 
-#: Measure: the least upper fence, in the unit of the measure.
-SLACK = {"symbol_pm": 50, "repeat_pm": 350, "dup_line_pm": 400, "word_len_pc": 680, "upper_pm": 200}
-SPREADS = 3
-#: Groups with fewer documents use the sketch of their language, and then that of the corpus.
-MIN_DOCS = 200
+#: Measure: the count, what it is a share of, the scale, and how much the count grows with each event.
+MEASURES = {
+    "symbol_pm": ("n_symbols", "word_chars", 1000, 1),
+    "repeat_pm": ("n_repeat_words", "n_words", 1000, 6),  # two windows of three words
+    "dup_line_pm": ("n_dup_lines", "n_lines", 1000, 1),
+    "word_len_pc": ("word_chars", "n_words", 100, 1),
+    "upper_pm": ("n_upper", "word_chars", 1000, 1),
+}
+SPREADS, NOISE = 3, 3
+PRIOR = 100
 #: At most so many rows of fences are broadcast; beyond it the join shuffles, and Spark splits hot keys.
 BROADCAST_ROWS = 50_000
 KEYS = ("lang", "source")
@@ -63,14 +73,8 @@ def measure(docs: DataFrame) -> DataFrame:
     made = ["n_words", "word_chars", "n_symbols", "n_upper", "n_lines", "n_dup_lines", "n_repeat_words"]
     # a generator keeps the optimizer from copying these expressions into filters that use them
     t = t.select(*[f"`{c}`" for c in docs.columns], F.inline(F.array(F.struct(*made))))
-    return t.withColumns({
-        "base_failed": (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")),
-        "symbol_pm": ratio("n_symbols", 1000, "word_chars"),
-        "repeat_pm": ratio("n_repeat_words", 1000, "n_words"),
-        "dup_line_pm": ratio("n_dup_lines", 1000, "n_lines"),
-        "word_len_pc": ratio("word_chars", 100, "n_words"),
-        "upper_pm": ratio("n_upper", 1000, "word_chars"),
-    })
+    failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+    return t.withColumns({"base_failed": failed, **{m: ratio(x, scale, n) for m, (x, n, scale, _) in MEASURES.items()}})
 
 
 def sketch_bin(x: Column) -> Column:
@@ -86,9 +90,9 @@ def bin_top(b: Column) -> Column:
 
 
 def sketches(measured: DataFrame) -> DataFrame:
-    """One row for each language, source, measure and bin that occurs, with its count."""
-    pairs = F.array(*[F.struct(F.lit(m).alias("measure"), sketch_bin(F.col(m)).alias("bin")) for m in SLACK])
-    return measured.select(*KEYS, F.explode(pairs).alias("x")).groupBy(*KEYS, "x.measure", "x.bin").agg(F.count("*").alias("n"))
+    """One row for each language, source, measure and bin that occurs, with its count of documents that pass the base rules."""
+    pairs = F.array(*[F.struct(F.lit(m).alias("measure"), sketch_bin(F.col(m)).alias("bin")) for m in MEASURES])
+    return measured.where("NOT base_failed").select(*KEYS, F.explode(pairs).alias("x")).groupBy(*KEYS, "x.measure", "x.bin").agg(F.count("*").alias("n"))
 
 
 def merged(parts: DataFrame, keys: list[str]) -> DataFrame:
@@ -100,42 +104,49 @@ def fences(sketch: DataFrame, keys: list[str], name: str) -> DataFrame:
     """keys, measure, the number of documents and the upper fence."""
     w = Window.partitionBy(*keys, "measure")
     run = sketch.withColumns({"_all": F.sum("n").over(w), "_upto": F.sum("n").over(w.orderBy("bin"))})
-    at = lambda q: F.min(F.when(F.col("_upto") * 100 >= F.col("_all") * q, F.col("bin")))
-    q = run.groupBy(*keys, "measure").agg(F.max("_all").alias("docs"), bin_top(at(25)).alias("q1"), bin_top(at(75)).alias("q3"))
-    slack = F.create_map(*[F.lit(x) for m, s in SLACK.items() for x in (m, s)])[F.col("measure")]
-    return q.select(*keys, "measure", F.col("docs").alias(f"docs_{name}"), F.greatest(F.col("q3") + SPREADS * (F.col("q3") - F.col("q1")), slack.cast("long")).alias(f"fence_{name}"))
+    at = lambda q: bin_top(F.min(F.when(F.col("_upto") * 100 >= F.col("_all") * q, F.col("bin"))))
+    total = F.sum(F.col("n") * bin_top(F.col("bin")))
+    q = run.groupBy(*keys, "measure").agg(F.max("_all").alias("docs"), at(25).alias("q1"), at(50).alias("q2"), at(75).alias("q3"), total.alias("total"))
+    spread = F.greatest(F.expr("q3 - q1"), F.expr("total div docs - q2"))
+    return q.select(*keys, "measure", F.col("docs").alias(f"docs_{name}"), (F.col("q3") + SPREADS * spread).alias(f"fence_{name}"))
 
 
-def thresholds(spark: SparkSession, measured: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
+def thresholds(spark: SparkSession, measured: DataFrame, prior: int = PRIOR) -> DataFrame:
     """One row for each language and source: fence_<measure> for every measure."""
     parts = written(spark, sketches(measured), "sketches")
     own = fences(parts, [*KEYS], "own")
     lang = fences(merged(parts, ["lang"]), ["lang"], "lang")
     every = fences(merged(parts, []), [], "all")
     all_ = own.alias("o").join(lang.alias("l"), F.col("o.lang").eqNullSafe(F.col("l.lang")) & (F.col("o.measure") == F.col("l.measure"))).join(F.broadcast(every.alias("a")), F.col("o.measure") == F.col("a.measure"))
-    picked = all_.select("o.lang", "o.source", "o.measure", F.when(F.col("docs_own") >= min_docs, F.col("fence_own")).when(F.col("docs_lang") >= min_docs, F.col("fence_lang")).otherwise(F.col("fence_all")).alias("fence"))
-    wide = picked.groupBy(*KEYS).agg(*[F.max(F.when(F.col("measure") == m, F.col("fence"))).alias(f"fence_{m}") for m in SLACK])
+    drawn = lambda fence, docs, wider: F.expr(f"({fence} * {docs} + {wider} * {prior}) div ({docs} + {prior})")
+    picked = all_.withColumn("wider", drawn("fence_lang", "docs_lang", "fence_all")).select("o.lang", "o.source", "o.measure", drawn("fence_own", "docs_own", "wider").alias("fence"))
+    wide = picked.groupBy(*KEYS).agg(*[F.max(F.when(F.col("measure") == m, F.col("fence"))).alias(f"fence_{m}") for m in MEASURES])
     return written(spark, wide, "fences")
 
 
-def judge(spark: SparkSession, docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
+def judge(spark: SparkSession, docs: DataFrame, prior: int = PRIOR) -> DataFrame:
     """doc_id, lang and source of docs with all measures, fences and kept."""
     measured = written(spark, measure(docs.select("doc_id", "text", *KEYS)).drop("text"), "measures")
-    return _verdict(measured, thresholds(spark, measured, min_docs))
+    return _verdict(measured, thresholds(spark, measured, prior))
+
+
+def _over(measure: str) -> Column:
+    x, n, scale, unit = MEASURES[measure]
+    above = (scale * F.col(x) - F.col(f"fence_{measure}") * F.col(n)).cast("double")
+    return F.coalesce((above > 0) & (above * above > F.col(x).cast("double") * float(NOISE * NOISE * unit * scale * scale)), F.lit(False))
 
 
 def _verdict(measured: DataFrame, fence: DataFrame) -> DataFrame:
-    f = bounded(fence.select(F.col("lang").alias("_lang"), F.col("source").alias("_source"), *[f"fence_{m}" for m in SLACK]), BROADCAST_ROWS)
-    joined = measured.join(f, F.col("lang").eqNullSafe(F.col("_lang")) & F.col("source").eqNullSafe(F.col("_source"))).drop("_lang", "_source")
-    over = reduce(lambda a, b: a | b, [F.col(m) > F.col(f"fence_{m}") for m in SLACK])
-    return joined.withColumn("kept", ~F.col("base_failed") & ~over)
+    f = bounded(fence.select(F.col("lang").alias("_lang"), F.col("source").alias("_source"), *[f"fence_{m}" for m in MEASURES]), BROADCAST_ROWS)
+    joined = measured.join(f, F.col("lang").eqNullSafe(F.col("_lang")) & F.col("source").eqNullSafe(F.col("_source")), "left").drop("_lang", "_source")
+    return joined.withColumn("kept", ~F.col("base_failed") & ~reduce(lambda a, b: a | b, map(_over, MEASURES)))
 
 
-def filter_documents(spark: SparkSession, docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
-    """docs without the rejected ones, columns as they were."""
-    inner = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), "doc_id", "text", *KEYS)
-    fence = thresholds(spark, written(spark, measure(docs.select("text", *KEYS)).select(*KEYS, *SLACK), "measures"), min_docs)
-    return _verdict(measure(inner), fence).where("kept").select("_row.*")
+def filter_documents(spark: SparkSession, docs: DataFrame, prior: int = PRIOR) -> DataFrame:
+    """docs without the rejected ones, columns as they were. The texts are measured once and written with their measures."""
+    inner = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), "text", *KEYS)
+    measured = written(spark, measure(inner).drop("text"), "measures")
+    return _verdict(measured, thresholds(spark, measured, prior)).where("kept").select("_row.*")
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
