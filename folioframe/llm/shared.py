@@ -47,12 +47,16 @@ def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession) -> None:
-    """Delete the tables that written() has made; call it once their results are stored."""
+def release(spark: SparkSession, keep: DataFrame | None = None) -> None:
+    """Delete the tables that written() has made, but for those that keep reads; call it once their results are stored."""
     jvm = spark.sparkContext._jvm
+    used = keep.inputFiles() if keep is not None else []
+    kept = {p for p in _written if any(p.split("://")[-1].lstrip("/") in f for f in used)}
     while _written:
-        path = jvm.org.apache.hadoop.fs.Path(_written.pop())
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        if (p := _written.pop()) not in kept:
+            path = jvm.org.apache.hadoop.fs.Path(p)
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    _written.extend(sorted(kept))
 
 
 def bounded(df: DataFrame, rows: int) -> DataFrame:
