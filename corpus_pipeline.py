@@ -5,6 +5,11 @@ duplicates leave one document of each group, personal data is replaced in the te
 that any stretch of the files follows the sources' target weights, and the last stage encodes the texts. Files may be read
 in any order, so the last stage finds each document's slot and rank again, from its rows alone, and returns them: the
 result ordered by slot and rank is the mix.
+
+Edge cases, in every stage: an empty table gives an empty one; columns beyond those of documents, of any name, pass through
+all but the last; documents without a text go in the first stage, as they fail the base rules; rows with a null doc_id, lang
+or source are rows like others; of near duplicates without ids one of each class stays; repeated rows count as copies of
+each other, so one stays; texts of any length are taken whole.
 """
 
 from __future__ import annotations
@@ -12,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from folioframe.llm import bpe, mixing, near_dedup, pii, quality_rules
-from folioframe.llm.shared import table, written
+from folioframe.llm.shared import release, table, written
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,7 +42,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Number of tokens, digests of ids and decoded text, and place in the mix (slot and rank) of each document."""
-    at = mixing.slotted(spark, docs, ["doc_id", "text"], mixing.WEIGHTS).select("_row.*", "slot", "rank")
+    at = mixing.slotted(spark, docs, ["doc_id", "text"]).select("_row.*", "slot", "rank")
     return bpe.digest(spark, at, bpe.vocabulary("byte_bpe_50k.json"), ("slot", "rank"))
 
 
@@ -51,4 +56,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = written(spark, stage(spark, docs, sf_dir), f"stage-{name}")
+        release(spark, keep=docs)  # what the stage has written on its way
     return STAGES[-1][1](spark, docs, sf_dir)
