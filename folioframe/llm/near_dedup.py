@@ -9,17 +9,18 @@ depth that it needs. Orders are dealt by ranges of signature and class, so a cro
 read as a stream, of which a task holds a batch and a stretch.
 
 1. All pairs in a stretch are estimated from whole signatures. Pairs that may reach the threshold are confirmed on the full
-   sets: not pair by pair, but by groups of classes that such pairs connect, each group with its sets in one task, of at
-   most GROUP_SHINGLES (a larger group is dealt over tasks two parts at a time). A group gives a spanning forest of its
-   links, so rows grow with the classes, not with their pairs. Links make components.
+   sets: not pair by pair, but by groups of classes that such pairs connect, in all trees if the group fits a task
+   (GROUP_SHINGLES, GROUP_MEMBERS), else in each stretch (one of too many shingles is dealt over tasks two parts at a
+   time). A group gives a spanning forest of its links, so rows grow with the classes, not with their pairs. Links make
+   components.
 2. Stretches of more than LEAF classes that agree on DEPTH values are cut in the first step, and so is a stretch that
-   goes over the border of two tasks. Their classes are searched again together, all pairs of different components, in
-   tasks of BLOCK classes a side.
+   goes over the border of two tasks. Their classes are searched again together, all pairs of different components but
+   those that a group has settled, in tasks of BLOCK classes a side.
 
 Every pair that agrees on the needed depth in a tree is thus estimated. A pair at 0.8 is missed with a chance of 3e-11
 where stretches are not crowded (three values) and 6e-5 at the full depth; or if its estimate is low by six standard errors.
 Where many components agree on DEPTH values and no link joins them, the work grows with the square of their number.
-(A crowded stretch that goes over both borders of a task of fewer than LEAF rows isn't joined beyond it; tasks have more.)
+(A stretch that goes over both borders of a task of fewer than LEAF rows isn't joined beyond it; tasks are made larger.)
 
 Edge cases: a null or empty text, or one of white space, has an empty set and no links; fewer words than a shingle
 make one shingle; repeated rows have equal sets and so are linked, each with its own row; a null doc_id is in a class
@@ -58,6 +59,8 @@ GROUP_SHINGLES = 2_000_000
 TASK_ROWS = 20_000
 #: Pairs that are estimated at once.
 PAIRS_AT_ONCE = 16_000
+#: Classes of one such group, so that all its pairs can be counted at once.
+GROUP_MEMBERS = 4096
 #: Cells of the matrix in which common shingles are counted.
 MATRIX_CELLS = 4_000_000
 #: At most so many cut stretches are broadcast; beyond it the join shuffles.
@@ -194,10 +197,8 @@ def stretches(classes: DataFrame, trees: int, depth: int, shallow: int, leaf: in
         def border(k: np.ndarray, c: np.ndarray, number: int) -> None:
             """Rows beside a border (the first row stands at it) that agree with the row there."""
             agreed = (np.logical_and.accumulate(k == k[:1], 1).sum(1) + 1) // 2 - 1
-            names, prefix = _names(c[agreed >= shallow]), k[0, : 2 * shallow + 1].tobytes()
-            out.append((True, xxhash.xxh3_128_digest(prefix + number.to_bytes(4, "big")), names))
-            if len(names) < leaf:  # then the stretch may go on beyond the next task
-                out.append((True, xxhash.xxh3_128_digest(prefix), names))
+            prefix = k[0, : 2 * shallow + 1].tobytes() + number.to_bytes(4, "big")
+            out.append((True, xxhash.xxh3_128_digest(prefix), _names(c[agreed >= shallow])))
             out.append((True, xxhash.xxh3_128_digest(k[0].tobytes()), _names(c[agreed >= depth])))
 
         def taken(closed: bool) -> int:
@@ -343,20 +344,50 @@ def _linked(sets: list[np.ndarray], percent: int) -> tuple[np.ndarray, np.ndarra
         return (np.array([0]), np.array([1])) if ok else (np.empty(0, int),) * 2
     flat, row = np.concatenate(sets), np.repeat(np.arange(len(sets)), n)
     _, column, times = np.unique(flat, return_inverse=True, return_counts=True)
-    often = times > 1  # a shingle of one set is in no intersection
-    number = np.cumsum(often) - 1
-    keep = often[column]
-    row, column = row[keep], number[column[keep]]
     order = np.argsort(column, kind="stable")
-    row, column = row[order], column[order]
-    same = np.zeros((len(sets), len(sets)), np.float64)
+    row, first = row[order], np.cumsum(times) - times
+    same = np.zeros((len(sets), len(sets)), np.float32)
+    rare = max(16, len(sets) // 32)
+    # shingles of few sets pair by pair (of one set: in no intersection), the others as columns of a matrix
+    for c in np.unique(times[(times > 1) & (times <= rare)]).tolist():
+        at = first[times == c]
+        x, y = np.triu_indices(c, 1)
+        for k in range(0, len(at), max(1, MATRIX_CELLS // (8 * len(x)))):
+            members = row[at[k : k + max(1, MATRIX_CELLS // (8 * len(x))), None] + np.arange(c)[None, :]]
+            np.add.at(same, (members[:, x].ravel(), members[:, y].ravel()), 1)
+    same += same.T
+    often = np.flatnonzero(times > rare)
     width = max(1, MATRIX_CELLS // len(sets))
-    for first in range(0, int(often.sum()), width):
-        a, b = np.searchsorted(column, (first, first + width))
-        has = np.zeros((len(sets), width), np.float32)
-        has[row[a:b], column[a:b] - first] = 1
+    for k in range(0, len(often), width):
+        some = often[k : k + width]
+        has = np.zeros((len(sets), len(some)), np.float32)
+        for j, c in enumerate(some.tolist()):
+            has[row[first[c] : first[c] + times[c]], j] = 1
         same += has @ has.T
-    return np.nonzero(np.triu(100 * same >= percent * (n[:, None] + n[None, :] - same), 1))
+    lefts, rights = [], []
+    for k in range(0, len(sets), 256):  # wide numbers for a few rows at a time
+        part = same[k : k + 256].astype(np.float64)
+        x, y = np.nonzero(100 * part >= percent * (n[k : k + 256, None] + n[None, :] - part))
+        lefts.append(x[x + k < y] + k)
+        rights.append(y[x + k < y])
+    return np.concatenate(lefts), np.concatenate(rights)
+
+
+def regrouped(spark: SparkSession, groups: DataFrame, classes: DataFrame, group_shingles: int = GROUP_SHINGLES, members: int = GROUP_MEMBERS) -> DataFrame:
+    """grp, cls and settled: groups with those that share classes made one, unless that is too large for a task.
+
+    Groups of different trees overlap in most of their classes; as one, their sets are read once and not for each tree.
+    A settled class is in that one group, and all pairs of it are confirmed or not with the group.
+    """
+    least = groups.groupBy("grp").agg(F.min("cls").alias("b"))
+    roots = components(spark, groups.join(least, "grp").select(F.col("cls").alias("a"), "b"))
+    nodes = roots.select(F.col("a").alias("cls"), F.col("b").alias("root")).union(roots.select("b", "b").distinct())
+    sized = written(spark, nodes.join(classes.select("cls", "n"), "cls").select("root", "cls", "n"), "nodes")
+    small = sized.groupBy("root").agg(((F.sum("n") <= group_shingles) & (F.count("*") <= members)).alias("small"))
+    placed = written(spark, sized.join(small, "root").select(F.col("root").alias("grp"), "cls", "small"), "placed")
+    large = placed.where("NOT small").select("cls")
+    rest = groups.join(bounded(large, BROADCAST_ROWS), "cls", "left_semi")
+    return placed.where("small").select("grp", "cls", F.lit(True).alias("settled")).union(rest.select("grp", "cls", F.lit(False)))
 
 
 def confirmed(groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -393,20 +424,21 @@ def again(cut: DataFrame, classes: DataFrame, block: int = BLOCK) -> DataFrame:
     """Cells (as promising() takes them) of all pairs of classes of a cut stretch (cell, cls) with different labels.
 
     classes: cls, lab, n, sig. In a stretch the label with most classes is dealt in blocks, and so are the other classes
-    together: a cell gets a block of either, or two blocks of the others.
+    together: a cell gets a block of either, or two blocks of the others. Where no label has two classes, all are others.
     """
     at = cut.distinct().join(classes.select("cls", "lab"), "cls")
     sizes = at.groupBy("cell", "lab").agg(F.count("*").alias("m")).groupBy("cell").agg(F.max(F.struct("m", "lab")).alias("top"), F.sum("m").alias("all"), F.count("*").alias("labels")).where("labels > 1")
     blocks: Callable[[Column], Column] = lambda m: F.ceil(m / block).cast("int")
-    sizes = sizes.select("cell", F.col("top.lab").alias("main"), "labels", blocks(F.col("top.m")).alias("k"), blocks(F.col("all") - F.col("top.m")).alias("q"))
-    rows = at.join(bounded(sizes, BROADCAST_ROWS), "cell").withColumn("is_main", F.col("lab") == F.col("main"))
+    sizes = sizes.select("cell", F.when(F.col("top.m") > 1, F.col("top.lab")).alias("main"), "labels", blocks(F.col("top.m")).alias("k"), blocks(F.col("all") - F.when(F.col("top.m") > 1, F.col("top.m")).otherwise(0)).alias("q"))
+    rows = at.join(bounded(sizes, BROADCAST_ROWS), "cell").withColumn("is_main", F.col("lab").eqNullSafe(F.col("main")))
     own = F.pmod(F.xxhash64("cls", F.lit(1)), F.when(F.col("is_main"), F.col("k")).otherwise(F.col("q"))).cast("int")
     rows = rows.withColumn("own", own)
     cell = lambda kind, i, j, side: F.struct(F.lit(kind).alias("kind"), i.alias("i"), j.alias("j"), side.alias("side"))
     own, upto = F.col("own"), lambda m: F.sequence(F.lit(0), F.col(m) - 1)
     others = F.transform(upto("q"), lambda j: cell(1, F.least(own, j), F.greatest(own, j), F.when(own == j, 0).when(own < j, 1).otherwise(2)))
-    others = F.when(F.col("labels") > 2, others).otherwise(F.array().cast("array<struct<kind:int,i:int,j:int,side:int>>"))
-    cells = F.when(F.col("is_main"), F.transform(upto("q"), lambda j: cell(0, own, j, F.lit(1)))).otherwise(F.concat(F.transform(upto("k"), lambda i: cell(0, i, own, F.lit(2))), others))
+    others = F.when((F.col("labels") > 2) | F.col("main").isNull(), others).otherwise(F.array().cast("array<struct<kind:int,i:int,j:int,side:int>>"))
+    beside = F.when(F.col("main").isNotNull(), F.transform(upto("k"), lambda i: cell(0, i, own, F.lit(2)))).otherwise(F.array().cast("array<struct<kind:int,i:int,j:int,side:int>>"))
+    cells = F.when(F.col("is_main"), F.transform(upto("q"), lambda j: cell(0, own, j, F.lit(1)))).otherwise(F.concat(beside, others))
     rows = rows.select("cls", "cell", F.explode(cells).alias("x"))
     name = F.unhex(F.md5(F.concat("cell", F.concat_ws(":", "x.kind", "x.i", "x.j").cast("binary"))))
     return rows.select("cls", name.alias("cell"), "x.side").join(classes, "cls")
@@ -435,17 +467,20 @@ def clusters(spark: SparkSession, docs: DataFrame, size: int = SHINGLE, percent:
     classes = own.where("cls IS NOT NULL").groupBy("cls").agg(first.alias("x"), F.first("sig").alias("sig"), F.first("n_shingles").alias("n"))
     classes = written(spark, classes.select("cls", "x.doc_id", "x.text_hash", "sig", "n"), "classes")
 
-    def links_of(cells: DataFrame) -> DataFrame:
+    def links_of(cells: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Confirmed links, and the settled classes with their group."""
         groups = written(spark, promising(cells, percent), "groups")
+        groups = written(spark, regrouped(spark, groups, classes), "groups")
         wanted = classes.select("cls", "doc_id", "text_hash").join(groups.select("cls").distinct(), "cls", "left_semi")
-        return written(spark, confirmed(groups, sets_of(docs, wanted, size), percent), "links")
+        return written(spark, confirmed(groups, sets_of(docs, wanted, size), percent), "links"), groups.where("settled").select("cls", "grp")
 
     found = written(spark, stretches(classes, trees, depth, shallow, leaf), "stretches")
     cells = found.where("NOT cut").select("cell", "cls").distinct().join(classes.select("cls", "n", "sig"), "cls")
-    links = links_of(cells.select("cell", F.lit(0).alias("side"), F.xxhash64("cls").alias("lab"), "cls", "n", "sig"))
+    links, settled = links_of(cells.select("cell", F.lit(0).alias("side"), F.xxhash64("cls").alias("lab"), "cls", "n", "sig"))
     roots = components(spark, links)
-    labelled = classes.select("cls", "n", "sig").join(roots.select(F.col("a").alias("cls"), "b"), "cls", "left").select("cls", "n", "sig", F.xxhash64(F.coalesce("b", "cls")).alias("lab"))
-    more = links_of(again(found.where("cut").select("cell", "cls"), labelled))
+    # classes of one label need no further look at each other: they are joined, or their group is settled
+    labelled = classes.select("cls", "n", "sig").join(roots.select(F.col("a").alias("cls"), "b"), "cls", "left").join(settled, "cls", "left").select("cls", "n", "sig", F.xxhash64(F.coalesce("grp", "b", "cls")).alias("lab"))
+    more, _ = links_of(again(found.where("cut").select("cell", "cls"), labelled))
     if more.limit(1).count():
         roots = components(spark, roots.union(more))
 

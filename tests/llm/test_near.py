@@ -98,3 +98,23 @@ def test_keep_one_with_clashing_names(spark):
     kept = near_dedup.keep_one(spark, docs)
     assert kept.columns == docs.columns
     assert sorted((r.doc_id is None, r.doc_id or 0, r.text is None) for r in kept.collect()) == [(False, 1, False), (False, 2, True), (True, 0, False)]
+
+
+def test_counted_pairs_equal_plain_sets():
+    rng = random.Random(8)
+    sets = [np.unique(np.array([rng.randrange(300) for _ in range(rng.randrange(1, 200))] + list(range(60)), np.uint64)) for _ in range(90)]
+    for percent in (30, 50, 80):
+        x, y = near_dedup._linked(sets, percent)
+        plain = [set(s.tolist()) for s in sets]
+        want = {(i, j) for j in range(90) for i in range(j) if 100 * len(plain[i] & plain[j]) >= percent * len(plain[i] | plain[j])}
+        assert set(zip(x.tolist(), y.tolist())) == want
+
+
+def test_groups_that_share_classes_become_one(spark):
+    rows = [(b"g1", b"a"), (b"g1", b"b"), (b"g2", b"b"), (b"g2", b"c"), (b"g3", b"x"), (b"g3", b"y")]
+    groups = spark.createDataFrame(rows, "grp binary, cls binary")
+    classes = spark.createDataFrame([(c, 10) for c in (b"a", b"b", b"c", b"x", b"y", b"z")], "cls binary, n bigint")
+    got = {(bytes(r.grp), bytes(r.cls), r.settled) for r in near_dedup.regrouped(spark, groups, classes).collect()}
+    assert got == {(b"a", b"a", True), (b"a", b"b", True), (b"a", b"c", True), (b"x", b"x", True), (b"x", b"y", True)}
+    got = {(bytes(r.grp), bytes(r.cls), r.settled) for r in near_dedup.regrouped(spark, groups, classes, members=2).collect()}
+    assert got == {(*r, False) for r in rows[:4]} | {(b"x", b"x", True), (b"x", b"y", True)}
