@@ -65,8 +65,8 @@ GROUP_MEMBERS = 4096
 MATRIX_CELLS = 4_000_000
 #: At most so many cut stretches are broadcast; beyond it the join shuffles.
 BROADCAST_ROWS = 50_000
-#: A worker forgets its words' hashes when it has so many.
-CACHE_WORDS = 400_000
+#: A task forgets its words' hashes when it has so many.
+CACHE_WORDS = 200_000
 
 _M = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], np.uint64)
 
@@ -79,20 +79,18 @@ class _Words(dict):
         return h
 
 
-_words = _Words()
-
-
 def _mix(h: np.ndarray) -> np.ndarray:
     h = (h ^ (h >> np.uint64(31))) * np.uint64(0x7FB5D329728EA185)
     return h ^ (h >> np.uint64(29))
 
 
-def shingles(text: str | None, size: int = SHINGLE) -> np.ndarray:
-    """Sorted distinct hashes of a text's shingles."""
+def shingles(text: str | None, size: int = SHINGLE, known: dict | None = None) -> np.ndarray:
+    """Sorted distinct hashes of a text's shingles; known: hashes of words (a _Words)."""
+    known = _Words() if known is None else known
     words = text.encode().lower().split() if text else []
     if not words:
         return np.empty(0, np.uint64)
-    h = np.fromiter(map(_words.__getitem__, words), np.uint64, len(words))
+    h = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
     if len(h) < size:
         joined = b" ".join(words)
         return np.array([xxhash.xxh3_64_intdigest(joined, seed=len(words))], np.uint64)
@@ -119,14 +117,15 @@ def signed(docs: DataFrame, size: int = SHINGLE, trees: int = TREES, depth: int
     """doc_id, text_hash, n_shingles, cls (digest of the set, null if empty) and sig of each document."""
 
     def each(batches):
-        multipliers = _multipliers(trees * depth)
+        multipliers, known = _multipliers(trees * depth), _Words()
         for batch in batches:
             sizes, keys, sigs = [], [], []
-            for text in batch.column(1).to_pylist():
-                s = shingles(text, size)
-                sizes.append(len(s))
-                keys.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
-                sigs.append(signature(s, multipliers).tobytes() if len(s) else None)
+            for at in range(0, batch.num_rows, 256):
+                for text in batch.column(1).slice(at, 256).to_pylist():
+                    s = shingles(text, size, known)
+                    sizes.append(len(s))
+                    keys.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
+                    sigs.append(signature(s, multipliers).tobytes() if len(s) else None)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(sigs, pa.binary())], names=["doc_id", "text_hash", "n_shingles", "cls", "sig"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_hash"))
@@ -448,9 +447,10 @@ def sets_of(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     """cls and set of the wanted classes (columns cls, doc_id and text_hash of one member), from the texts."""
 
     def each(batches):
+        known = _Words()
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
-                found = [shingles(t, size).tobytes() for t in batch.column(0).slice(at, 256).to_pylist()]
+                found = [shingles(t, size, known).tobytes() for t in batch.column(0).slice(at, 256).to_pylist()]
                 keys = [hashlib.blake2b(s, digest_size=16).digest() for s in found]
                 yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(found, pa.binary())], names=["cls", "set"])
 

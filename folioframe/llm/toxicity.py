@@ -8,8 +8,9 @@ vectors, so a pair such as an insult and the mention of a group can weigh more t
 The machine is trained on the driver on at most TRAIN_ROWS labelled rows, those with the lowest hash of doc_id among
 the rows that aren't held out, however many labels there are. Scoring is one pass over all documents.
 
-Edge cases: a null or empty text has no features and gets the score of the bias; rows whose label or text is null
-aren't used in training; with no labelled row, or labels of one kind, every score is that kind's share (one half
+Edge cases: a null or empty text has no features and gets the score of the bias; a text of any length counts each term
+once; a null doc_id isn't held out, and has no label; rows whose label or text is null aren't used in training; of several
+labels or texts of one doc_id each counts, in the order of their hashes; scores of one half count as toxic; with no labelled row, or labels of one kind, every score is that kind's share (one half
 without any); repeated rows each get their own row; an empty table gives an empty result; further columns are ignored.
 """
 
@@ -25,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioframe.llm.shared import table
+from folioframe.llm.shared import table, written
 
 PLACES = 1 << 18
 TRAIN_ROWS = 20_000
@@ -42,7 +43,7 @@ CACHE_TERMS = 1_000_000
 
 
 def held_out(doc_id: Column) -> Column:
-    return F.crc32(doc_id.cast("string")) % FOLDS == 0
+    return F.coalesce(F.crc32(doc_id.cast("string")) % FOLDS == 0, F.lit(False))
 
 
 def place(term: str) -> int:
@@ -143,18 +144,35 @@ def train(rows: list[list[int]], labels: np.ndarray, seed: int = 7) -> Machine:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> tuple[list[list[int]], np.ndarray]:
-    """Places and labels of the training documents, in the order of doc_id."""
+    """Places and labels of the training documents, in the order of doc_id.
+
+    Executors count the places' documents for either label first; only places that may be features go to the driver.
+    """
     known = labels.select(F.col("doc_id").alias("_id"), F.col("toxic").alias("_y")).where(F.col("_y").isNotNull() & F.col("_id").isNotNull() & ~held_out(F.col("_id")))
     picked = known.orderBy(F.xxhash64("_id"), "_id", "_y").limit(rows)
     joined = docs.select("doc_id", "text").join(F.broadcast(picked), F.col("doc_id") == F.col("_id")).where(F.col("text").isNotNull())
 
     def each(batches):
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([places(t) for t in batch.column(2).to_pylist()], pa.list_(pa.int32()))], names=["doc_id", "toxic", "places"])
-
-    found = joined.select(F.col("doc_id").cast("long"), F.col("_y").cast("int").alias("toxic"), "text").mapInArrow(each, "doc_id bigint, toxic int, places array<int>").toArrow()
-    found = found.sort_by([("doc_id", "ascending"), ("toxic", "ascending")]).slice(0, rows)
-    return found.column(2).to_pylist(), (found.column(1).to_numpy() > 0).astype(float)
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), part.column(2), pa.array([places(t) for t in part.column(3).to_pylist()], pa.list_(pa.int32()))], names=["doc_id", "toxic", "h", "places"])
+
+    spark = docs.sparkSession
+    found = joined.select(F.col("doc_id").cast("long"), F.col("_y").cast("int").alias("toxic"), F.xxhash64("text").alias("h"), "text").mapInArrow(each, "doc_id bigint, toxic int, h bigint, places array<int>")
+    found = written(spark, found.orderBy("doc_id", "toxic", "h").limit(rows), "training-rows")
+    n, positive = found.agg(F.count("*"), F.count_if(F.col("toxic") > 0)).first()
+    df, hits = F.count("*"), F.count_if(F.col("toxic") > 0)
+    gap = F.abs(F.col("hits") / max(positive, 1) - (F.col("df") - F.col("hits")) / max(n - positive, 1))
+    share = F.col("df") / max(n, 1)
+    error = F.sqrt(F.greatest(share * (1 - share), F.lit(1e-12)) * (1 / max(positive, 1) + 1 / max(n - positive, 1)))
+    # train() decides; a little less is asked here, as its arithmetic may round otherwise
+    often = found.select("toxic", F.explode("places").alias("p")).groupBy("p").agg(df.alias("df"), hits.alias("hits")).where((F.col("df") >= MIN_DOCS) & (gap >= (MIN_Z - 0.01) * error)).select("p")
+    apart = found.select(F.monotonically_increasing_id().alias("row"), "doc_id", "toxic", "h", "places")
+    kept = apart.select("row", F.explode("places").alias("p")).join(often, "p").groupBy("row").agg(F.array_sort(F.collect_list("p")).alias("kept"))
+    out = apart.drop("places").join(kept, "row", "left").select("doc_id", "toxic", "h", "kept").toArrow()
+    out = out.sort_by([("doc_id", "ascending"), ("toxic", "ascending"), ("h", "ascending")])
+    return [x or [] for x in out.column(3).to_pylist()], (out.column(1).to_numpy() > 0).astype(float)
 
 
 def score(spark: SparkSession, docs: DataFrame, machine: Machine) -> DataFrame:
