@@ -1,17 +1,22 @@
 """Secret scans: a random forest removes false positives among candidates.
 
-A candidate is a run of at least MIN_LENGTH letters, digits and _ + / - that holds a digit, with closing = signs. Its features are the
+Candidates are proposed in two ways. A run is one of at least MIN_LENGTH letters, digits and _ + / -, with closing = signs,
+that isn't a plain word: it holds a digit, a capital after a small letter, or capitals alone. A value is anything of at
+least MIN_VALUE characters but quotes and blanks that is given to a word that names secrets, in the same word (key=value)
+or in the next one (key: value, key = value), so passwords need neither length nor digits. The forest does the rest. Its features are the
 length, shares of digits and capitals, transitions between character classes, distinct characters, the share of its
-letters that dictionary words cover, signs of a path, and the words near it: those that name secrets and those that
-name digests, revisions and identifiers.
+letters in words of the dictionary, signs of a path, and the words near it: those that name secrets and those that
+name digests, revisions and identifiers. The dictionary is a table of words: those of at least DICTIONARY_DOCS documents, at
+most DICTIONARY_WORDS of them (the most frequent ones, then by name), and words of paths.
 
 The forest is trained by Spark's own learner on labelled findings (a table with the columns text and secret, one
 finding to a text; labelled() makes the default one from rules with plain SQL functions, LABELLED rows). Its trees
 become nested CASE expressions, so that a scan is one pass of built-in functions over the texts.
 
-Edge cases: a null or empty text has no candidates; texts without a digit are skipped after one look; words of any
-length are scanned; repeated rows and repeated candidates each get their own row; an empty table gives an empty
-result; further columns are ignored.
+Edge cases: a null or empty text has no candidates; texts with neither a run nor a word that names secrets are skipped
+after one look; words of any length are scanned; repeated rows and repeated candidates each get their own row, with the
+context of their own place; scores of THRESHOLD count as secrets; an empty table gives an empty result; further columns,
+of any name, are ignored.
 """
 
 from __future__ import annotations
@@ -21,9 +26,12 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioframe.llm.shared import WORD_GAP, table
+from folioframe.llm.shared import WORD_GAP, bounded, table, written
 
-MIN_LENGTH = 12
+MIN_LENGTH, MIN_VALUE = 12, 6
+DICTIONARY_WORDS, DICTIONARY_DOCS = 20_000, 5
+#: At most so many distinct candidates' coverages are broadcast; beyond it the join shuffles.
+BROADCAST_ROWS = 50_000
 #: Words before and after a candidate that count as near.
 NEAR = 3
 LABELLED = 4_000
@@ -34,39 +42,66 @@ _RUN = rf"[A-Za-z0-9_+/\-]{{{MIN_LENGTH},}}={{0,2}}"
 _UPPER, _LOWER, _DIGITS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789"
 SECRET_WORDS = "token|secret|passw|pwd|api[_-]?key|apikey|access[_-]?key|private[_-]?key|auth|bearer|credential|signing"
 BENIGN_WORDS = "commit|sha1|sha256|sha-|md5|checksum|digest|hash|uuid|guid|revision|\\brev\\b|integrity|etag|version|build|order|invoice|serial|isbn|card|phone|example|sample|blob|trace"
-DICTIONARY = "user|name|file|path|data|test|home|main|index|image|static|assets|config|service|default|version|component|module|public|package|library|master|release|update|server|client|button|header|footer|content|report|summary|number|chapter|section|figure|table|window|system|local|docs|node|java|python|http|www|html|json|list|item|page|view|model|size|type|time|date|week|year|month"
+PATH_WORDS = "user|name|file|path|data|test|home|main|index|image|static|assets|config|service|default|version|component|module|public|package|library|master|release|update|server|client|button|header|footer|content|report|summary|number|chapter|section|figure|table|window|system|local|docs|node|java|python|http|www|html|json|list|item|page|view|model|size|type|time|date|week|year|month"
 FEATURES = ["f_length", "f_digits", "f_upper", "f_hex", "f_transitions", "f_distinct", "f_dictionary", "f_path", "f_secret_words", "f_benign_words", "f_assigned"]
 
 
+_VALUE = rf"(?i)(?:{SECRET_WORDS})[a-z0-9_\-]*[\"']?(?:=>|[:=])+[\"'(]*([^\s\"',;)]{{{MIN_VALUE},}})"
+_ASKS = rf"(?i)(?:{SECRET_WORDS})[a-z0-9_\-]*[\"']?(?:=>|[:=])+[\"'(]*$"
+_NAMED, _GIVES = rf"(?i)(?:{SECRET_WORDS})[a-z0-9_\-]*[\"']?$", r"^(?:=>|[:=])+$"
+_NOT_A_WORD = r"[0-9]|[a-z][A-Z]|^[A-Z_+/\-]+=*$"
+#: What a word or text holds that has such a run.
+_MAY = r"[0-9]|[a-z][A-Z]|[A-Z]{4}"
+
+
 def candidates(docs: DataFrame, keep: list[str]) -> DataFrame:
     """keep columns of docs, word (place of the word, from 1), piece (place in the word), candidate, before and after."""
-    texts = docs.select(*keep, "text").where(F.col("text").rlike("[0-9]") & F.col("text").rlike(_RUN))
+    texts = docs.select(*keep, "text").where((F.col("text").rlike(_MAY) & F.col("text").rlike(_RUN)) | F.col("text").rlike(f"(?i)(?:{SECRET_WORDS})"))
     words = texts.select(*keep, F.split("text", WORD_GAP).alias("_w"))
-    found = F.filter(F.transform("_w", lambda x, i: F.struct((i + 1).alias("word"), x.alias("x"))), lambda s: s["x"].rlike(_RUN) & s["x"].rlike("[0-9]"))
+    w = lambda i: F.coalesce(F.get(F.col("_w"), i), F.lit(""))
+    asked = lambda i: w(i - 1).rlike(_ASKS) | (w(i - 1).rlike(_GIVES) & w(i - 2).rlike(_NAMED))
+    each = F.transform("_w", lambda x, i: F.struct((i + 1).alias("word"), x.alias("x"), asked(i).alias("asked")))
+    found = F.filter(each, lambda s: (s["x"].rlike(_RUN) & s["x"].rlike(_MAY)) | s["asked"] | s["x"].rlike(_VALUE))
     rows = words.select(*keep, "_w", F.explode(found).alias("_f"))
     near = lambda a, n: F.array_join(F.slice("_w", a, n), " ")
-    at = F.col("_f.word")
-    rows = rows.select(
-        *keep,
-        at.alias("word"),
-        F.col("_f.x").alias("_x"),
-        near(F.greatest(at - NEAR, F.lit(1)), F.least(at - 1, F.lit(NEAR))).alias("_b"),
-        near(at + 1, F.lit(NEAR)).alias("_a"),
-        F.posexplode(F.regexp_extract_all("_f.x", F.lit(f"({_RUN})"), F.lit(1))).alias("piece", "candidate"),
-    )
-    rows = rows.where(F.col("candidate").rlike("[0-9]"))
-    own = F.expr("substring(_x, 1, instr(_x, candidate) - 1)")
+    at, x = F.col("_f.word"), F.col("_f.x")
+    # the value that is given in the word or by the words before it, else the runs in the word
+    value = F.when(F.col("_f.asked"), F.regexp_extract(x, rf"^[\"'(]*([^\s\"',;)]{{{MIN_VALUE},}})", 1)).otherwise(F.regexp_extract(x, _VALUE, 1))
+    rows = rows.select(*keep, at.alias("word"), x.alias("_x"), value.alias("_v"), near(F.greatest(at - NEAR, F.lit(1)), F.least(at - 1, F.lit(NEAR))).alias("_b"), near(at + 1, F.lit(NEAR)).alias("_a"))
+    runs, gaps = F.regexp_extract_all("_x", F.lit(f"({_RUN})"), F.lit(1)), F.split("_x", _RUN, -1)
+    rows = rows.withColumns({"_r": F.when(F.col("_v") != "", F.array("_v")).otherwise(runs), "_g": F.when(F.col("_v") != "", F.array(F.expr("substring(_x, 1, instr(_x, _v) - 1)"))).otherwise(gaps)})
+    rows = rows.select(*keep, "word", "_b", "_a", "_v", "_r", "_g", F.posexplode("_r").alias("piece", "candidate"))
+    rows = rows.where((F.col("_v") != "") | F.col("candidate").rlike(_NOT_A_WORD))
+    own = F.concat(F.array_join(F.transform(F.slice("_r", F.lit(1), F.col("piece")), lambda r, j: F.concat(F.get(F.col("_g"), j), r)), ""), F.coalesce(F.get(F.col("_g"), F.col("piece")), F.lit("")))
     return rows.select(*keep, "word", "piece", "candidate", F.concat_ws(" ", "_b", own).alias("before"), F.col("_a").alias("after"))
 
 
+def dictionary(docs: DataFrame | None, spark: SparkSession, words: int = DICTIONARY_WORDS, least: int = DICTIONARY_DOCS) -> DataFrame:
+    """entry: the words of the dictionary, from documents if there are any."""
+    fixed = spark.range(1).select(F.explode(F.split(F.lit(PATH_WORDS), r"\|")).alias("entry"))
+    if docs is None:
+        return fixed
+    own = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"(?<![a-z0-9_+/\-])([a-z]{3,20})(?![a-z0-9_+/\-])"), F.lit(1)))).alias("entry"))
+    often = own.groupBy("entry").agg(F.count("*").alias("n")).where(F.col("n") >= least).orderBy(F.desc("n"), "entry").limit(words)
+    return often.select("entry").union(fixed).distinct()
+
+
+def covered(rows: DataFrame, entries: DataFrame, spark: SparkSession) -> DataFrame:
+    """rows with _covered, the number of letters of the candidate that words of the dictionary make up."""
+    rows = written(spark, rows, "candidates")
+    parts = rows.select("candidate").distinct().select("candidate", F.explode(F.regexp_extract_all("candidate", F.lit("([A-Z]?[a-z]+|[A-Z]+)"), F.lit(1))).alias("part"))
+    known = parts.join(F.broadcast(entries), F.lower("part") == F.col("entry")).groupBy("candidate").agg(F.sum(F.length("part")).alias("_covered"))  # bounded by DICTIONARY_WORDS
+    known = bounded(written(spark, known, "covered"), BROADCAST_ROWS)
+    return rows.join(known, "candidate", "left").withColumn("_covered", F.coalesce("_covered", F.lit(0)))
+
+
 def with_features(rows: DataFrame) -> DataFrame:
-    """rows (columns candidate, before, after) with the features as doubles."""
+    """rows (columns candidate, before, after, _covered) with the features as doubles."""
     c = F.col("candidate")
     n = F.length(c).cast("double")
     classes = F.translate(c, _UPPER + _LOWER + _DIGITS + "_+/=-", "A" * 26 + "a" * 26 + "0" * 10 + "-" * 5)
     runs = F.length(F.regexp_replace(classes, r"(.)\1+", "$1"))
     share = lambda chars: (n - F.length(F.translate(c, chars, ""))) / n
-    left = F.length(F.regexp_replace(F.lower(c), f"(?:{DICTIONARY})", ""))
     context = F.lower(F.concat_ws(" ", "before", "after"))
     return rows.withColumns({
         "f_length": F.least(n, F.lit(200.0)),
@@ -75,7 +110,7 @@ def with_features(rows: DataFrame) -> DataFrame:
         "f_hex": c.rlike("^(?:[0-9a-f]+|[0-9A-F]+)$").cast("double"),
         "f_transitions": (runs - 1) / F.greatest(n - 1, F.lit(1.0)),
         "f_distinct": F.size(F.array_distinct(F.split(c, ""))) / n,
-        "f_dictionary": (n - left) / n,
+        "f_dictionary": F.col("_covered") / n,
         "f_path": (c.rlike("/[a-z_-]+/") | F.col("before").rlike(r"(?:https?:|/|\\.[a-z]{2,4}|@)$")).cast("double"),
         "f_secret_words": F.lower("before").rlike(SECRET_WORDS).cast("double"),
         "f_benign_words": context.rlike(BENIGN_WORDS).cast("double"),
@@ -85,7 +120,7 @@ def with_features(rows: DataFrame) -> DataFrame:
 
 def labelled(spark: SparkSession, rows: int = LABELLED) -> DataFrame:
     """text and secret (0 or 1): one finding to a text, made from digests of row numbers by fixed rules."""
-    r = spark.range(0, rows, 1, 1).select("id", F.sha2(F.concat(F.lit("folio"), F.col("id").cast("string")), 512).alias("h"), F.pmod(F.hash("id"), F.lit(14)).alias("k"), F.pmod(F.xxhash64("id"), F.lit(6)).cast("int").alias("v"))
+    r = spark.range(0, rows, 1, 1).select("id", F.sha2(F.concat(F.lit("folio"), F.col("id").cast("string")), 512).alias("h"), F.pmod(F.hash("id"), F.lit(18)).alias("k"), F.pmod(F.xxhash64("id"), F.lit(6)).cast("int").alias("v"))
     b64 = F.translate(F.base64(F.unhex(F.substring("h", 1, 72))), "=", "")
     name = F.element_at(F.array(*map(F.lit, ("token", "api_key", "secret", "password", "auth_token", "client_secret"))), F.col("v") + 1)
     sign = F.element_at(F.array(*map(F.lit, (' = "', '="', ": ", "=", ": '", ' = "'))), F.col("v") + 1)
@@ -102,6 +137,10 @@ def labelled(spark: SparkSession, rows: int = LABELLED) -> DataFrame:
         (F.concat(name, sign, F.lit("AKIA"), F.upper(F.substring(b64, 1, 16)), F.lit("7"), shut), 1),
         (F.concat(name, sign, F.lit("sk_live_"), F.substring(b64, 1, 24), F.lit("9"), shut), 1),
         (F.concat(lead, F.lit(" "), name, sign, hexa(5, 32), shut), 1),
+        (F.concat(name, sign, F.lit("AKIA"), F.translate(F.upper(F.substring(b64, 1, 12)), "0123456789+/", "QWERTZUIOPAS"), shut, F.lit(" was")), 1),
+        (F.concat(lead, F.lit(" "), name, sign, F.substring(b64, 3, 5), F.lit("!"), F.substring(b64, 9, 4), F.lit("~"), shut), 1),
+        (F.concat(lead, F.lit(" "), name, F.lit(": "), noun, F.lit(" of the rest")), 0),
+        (F.concat(lead, F.lit(" "), noun, F.lit("Component"), F.upper(noun), F.lit("ListItem page")), 0),
         (F.concat(F.lit("commit "), hexa(1, 40), F.lit(" merged")), 0),
         (F.concat(F.lit("md5 checksum: "), hexa(1, 32)), 0),
         (F.concat(lead, F.lit(" id "), uuid, F.lit(" was")), 0),
@@ -126,17 +165,18 @@ def _tree(node) -> Column:
     return F.when(F.col(FEATURES[split.featureIndex()]) <= F.lit(float(split.threshold())), _tree(node.leftChild())).otherwise(_tree(node.rightChild()))
 
 
-def train(findings: DataFrame) -> list[Column]:
-    """The forest's trees as expressions over the features, from labelled findings."""
-    rows = with_features(candidates(findings, ["secret"])).select(F.col("secret").cast("double").alias("label"), *FEATURES)
+def train(findings: DataFrame, entries: DataFrame) -> list[Column]:
+    """The forest's trees as expressions over the features, from labelled findings (text, secret) and a dictionary."""
+    spark = findings.sparkSession
+    rows = with_features(covered(candidates(findings, ["secret"]), entries, spark)).select(F.col("secret").cast("double").alias("label"), *FEATURES)
     data = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(rows.coalesce(1))
     model = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=SEED, featureSubsetStrategy="sqrt").fit(data)
     return [_tree(t._call_java("rootNode")) for t in model.trees]
 
 
-def scan(docs: DataFrame, forest: list[Column]) -> DataFrame:
+def scan(docs: DataFrame, forest: list[Column], entries: DataFrame) -> DataFrame:
     """One row for each candidate: doc_id, word, piece, candidate, score (0 to 1) and secret."""
-    rows = with_features(candidates(docs, ["doc_id"]))
+    rows = with_features(covered(candidates(docs, ["doc_id"]), entries, docs.sparkSession))
     total = forest[0]
     for t in forest[1:]:
         total = total + t
@@ -145,4 +185,6 @@ def scan(docs: DataFrame, forest: list[Column]) -> DataFrame:
 
 
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scan(table(spark, sf_dir, "documents"), train(labelled(spark)))
+    docs = table(spark, sf_dir, "documents")
+    entries = written(spark, dictionary(docs, spark), "dictionary")
+    return scan(docs, train(labelled(spark), entries), entries)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from folioframe.llm import bpe, chroma, mixing, near_dedup, pii, quality_rules, secrets, suffix_dedup, token_files, toxicity
+from folioframe.llm import bpe, chroma, mixing, near_dedup, pii, quality_rules, suffix_dedup, token_files, toxicity
 from folioframe.llm.oracle_near import OP7
 from folioframe.llm.oracle_quality import OP2
 
@@ -175,17 +175,6 @@ def test_chroma_aligns_shifted_recordings(spark, empty):
     assert chroma.align(spark, chroma.fingerprints(df.limit(0))).count() == 0
 
 
-def test_secrets_held_out(spark, empty):
-    forest = secrets.train(secrets.labelled(spark))
-    held = secrets.labelled(spark, secrets.LABELLED + 1500).where(f"id >= {secrets.LABELLED}")
-    rows = secrets.with_features(secrets.candidates(held, ["secret"]))
-    found = rows.select("secret", (sum(forest[1:], forest[0]) / len(forest) >= 0.5).alias("p")).toPandas()
-    assert (found.p == (found.secret == 1)).mean() > 0.97
-    docs = frame(spark, [None, "", "no digits here", 'x token = "04dbebab91ab85687d33eeaaf9ac699e1188f962" y', "call 4952935900253052 now", 'x token = "04dbebab91ab85687d33eeaaf9ac699e1188f962" y'])
-    got = [(r.doc_id, r.secret) for r in secrets.scan(docs, forest).orderBy("doc_id").collect()]
-    assert got == [(3, True), (4, False), (5, True)]
-
-
 def test_mixing_keeps_to_shares(spark, texts, empty):
     random.seed(4)
     for _ in range(60):

@@ -1,0 +1,55 @@
+"""Secret scans: held-out findings, proposals of every kind, contexts, and edge cases."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from folioframe.llm import secrets
+
+
+@pytest.fixture(scope="module")
+def model(spark):
+    entries = secrets.dictionary(None, spark)
+    return secrets.train(secrets.labelled(spark), entries), entries
+
+
+def test_held_out_findings(spark, model):
+    forest, entries = model
+    held = secrets.labelled(spark, secrets.LABELLED + 1500).where(f"id >= {secrets.LABELLED}")
+    rows = secrets.with_features(secrets.covered(secrets.candidates(held, ["secret"]), entries, spark))
+    found = rows.select("secret", (sum(forest[1:], forest[0]) / len(forest) >= 0.5).alias("p")).toPandas()
+    assert (found.p == (found.secret == 1)).mean() > 0.95
+
+
+def test_proposals_and_verdicts(spark, model):
+    forest, entries = model
+    texts = [
+        None,
+        "",
+        "no digits here, just Donaudampfschifffahrt",
+        'x token = "04dbebab91ab85687d33eeaaf9ac699e1188f962" y',
+        "call 4952935900253052 now",
+        'x token = "04dbebab91ab85687d33eeaaf9ac699e1188f962" y',
+        "the password: hun!er~2 of it",
+        "secret=AKIAQWERTZUIOPAS then",
+        "commit 04dbebab91ab85687d33eeaaf9ac699e1188f962 merged",
+    ]
+    docs = spark.createDataFrame([(None if i == 5 else i, t, "k", 1) for i, t in enumerate(texts)], "doc_id bigint, text string, candidate string, word int")
+    got = {(r.doc_id, r.candidate): r.secret for r in secrets.scan(docs, forest, entries).collect()}
+    token = "04dbebab91ab85687d33eeaaf9ac699e1188f962"
+    assert got == {(3, token): True, (4, "4952935900253052"): False, (None, token): True, (6, "hun!er~2"): True, (7, "AKIAQWERTZUIOPAS"): True, (8, token): False}
+    assert secrets.scan(docs.limit(0), forest, entries).count() == 0
+
+
+def test_each_candidate_has_its_own_context(spark):
+    run = "a1b2c3d4e5f6a7"
+    docs = spark.createDataFrame([(1, f"one two ({run};{run}) three")], "doc_id bigint, text string")
+    got = secrets.candidates(docs, ["doc_id"]).orderBy("piece").collect()
+    assert [(r.word, r.piece, r.before, r.after) for r in got] == [(3, 0, "one two (", "three"), (3, 1, f"one two ({run};", "three")]
+
+
+def test_dictionary_comes_from_the_documents(spark):
+    docs = spark.createDataFrame([(k, f"Haus und hof x9haus only{chr(97 + k)}") for k in range(6)], "doc_id bigint, text string")
+    entries = {r.entry for r in secrets.dictionary(docs, spark).collect()}
+    assert {"haus", "und", "hof", "config"} <= entries and "onlya" not in entries
+    rows = spark.createDataFrame([("hausUndXyz", "", "")], "candidate string, before string, after string")
+    assert secrets.covered(rows, secrets.dictionary(docs, spark), spark).select(F.col("_covered").cast("int")).first()[0] == 7
