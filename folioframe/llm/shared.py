@@ -43,19 +43,31 @@ def fresh_path(spark: SparkSession, name: str) -> str:
 def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """df as a table in the shared folder, read back: lineage ends there, and a lost executor loses nothing."""
     path = fresh_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back.written_path = path
+    return back
+
+
+def discard(spark: SparkSession, *tables: DataFrame) -> None:
+    """Delete tables of written() that nothing to come reads."""
+    for t in tables:
+        _delete(spark, t.written_path)
+        _written.remove(t.written_path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def release(spark: SparkSession, keep: DataFrame | None = None) -> None:
     """Delete the tables that written() has made, but for those that keep reads; call it once their results are stored."""
-    jvm = spark.sparkContext._jvm
     used = keep.inputFiles() if keep is not None else []
     kept = {p for p in _written if any(p.split("://")[-1].lstrip("/") in f for f in used)}
     while _written:
         if (p := _written.pop()) not in kept:
-            path = jvm.org.apache.hadoop.fs.Path(p)
-            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+            _delete(spark, p)
     _written.extend(sorted(kept))
 
 

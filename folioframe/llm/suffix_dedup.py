@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioframe.llm.shared import table, written
+from folioframe.llm.shared import discard, table, written
 
 LENGTH, GRAM, STEP = 200, 64, 50
 #: Starts that are anchored at a time in long texts.
@@ -365,13 +365,16 @@ def repeated_runs(spark: SparkSession, may: DataFrame, found: DataFrame, key_byt
     """name, runs and m (occurrences) of the segments (found: as pieces() gives them) that hold repeated strings."""
     first = F.min(F.struct("doc_id", "text_hash", "start", "size")).alias("x")
     names = written(spark, found.groupBy("key", "name").agg(F.count("*").alias("copies"), first).select("key", "name", "copies", "x.*"), "names")
-    several = names.groupBy("key").agg(F.count("*").alias("n"), F.sum(F.col("size") + LENGTH - 1).alias("bytes")).where("n > 1").select("key", (F.col("bytes") > key_bytes).alias("big"), "n")
-    mixed = _joined(names, written(spark, several, "mixed"), "key", "n")
+    several = names.groupBy("key").agg(F.count("*").alias("n"), F.sum(F.col("size") + LENGTH - 1).alias("bytes")).where("n > 1")
+    several = written(spark, several.select("key", (F.col("bytes") > key_bytes).alias("big"), "n"), "mixed")
+    mixed = _joined(names, several, "key", "n")
     cut = written(spark, cut_out(may, mixed.where("NOT big").select(*names.columns)), "segments")
     by_merge = marks(cut)
     by_string = string_marks(cut_out(may, mixed.where("big").select(*names.columns)), spark)
     whole = names.where("copies > 1").select("name", F.array(F.lit(0), F.col("size") - 1).alias("runs"), F.col("copies").alias("m"))
-    return whole.union(by_merge.union(by_string).select("name", "runs", F.lit(1).cast("long").alias("m")))
+    runs = written(spark, whole.union(by_merge.union(by_string).select("name", "runs", F.lit(1).cast("long").alias("m"))), "marks")
+    discard(spark, names, several, cut)
+    return runs
 
 
 def remove_repeats(spark: SparkSession, docs: DataFrame, text: bool = False, key_bytes: int = KEY_BYTES) -> DataFrame:
@@ -381,9 +384,10 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, text: bool = False, key
     often = written(spark, anchored.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "often")
     of_doc = _joined(anchored, often, "key", "n").groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("key", "place")).alias("places")).withColumnsRenamed({"doc_id": "_id", "text_hash": "_hash"})
     joined = written(spark, rows.join(of_doc, _same(), "left").drop("_id", "_hash"), "candidates")
+    discard(spark, anchored, often)
     may = joined.where("places IS NOT NULL")
     found = written(spark, pieces(may), "pieces")
-    runs = written(spark, repeated_runs(spark, may, found, key_bytes), "marks")
+    runs = repeated_runs(spark, may, found, key_bytes)
     hit = _joined(found.select("name", "doc_id", "text_hash", "start"), runs, "name", "m")
     at = hit.groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("start", "runs")).alias("x")).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("x.start").alias("starts"), F.col("x.runs").alias("runs"))
     some = _finished(may.join(at, _same(), "left"), text)
