@@ -10,7 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType
 
-from folioframe.dimensions import STOP_WORDS
+from folioframe.dimensions import ISSUER_SCRAPS, SECURITY_SCRAPS, STOP_WORDS
 
 _SPACE = r"(?U)\s+"
 _LETTERS = "A-Za-zÀ-ÿ"
@@ -101,13 +101,13 @@ def is_symbols(c: Column) -> Column:
 
 def clean_issuer(c: Column) -> Column:
     c = F.regexp_replace(clean_text(c), f"^[^{_LETTERS}]+", "")
-    c = F.regexp_replace(c, r"(?iU)\b(eee|ee|oe|rai|yee|DICI|ACE|ACCO|RC|nce)\b", " ")
+    c = F.regexp_replace(c, rf"(?iU)\b({'|'.join(ISSUER_SCRAPS)})\b", " ")
     return F.btrim(F.regexp_replace(c, _SPACE, " "), F.lit(" .,-;:"))
 
 
 def clean_security_name(c: Column) -> Column:
     c = F.regexp_replace(bond_text(c), "^[^A-Za-z0-9]+", "")
-    c = F.regexp_replace(c, r"(?iU)\b(eee|ee|oe|rrr|ree|papi|tizia)\b", " ")
+    c = F.regexp_replace(c, rf"(?iU)\b({'|'.join(SECURITY_SCRAPS)})\b", " ")
     return F.btrim(F.regexp_replace(c, _SPACE, " "), F.lit(" .,:;-"))
 
 

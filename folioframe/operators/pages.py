@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from folioframe.dimensions import BODY, HEADING_PATTERNS, PAGE_OVERRIDES, PAGE_TYPES, frame
-from folioframe.functions.text import heading_text
+from folioframe.dimensions import BODY, HEADING_PATTERNS, LINE_HEADER_TERMS, LINE_SECTION_TERMS, PAGE_OVERRIDES, PAGE_TYPES, frame
+from folioframe.functions.text import heading_text, squeeze, text_of
 
 
 def default_type(picture: Column, side: Column) -> Column:
@@ -68,3 +68,32 @@ def quality_flag(content: Column, dark: Column, lines: Column) -> Column:
 def scaled_box(v: Column, scale: float, limit: int) -> Column:
     """A coordinate scaled, halves to even, and kept inside the image."""
     return F.greatest(F.lit(0), F.least(F.lit(limit), F.bround(v * scale).cast("int")))
+
+
+def sample_id(date: Column, picture: Column, side: Column) -> Column:
+    """The name of a page side."""
+    return F.concat_ws("_", date, picture, side)
+
+
+def padded_box(pad: int, width: Column, height: Column) -> Column:
+    """struct(x0, y0, x1, y1) of a box wider by a pad on all sides, inside its page."""
+    low = lambda c: F.greatest(F.lit(0), F.col(c) - pad).alias(c)
+    return F.struct(low("x0"), low("y0"), F.least(width, F.col("x1") + pad).alias("x1"), F.least(height, F.col("y1") + pad).alias("y1"))
+
+
+def page_width(words: DataFrame, key: str = "page") -> DataFrame:
+    """The width of a page whose image isn't there: one more than its words reach."""
+    return words.groupBy(key).agg((F.max("right_") + 1).alias("width"))
+
+
+def line_type(text: Column, top: Column) -> Column:
+    """What a line is, by its place and words: header_or_column_label, section_heading, candidate_data_line or text_line."""
+    t = F.lower(squeeze(text_of(text)))
+    holds = lambda terms: F.exists(F.array(*map(F.lit, terms)), lambda x: F.contains(t, x))
+    return F.when((top < 190) | holds(LINE_HEADER_TERMS), "header_or_column_label").when(holds(LINE_SECTION_TERMS), "section_heading").when(t.rlike("[0-9]"), "candidate_data_line").otherwise("text_line")
+
+
+def parse_summary(records: DataFrame, keys: list[str]) -> DataFrame:
+    """Records of each page by kind, and those with flags."""
+    kind = F.col("record_type")
+    return records.groupBy(*keys).agg(F.count("*").alias("records"), F.count_if(kind == "candidate_record").alias("candidate_records"), F.count_if(kind.isin("text_block", "text_line")).alias("text_records"), F.count_if(F.size("validation_flags") > 0).alias("flagged_records"))

@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from folioframe.dimensions import BASE_WIDTH, BOND_ENDS, EQUITY_BANDS, OCR_TERMS, bands_from_ends
+from folioframe.dimensions import BASE_WIDTH, BOND_BANDS, EQUITY_BANDS, LINE_HEADER_TERMS, LINE_SECTION_TERMS, OCR_TERMS
 from folioframe.functions import text as T
 from folioframe.operators import anchors as A
+from folioframe.operators import pages as P
 from folioframe.operators import words as W
 from folioframe.operators.rescue import backup_texts
 from folioframe.sources.tsv import parse_tsv
@@ -16,7 +17,7 @@ from folioframe.sources.views import WORDS, words
 
 QUERIES, ORACLES = {}, {}
 _RULES = r"^[\s_\-|{}\[\]().,;:!]*$"
-_BOND_PIXELS = W.scaled(bands_from_ends(BOND_ENDS), 0, 2000)
+_BOND_PIXELS = W.scaled(BOND_BANDS, 0, 2000)
 
 
 def query(sql: str | None):
@@ -281,3 +282,36 @@ def row_noise_signal(spark: SparkSession, d: str) -> DataFrame:
     t = words(spark, d).groupBy("page", "line_num").agg(W.joined(["left_", "word_num"]).alias("t"))
     n, alnum = F.length(F.regexp_replace("t", r"\s", "")), F.regexp_count("t", F.lit(r"[\p{L}\p{N}]"))
     return t.select("page", "line_num", ((n < 3) | (alnum < F.greatest(F.lit(2.0), 0.25 * n))).alias("row_noise"), F.col("t").rlike("[0-9]|[A-ZÀ-Ý][a-zà-ÿ]{2}").alias("data_signal"))
+
+
+# the summaries of a page
+
+_LINES = """ln AS (SELECT page, line_num, min(top) AS top, string_agg(text, ' ' ORDER BY left_, word_num) AS txt FROM v_words GROUP BY page, line_num)"""
+
+
+def page_lines(w: DataFrame) -> DataFrame:
+    return w.groupBy("page", "line_num").agg(F.min("top").alias("top"), W.joined(["left_", "word_num"]).alias("txt"))
+
+
+@query("SELECT page, max(right_) + 1 AS width FROM v_words GROUP BY page")
+def page_width(spark: SparkSession, d: str) -> DataFrame:
+    return P.page_width(words(spark, d))
+
+
+_LOWER = "lower(trim(regexp_replace(txt, '\\s+', ' ', 'g')))"
+
+
+@query(f""", {_LINES}
+SELECT page, line_num, CASE WHEN top < 190 OR {" OR ".join(f"contains({_LOWER}, '{t}')" for t in LINE_HEADER_TERMS)} THEN 'header_or_column_label' WHEN {" OR ".join(f"contains({_LOWER}, '{t}')" for t in LINE_SECTION_TERMS)} THEN 'section_heading' WHEN regexp_matches({_LOWER}, '[0-9]') THEN 'candidate_data_line' ELSE 'text_line' END AS line_type FROM ln""")
+def line_types(spark: SparkSession, d: str) -> DataFrame:
+    return page_lines(words(spark, d)).select("page", "line_num", P.line_type(F.col("txt"), F.col("top")).alias("line_type"))
+
+
+@query(f""", {_LINES}
+SELECT page, count(*) AS records, count(*) FILTER (WHERE regexp_matches(txt, '[0-9]')) AS candidate_records, count(*) FILTER (WHERE NOT regexp_matches(txt, '[0-9]')) AS text_records, count(*) FILTER (WHERE length(txt) < 20) AS flagged_records FROM ln GROUP BY page""")
+def parse_summary(spark: SparkSession, d: str) -> DataFrame:
+    """A line with a digit is a candidate, and one of under 20 characters is flagged as a fragment."""
+    lines = page_lines(words(spark, d))
+    kind = F.when(F.col("txt").rlike("[0-9]"), "candidate_record").otherwise("text_line")
+    flags = F.when(F.length("txt") < 20, F.array(F.lit("fragment"))).otherwise(F.array().cast("array<string>"))
+    return P.parse_summary(lines.select("page", kind.alias("record_type"), flags.alias("validation_flags")), ["page"])
