@@ -220,7 +220,7 @@ _NAMES = {"issuer_raw": "issuer_name_raw", "capital_raw": "capital_subscribed_ra
 
 def raw_rows(spark: SparkSession, d: str) -> DataFrame:
     c = cells(spark, d)
-    return c.withColumn("raw_row_text", F.concat_ws(" ", *[x for x in _NAMES if x != "conf"])).withColumnsRenamed(_NAMES).withColumn("source_file", F.lit("page_left_"))
+    return c.withColumn("raw_row_text", F.concat_ws(" ", *[x for x in _NAMES if x != "conf"])).withColumnsRenamed(_NAMES).withColumn("source_file", F.when(F.col("sample_id") % 2 == 0, "page_left_").otherwise("page_right_"))
 
 
 def clean_rows(spark: SparkSession, d: str) -> DataFrame:

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 
 def scan_name(name: Column) -> Column:
@@ -24,12 +23,13 @@ def scans(spark: SparkSession, folder: str, start: int = 0, end: int | None = No
     if start < 0 or (end is not None and end < start):
         raise ValueError("a slice begins at 0 or later and doesn't end before it begins")
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(folder)
-    # names alone are numbered; contents are read for the rows that stay
-    named = files.select("path").withColumn("n", F.row_number().over(Window.orderBy("path")) - 1)
-    kept = named.where(F.col("n") >= start)
-    kept = kept.where(F.col("n") < end) if end is not None else kept
-    kept = kept.orderBy("n").limit(limit) if limit is not None else kept
-    return files.join(F.broadcast(kept.select("path")), "path", "left_semi").select("path", "content")
+    if not start and end is None and limit is None:
+        return files.select("path", "content")
+    # names alone are sorted, and only as many are kept as the slice ends with; contents are read for the rows that stay
+    ends = [n for n in (end, start + limit if limit is not None else None) if n is not None]
+    named = files.select("path").orderBy("path")
+    kept = (named.limit(min(ends)) if ends else named).offset(start)
+    return files.join(kept, "path", "left_semi").select("path", "content")
 
 
 def pending(work: DataFrame, done: DataFrame, key: str = "sample_id") -> DataFrame:
