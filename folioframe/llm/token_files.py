@@ -167,10 +167,12 @@ class WordEncoder:
             at = end
 
     def _words(self, text: str) -> list[str] | None:
-        """Words to encode one by one; none if the text, or what becomes of it, holds a special token: the library then
-        takes the text as a whole, as it takes special tokens in their own case only."""
-        seen, latin = normalised(text, self.tokenizer)
-        return None if any(s in text or s in seen for s in self.special) else words(seen, latin, self.tokenizer)
+        """Words to encode one by one; none if the text's normal form isn't final, or if it, or what becomes of it, holds a
+        special token: the library then takes the text as a whole, as it takes special tokens in their own case only."""
+        found = normalised(text, self.tokenizer)
+        if found is None or any(s in text or s in found[0] for s in self.special):
+            return None
+        return words(*found, self.tokenizer)
 
     def encode_batch(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""

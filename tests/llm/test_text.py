@@ -3,6 +3,7 @@
 import random
 import re
 import time
+import unicodedata
 import zlib
 
 import numpy as np
@@ -75,6 +76,24 @@ def test_special_tokens_count_in_their_own_case_only():
         assert np.frombuffer(got, "<u4").tolist() == t.encode(text, add_special_tokens=False).ids, text
 
 
+def test_texts_whose_normal_form_is_not_final():
+    """Capitals that take marks differently from their small letters, beside marks of every class."""
+    path = bpe.vocabulary("word_bpe_49k.json")
+    t, encoder = Tokenizer.from_file(path), token_files.WordEncoder(bpe.read_definition(path))
+    marks = {unicodedata.combining(c): c for c in map(chr, range(0x300, 0x1F000)) if unicodedata.combining(c)}
+    letters = ["İ", "i", "J", "H", "T", "W", "Y", "Ϋ", "Ά", "Ω", "ſ", "K", "가", "ᄀ", "ᅡ", "é", "日", "a", " ", "क", "1", "-"]
+    rng = random.Random(11)
+    pool = [*letters, *marks.values(), *"\u030c\u0331\u0308\u030a\u0301\u0342\u0345\u0307\u094d\u093c"]
+    texts = ["İ्", *(a + b + c for a in letters for b in marks.values() for c in rng.sample(pool, 3))]
+    texts += ["".join(rng.choice(pool) for _ in range(rng.randrange(2, 12))) for _ in range(40_000)]
+    changed = sum(pretoken.normalised(x, t) is None for x in texts)
+    assert changed > 100
+    for k in range(0, len(texts), 512):
+        part = texts[k : k + 512]
+        for text, got, want in zip(part, encoder.encode_batch(part), t.encode_batch(part, add_special_tokens=False), strict=True):
+            assert np.frombuffer(got, "<u4").tolist() == want.ids, ascii(text)
+
+
 def test_documents_of_several_blocks(spark, tmp_path):
     path = bpe.vocabulary("word_bpe_49k.json")
     t = Tokenizer.from_file(path)
