@@ -15,7 +15,7 @@ import pyarrow.compute
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioframe.llm.shared import written
+from folioframe.llm.shared import discard, job, written
 
 #: Links that a task joins in memory (about 100 bytes each).
 PART = 1_000_000
@@ -64,21 +64,23 @@ def _stars(links: DataFrame) -> DataFrame:
 
 def components(spark: SparkSession, links: DataFrame, part: int = PART) -> DataFrame:
     """a (node) and b (least node of its component) for all nodes of links (columns a, b) but the least ones."""
-    links = written(spark, links.where(F.col("a") != F.col("b")).select("a", "b"), "links")
-    n = links.count()
-    parts = max(1, -(-n // part))
-    links = written(spark, _stars(links.coalesce(parts)), "links")
-    if parts == 1:
-        return links
-    state = _state(links)
-    while state[0]:
-        both = links.select(F.col("a").alias("u"), F.col("b").alias("v")).union(links.select("b", "a"))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").select(F.col("v").alias("a"), F.col("m").alias("b")).union(low.select(F.col("u").alias("a"), F.col("m").alias("b"))).where("a != b").distinct()
-        links = written(spark, small, "links")
-        before, state = state, _state(links)
-        if state == before:
-            break
-    return links
+    with job(spark):
+        links = written(spark, links.where(F.col("a") != F.col("b")).select("a", "b"), "links")
+        n = links.count()
+        parts = max(1, -(-n // part))
+        links = written(spark, _stars(links.coalesce(parts)), "links", kept=parts == 1)
+        if parts == 1:
+            return links
+        state = _state(links)
+        while state[0]:
+            both = links.select(F.col("a").alias("u"), F.col("b").alias("v")).union(links.select("b", "a"))
+            low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+            large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
+            low = large.groupBy("u").agg(F.min("v").alias("m"))
+            small = large.join(low, "u").select(F.col("v").alias("a"), F.col("m").alias("b")).union(low.select(F.col("u").alias("a"), F.col("m").alias("b"))).where("a != b").distinct()
+            new = written(spark, small, "links")
+            discard(spark, links)
+            links, before, state = new, state, _state(new)
+            if state == before:
+                break
+        return written(spark, links, "links", kept=True)

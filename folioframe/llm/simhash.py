@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioframe.llm.components import components, connected
-from folioframe.llm.shared import table, written
+from folioframe.llm.shared import job, table, written
 
 SHINGLE, SEED, BITS = 3, 42, 3
 HALF, QUARTER = 32, 16
@@ -246,12 +246,14 @@ def linked(spark: SparkSession, prints: DataFrame, crowd: int = CROWD) -> DataFr
 def clusters(spark: SparkSession, docs: DataFrame, size: int = SHINGLE, crowd: int = CROWD) -> DataFrame:
     """doc_id, fp and component_id, the smallest doc_id that links reach, of each document."""
     own = written(spark, signed(docs, size), "fingerprints")
-    classes = written(spark, own.groupBy("fp").agg(F.min("doc_id").alias("least")), "prints")
-    roots = components(spark, linked(spark, classes, crowd))
-    nodes = written(spark, roots.select(F.col("a").alias("fp"), F.col("b").alias("root")).union(roots.select("b", "b").distinct()), "nodes")
-    at = nodes.join(classes, "fp")
-    of_print = at.join(at.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("fp", "component_id")
-    known = classes.join(of_print, "fp", "left").select("fp", F.coalesce("component_id", "least").alias("component_id"))
+    with job(spark):
+        classes = written(spark, own.groupBy("fp").agg(F.min("doc_id").alias("least")), "prints")
+        roots = components(spark, linked(spark, classes, crowd))
+        nodes = roots.select(F.col("a").alias("fp"), F.col("b").alias("root")).union(roots.select("b", "b").distinct())
+        at = written(spark, nodes.join(classes, "fp"), "nodes")
+        of_print = at.join(at.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("fp", "component_id")
+        known = classes.join(of_print, "fp", "left").select("fp", F.coalesce("component_id", "least").alias("component_id"))
+        known = written(spark, known, "print-components", kept=True)
     return own.join(known, "fp").select("doc_id", "fp", "component_id")
 
 
