@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from folioframe.llm import bpe, mixing, near_dedup, pii, quality_rules
-from folioframe.llm.shared import release, table, written
+from folioframe.llm.shared import discard, job, table, written
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,8 +53,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, kept = table(spark, sf_dir, "documents"), []
     for name, stage in STAGES[:-1]:
-        docs = written(spark, stage(spark, docs, sf_dir), f"stage-{name}")
-        release(spark, keep=docs)  # what the stage has written on its way
+        with job(spark):  # what the stage writes on its way goes with it
+            docs = written(spark, stage(spark, docs, sf_dir), f"stage-{name}", kept=True)
+        discard(spark, *kept)
+        kept = [docs]
     return STAGES[-1][1](spark, docs, sf_dir)
