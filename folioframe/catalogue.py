@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from folioframe.plans import cell_queries, page_queries, word_queries
+from folioframe.plans import cell_queries, page_queries, parse_queries, word_queries
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**word_queries.QUERIES, **cell_queries.QUERIES, **page_queries.QUERIES}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**word_queries.QUERIES, **cell_queries.QUERIES, **page_queries.QUERIES, **parse_queries.QUERIES}
 ORACLES: dict[str, str] = {**word_queries.ORACLES, **cell_queries.ORACLES, **page_queries.ORACLES}
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import unicodedata
 from difflib import SequenceMatcher
 
@@ -168,11 +169,29 @@ def html_escape(c: Column) -> Column:
     return c
 
 
+def plain_letters(text: str) -> str:
+    """Lower-case a to z with accents off, all else a space."""
+    plain = "".join(x for x in unicodedata.normalize("NFKD", text) if not unicodedata.combining(x))
+    return re.sub("[^a-z]+", " ", plain.lower()).strip()
+
+
+#: Latin-1 letters and what is left of them without accents; those that become two letters are apart.
+_ACCENTED = [chr(c) for c in range(0xA0, 0x180) if len(unicodedata.normalize("NFKD", chr(c))[0]) == 1 and unicodedata.normalize("NFKD", chr(c))[0].isascii() and unicodedata.normalize("NFKD", chr(c))[0].isalpha() and all(map(unicodedata.combining, unicodedata.normalize("NFKD", chr(c))[1:]))]
+_BARE = "".join(unicodedata.normalize("NFKD", c)[0] for c in _ACCENTED)
+
+
 @F.pandas_udf(StringType())
-def letters_only(c: pd.Series) -> pd.Series:
-    """Lower-case a to z with accents off, all else a space; Spark has no compatibility decomposition of its own."""
-    c = c.fillna("").map(lambda s: "".join(x for x in unicodedata.normalize("NFKD", s) if not unicodedata.combining(x)))
-    return c.str.lower().str.replace(r"[^a-z]+", " ", regex=True).str.strip()
+def _letters_beyond_latin(c: pd.Series) -> pd.Series:
+    return c.map(lambda s: None if s is None else plain_letters(s))
+
+
+def letters_only(c: Column) -> Column:
+    """plain_letters of a text. ASCII and single accented Latin letters stay in the JVM, where most texts are done; others need a
+    compatibility decomposition, which Spark lacks."""
+    c = text_of(c)
+    latin = F.btrim(F.regexp_replace(F.lower(F.translate(c, "".join(_ACCENTED), _BARE)), "[^a-z]+", " "))
+    other = c.rlike(f"[^\\x00-\\x7F{''.join(_ACCENTED)}]")
+    return F.coalesce(_letters_beyond_latin(F.when(other, c)), latin)
 
 
 @F.pandas_udf(DoubleType())

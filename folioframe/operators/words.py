@@ -15,6 +15,12 @@ from pyspark.sql.window import Window
 from folioframe.functions.text import clean_cell, is_noise, is_symbols, letter_count, numeric_parts
 
 PLACE = ["line_num", "word_num"]
+CELLS = "array<struct<column:string,at:int,part:string>>"
+
+
+def let(value: Column, body) -> Column:
+    """body of a value that is computed once for a row."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
 def mid(a: str, b: str) -> Column:
@@ -155,24 +161,36 @@ def point_column(x: Column, columns: list[tuple[str, int, int]], nearest: bool =
     return F.coalesce(inside, near)
 
 
-def overlap_cells(words: DataFrame, columns: list[tuple[str, int, int]], least: int = 8) -> DataFrame:
-    """Words with the column, place and part of each cell they belong to, one row for each.
+def word_cells(word: Column, columns: Column, least: int = 8) -> Column:
+    """The cells that a word (struct of left_, right_, mid_x and text) belongs to: structs column, at and part.
 
     A word goes to the band of its center, else to the widest overlap. A number that spans several bands and looks
-    glued is split, its parts going to the bands from left to right, what is over to the last.
+    glued is split, its parts going to the bands from left to right, what is over to the last. columns: bands().
     """
-    over = F.filter(F.transform(bands(columns), lambda c: F.struct(c["pos"].alias("pos"), c["name"].alias("name"), c["x0"].alias("x0"), c["x1"].alias("x1"), (F.least(F.col("right_"), c["x1"]) - F.greatest(F.col("left_"), c["x0"])).alias("w"))), lambda s: s["w"] > 0)
-    rows = with_centers(words).withColumns({"_o": over, "_t": F.btrim("text")}).where(F.size("_o") > 0)
-    wide = F.filter("_o", lambda s: s["w"] >= least)
-    rows = rows.withColumns({"_m": F.when(F.size(wide) > 0, wide).otherwise(F.col("_o")), "_p": numeric_parts(F.col("_t"))})
-    center = F.get(F.filter("_o", lambda s: (F.col("mid_x") >= s["x0"]) & (F.col("mid_x") < s["x1"])), F.lit(0))["name"]
-    widest = F.array_max(F.transform("_m", lambda s: F.struct(s["w"].alias("w"), (-s["pos"]).alias("p"), s["name"].alias("name"))))["name"]
-    numeric = F.col("_t").rlike("[0-9]") & ~F.col("_t").rlike("[A-Za-z]{3,}")
-    marked = F.contains("_t", F.lit("/")) | F.col("_t").rlike(r"\d\s+\d")
-    split = numeric & marked & (F.size("_m") > 1) & (F.size("_p") >= 2)
-    parts = F.transform("_p", lambda p, i: F.struct(F.get(F.col("_m"), F.least(i, F.size("_m") - 1))["name"].alias("column"), (F.col("left_") + i).alias("at"), p.alias("part")))
-    one = F.array(F.struct(F.coalesce(center, widest).alias("column"), F.col("left_").alias("at"), F.col("_t").alias("part")))
-    return rows.withColumn("_c", F.explode(F.when(split, parts).otherwise(one))).select(*words.columns, "_c.column", "_c.at", "_c.part")
+    text, mid_x = F.btrim(word["text"]), word["mid_x"]
+    over = F.filter(F.transform(columns, lambda c: F.struct(c["pos"].alias("pos"), c["name"].alias("name"), c["x0"].alias("x0"), c["x1"].alias("x1"), (F.least(word["right_"], c["x1"]) - F.greatest(word["left_"], c["x0"])).alias("w"))), lambda s: s["w"] > 0)
+
+    def chosen(o: Column) -> Column:
+        wide = F.filter(o, lambda s: s["w"] >= least)
+        return let(F.struct(o.alias("o"), F.when(F.size(wide) > 0, wide).otherwise(o).alias("m"), numeric_parts(text).alias("p")), placed)
+
+    def placed(b: Column) -> Column:
+        center = F.get(F.filter(b["o"], lambda s: (mid_x >= s["x0"]) & (mid_x < s["x1"])), F.lit(0))["name"]
+        widest = F.array_max(F.transform(b["m"], lambda s: F.struct(s["w"].alias("w"), (-s["pos"]).alias("p"), s["name"].alias("name"))))["name"]
+        numeric = text.rlike("[0-9]") & ~text.rlike("[A-Za-z]{3,}")
+        marked = F.contains(text, F.lit("/")) | text.rlike(r"\d\s+\d")
+        split = numeric & marked & (F.size(b["m"]) > 1) & (F.size(b["p"]) >= 2)
+        parts = F.transform(b["p"], lambda p, i: F.struct(F.get(b["m"], F.least(i, F.size(b["m"]) - 1))["name"].alias("column"), (word["left_"] + i).alias("at"), p.alias("part")))
+        one = F.array(F.struct(F.coalesce(center, widest).alias("column"), word["left_"].alias("at"), text.alias("part")))
+        return F.when(F.size(b["o"]) == 0, F.array().cast(CELLS)).otherwise(F.when(split, parts.cast(CELLS)).otherwise(one.cast(CELLS)))
+
+    return let(over, chosen)
+
+
+def overlap_cells(words: DataFrame, columns: list[tuple[str, int, int]], least: int = 8) -> DataFrame:
+    """Words with the column, place and part of each cell they belong to, one row for each."""
+    word = F.struct("left_", "right_", mid("left_", "right_").alias("mid_x"), "text")
+    return words.withColumn("_c", F.explode(word_cells(word, bands(columns), least))).select(*words.columns, "_c.column", "_c.at", "_c.part")
 
 
 def cells(assigned: DataFrame, keys: list[str], columns: list[str], at: str = "at", part: str = "part") -> DataFrame:

@@ -20,5 +20,6 @@ def local_session(name: str = "folioframe", cores: str | None = None) -> SparkSe
         .config("spark.driver.memory", "8g")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.maxMetadataStringLength", "2000")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")  # a stack trace for each expression makes plans slow to build
         .getOrCreate()
     )

@@ -113,3 +113,54 @@ def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 PAGES = """
 v_pages AS (SELECT page_id, '1950-0' || (page_id % 6 + 1)::VARCHAR || '-' || lpad(([5, 17, 14, 21, 28, 19, 30][page_id % 7 + 1])::VARCHAR, 2, '0') AS date, (page_id % 6 + 1)::INTEGER AS picture,
   CASE WHEN page_id % 2 = 0 THEN 'left' ELSE 'right' END AS side, url, html FROM pages)"""
+
+
+#: Where the strips of the second readings begin on a page of a width and height.
+STRIP_X, STRIP_Y = 0.78, 0.075
+
+
+def page_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of price-list pages in several readings, from the orders' lines: a page for 8 order numbers, a row for a line.
+
+    Each row's cells stand in their bands; the main reading loses, misreads and glues some of them, and has tall marks of
+    rules; the other readings are better but not whole, and stand in the coordinates of their strips. Some pages have
+    detected rules beside the bands' edges, and some rows are section headings with misread letters.
+    """
+    from folioframe.dimensions import EQUITY_BANDS, SECTION_ALIASES
+
+    band = {n: a for n, a, _ in EQUITY_BANDS}
+    c = cells(spark, sf_dir)
+    k = F.col("row_index") + 5 * F.col("sample_id")
+    every = lambda m, r=0: k % m == r
+    y = (280 + 28 * (12 * (F.col("sample_id") % 8) + F.col("row_index"))).cast("int")
+    alias = F.element_at(F.array(*[F.lit(a) for a, _ in SECTION_ALIASES]), (k % len(SECTION_ALIASES) + 1).cast("int"))
+    glued = F.when(every(19), F.concat_ws("/", "shares_raw", "nominal_raw")).otherwise(F.col("shares_raw"))
+    cell = lambda n, text, on=F.lit(True): F.struct(F.lit(n).alias("name"), F.lit(band[n] + 8).alias("x"), F.when(on, text).otherwise("").alias("t"))
+    heading = every(9, 4)
+    price = F.col("close_raw")
+    on = ~heading
+    all_cells = F.array(
+        cell("capital_subscribed_raw", F.col("capital_raw"), on), cell("shares_outstanding_raw", glued, on), cell("nominal_value_raw", F.when(every(19), "").otherwise(F.col("nominal_raw")), on), cell("cedola_date_raw", F.col("cedola_raw"), on & every(3)),
+        cell("issuer_name_raw", F.when(heading, F.initcap(alias)).otherwise(F.col("issuer_raw"))), cell("price_min_raw", price, on & every(4)), cell("price_max_raw", price, on & every(5)), cell("price_close_raw", price, on), cell("quantity_traded_raw", F.col("quantity_raw"), on),
+    )
+    rows = c.select(F.floor(F.col("sample_id") / 8).alias("page"), k.alias("k"), y.alias("y"), "conf", (12 * (F.col("sample_id") % 8) + F.col("row_index")).cast("int").alias("line_num"), F.inline(all_cells))
+    rows = rows.where("t != ''").select("*", F.posexplode(F.split("t", " ")).alias("i", "text"))
+    n = rows.withColumns({"h": F.pmod(F.xxhash64("page", "line_num", "name", "i"), F.lit(100)).cast("int"), "word_num": (F.col("x") / 10 + F.col("i")).cast("int"), "left_": (F.col("x") + 90 * F.col("i") % 540).cast("int")})
+    h, text = F.col("h"), F.col("text")
+    digits = text.rlike("[0-9]")
+    numeric, right = F.col("x") < 1325, F.col("x") >= 1945
+    main = F.when(h % 10 == 3, F.translate(text, "0123456789", "oizeasgtbq")).otherwise(text)
+    word = lambda r, on, t, dx, dy, conf: F.when(on, F.struct(F.lit(r).alias("reading"), t.alias("text"), (F.col("left_") + dx).cast("int").alias("left_"), (F.col("y") + dy).cast("int").alias("top"), F.lit(24).alias("high"), conf.cast("int").alias("conf")))
+    width, height = 2600 + (F.col("page") % 3).cast("int") * 20, F.lit(3000)
+    x0, y0 = F.floor(width * STRIP_X).cast("int"), F.floor(height * STRIP_Y).cast("int")
+    jitter = (h % 5 - 2) + F.col("line_num") % 3
+    readings = F.array_compact(F.array(
+        word("main", h % 7 != 1, main, 0, jitter, F.col("conf") - F.when(h % 29 == 5, 60).otherwise(0)),
+        word("full", h % 11 != 2, text, 2, jitter + 1, F.lit(70)),
+        word("numeric", numeric & (h % 13 != 3), text, 1, jitter - y0, F.lit(75)),
+        word("price", right & (h % 13 != 4), text, 1 - x0, jitter - y0, F.lit(75)),
+        *[word(f, (F.col("name") == f) & digits & (h % 17 != 5), F.when(h % 23 == 6, F.concat(text, F.lit(" x"))).otherwise(text), 1, jitter, F.lit(80)) for f in ("capital_subscribed_raw", "shares_outstanding_raw", "nominal_value_raw")],
+        F.when(h == 50, F.struct(F.lit("main").alias("reading"), F.lit("l").alias("text"), (F.col("left_") + 5).cast("int").alias("left_"), F.col("y").alias("top"), F.lit(90).alias("high"), F.lit(40).alias("conf"))),
+        F.when((h % 20 == 7) & (F.col("page") % 2 == 0), F.struct(F.lit("rule").alias("reading"), F.lit("").alias("text"), (F.col("x") - 8 + h % 9).cast("int").alias("left_"), F.lit(0).alias("top"), F.lit(3000).alias("high"), F.lit(0).alias("conf"))),
+    ))
+    return n.select("page", "line_num", "word_num", width.alias("width"), F.inline(readings)).select("page", "reading", "line_num", "word_num", "text", "left_", (F.col("left_") + F.greatest(F.lit(9), 9 * F.length("text"))).cast("int").alias("right_"), "top", (F.col("top") + F.col("high")).cast("int").alias("bottom"), "conf", "width", height.alias("height"))
