@@ -24,14 +24,17 @@ def exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
-def write_csv(df: DataFrame, path: str, fields: list[str], sep: str = ",", mode: str = "errorifexists", strict: bool = False, files: int | None = 1) -> None:
+def write_csv(df: DataFrame, path: str, fields: list[str], sep: str = ",", mode: str = "errorifexists", strict: bool = False, files: int | None = 1, mark: bool = False) -> None:
     """fields of df in order as CSV in a folder: one file, as the stages exchange them, or so many; with None, one a task.
 
-    Fields df hasn't are empty; strict, other columns are an error.
+    Fields df hasn't are empty; strict, other columns are an error. mark: a byte order mark begins each file, as spreadsheets
+    want it; the header is then the first field's name after the mark.
     """
     if strict and set(df.columns) - set(fields):
         raise ValueError(f"unexpected columns: {sorted(set(df.columns) - set(fields))}")
     out = df.select(*[F.col(f).cast("string").alias(f) if f in df.columns else F.lit("").alias(f) for f in fields])
+    if mark and fields:
+        out = out.withColumnRenamed(fields[0], f"\ufeff{fields[0]}")
     (out if files is None else out.coalesce(files)).write.mode(mode).csv(path, header=True, emptyValue="", escape='"', sep=sep)
 
 
