@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -41,25 +41,46 @@ def is_hard(f: Column) -> Column:
     return f.rlike("^(?:missing_|multi_value_)|(?:_ocr_noise|_needs_review)$|^(?:glued_shares_nominal_raw|probable_row_fragment|probable_split_identity_prefix)$")
 
 
-def column_diagnostics(rows: DataFrame) -> DataFrame:
-    """Counts of empty, flagged, rescued and blank values of each field, with its eight most frequent flags."""
-    long = by_field(rows)
+def column_diagnostics(rows: DataFrame, most: int = 8) -> DataFrame:
+    """Counts of empty, flagged, rescued and blank values of each field, with its most frequent flags.
+
+    Each row and field gives an item for its counts and one for each of its flags; they are counted in one pass, before the
+    shuffle, to a few hundred rows, from which both are read.
+    """
     blank = lambda c: F.btrim(c) == ""
-    counts = long.groupBy("pos", "field").agg(
-        F.count("*").alias("total_rows"),
-        F.count_if(blank("clean")).alias("empty_clean"),
-        F.count_if(blank("raw")).alias("empty_raw"),
-        F.count_if(~blank("raw") & blank("clean")).alias("raw_present_clean_empty"),
-        F.count_if(~blank("clean") & blank("raw")).alias("clean_present_raw_empty"),
-        F.count_if(F.size("flags") > 0).alias("field_flagged_rows"),
-        F.count_if(F.exists("flags", is_hard)).alias("field_review_rows"),
-        F.count_if(F.exists("flags", lambda f: f.rlike("rescued|_inherited$"))).alias("rescued_or_inherited_rows"),
-        F.count_if(F.exists("flags", lambda f: f.endswith("_likely_printed_blank"))).alias("likely_printed_blank_rows"),
-    )
-    seen = long.select("field", *KEY, F.explode("flags").alias("flag")).groupBy("field", "flag").agg(F.count("*").alias("n"), F.min(F.struct(*KEY, "flag")).alias("first"))
-    w = Window.partitionBy("field").orderBy(F.desc("n"), "first")
-    top = seen.withColumn("r", F.row_number().over(w)).where("r <= 8").groupBy("field").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("r", F.concat_ws(":", "flag", F.col("n").cast("string")).alias("t")))), lambda s: s["t"]), "; ").alias("top_field_flags"))
-    return counts.join(F.broadcast(top), "field", "left").withColumn("top_field_flags", F.coalesce("top_field_flags", F.lit(""))).drop("pos")
+    cases = {
+        "empty_clean": blank("clean"),
+        "empty_raw": blank("raw"),
+        "raw_present_clean_empty": ~blank("raw") & blank("clean"),
+        "clean_present_raw_empty": ~blank("clean") & blank("raw"),
+        "field_flagged_rows": F.size("flags") > 0,
+        "field_review_rows": F.exists("flags", is_hard),
+        "rescued_or_inherited_rows": F.exists("flags", lambda f: f.rlike("rescued|_inherited$")),
+        "likely_printed_blank_rows": F.exists("flags", lambda f: f.endswith("_likely_printed_blank")),
+    }
+    items = by_field(rows).select("field", F.struct(*KEY).alias("key"), *[c.alias(n) for n, c in cases.items()], F.explode(F.concat(strings([""]), "flags")).alias("flag"))
+    seen = items.groupBy("field", "flag").agg(F.count("*").alias("n"), F.min(F.struct("key", "flag")).alias("first"), *[F.count_if(n).alias(n) for n in cases])
+    own = F.col("flag") == ""
+    ranked = F.array_sort(F.collect_list(F.when(~own, F.struct((-F.col("n")).alias("n"), "first", "flag"))))
+    out = seen.groupBy("field").agg(F.max(F.when(own, F.col("n"))).alias("total_rows"), *[F.max(F.when(own, F.col(n))).alias(n) for n in cases], ranked.alias("_f"))
+    top = F.transform(F.slice("_f", 1, most), lambda f: F.concat_ws(":", f["flag"], (-f["n"]).cast("string")))
+    return out.withColumn("top_field_flags", F.array_join(top, "; ")).drop("_f")
+
+
+def by_need(diagnostics: DataFrame) -> DataFrame:
+    """Diagnostics with the fields first that need review most; equal ones in the order of their columns."""
+    place = F.array_position(strings([c for c, _, _ in FIELDS]), F.col("field"))
+    return diagnostics.orderBy(F.desc("field_review_rows"), F.desc("raw_present_clean_empty"), F.desc("empty_clean"), place)
+
+
+def counted(rows: DataFrame, name: str = "run") -> tuple[DataFrame, Observation]:
+    """rows, and the counters of a run over them: records, candidates, flagged and manually changed ones, which are there once the
+    rows have been stored, without a pass of their own."""
+    seen = Observation(name)
+    flags = F.col("validation_flags")
+    role = F.col("row_role")
+    candidate = role.isin("security_main_row", "security_continuation_row")
+    return rows.observe(seen, F.count(F.lit(1)).alias("records"), F.count_if(candidate).alias("candidates"), F.count_if(F.size(flags) > 0).alias("flagged"), F.count_if(F.array_contains(flags, "manual_corrected")).alias("corrected")), seen
 
 
 def issue_examples(rows: DataFrame, most: int = 8) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from folioframe.dimensions import HEADER_BOTTOM
 from folioframe.functions.text import clean_cell, is_noise, is_symbols, letter_count, numeric_parts
 
 PLACE = ["line_num", "word_num"]
@@ -226,10 +227,46 @@ def shifted(words: DataFrame, dx: int, dy: int) -> DataFrame:
     return words.withColumns({"left_": F.col("left_") + dx, "right_": F.col("right_") + dx, "top": F.col("top") + dy, "bottom": F.col("bottom") + dy})
 
 
+#: Height of the buckets in which words and bands of a page meet.
+BUCKET = 64
+
+
+def bucketed(top: Column, bottom: Column) -> Column:
+    """The buckets that a band touches."""
+    k = lambda c: F.floor(c / BUCKET)
+    return F.sequence(k(top), F.greatest(k(top), k(bottom)))
+
+
 def band_words(words: DataFrame, rows: DataFrame, pad: Column) -> DataFrame:
     """Words that touch a row's band and a pad around it; a word may belong to several rows.
 
-    The page is an equal key, so this is a join within pages with the bands as a condition.
+    Page and bucket are equal keys, so a word meets the rows near it alone and not all of its page. A word and a row
+    that share several buckets meet in the first of them.
     """
-    w, r = words.alias("w"), rows.withColumn("_pad", pad).alias("r")
-    return w.join(r, F.expr("w.page = r.page AND w.bottom >= r.band_top - r._pad AND w.top <= r.band_bottom + r._pad"))
+    w = words.withColumn("_k", F.explode(bucketed(F.col("top"), F.col("bottom")))).alias("w")
+    r = rows.withColumn("_pad", pad).withColumn("_k", F.explode(bucketed(F.col("band_top") - F.col("_pad"), F.col("band_bottom") + F.col("_pad")))).alias("r")
+    first = F.expr(f"w._k = greatest(floor(w.top / {BUCKET}), floor((r.band_top - r._pad) / {BUCKET}))")
+    return w.join(r, F.expr("w.page = r.page AND w._k = r._k AND w.bottom >= r.band_top - r._pad AND w.top <= r.band_bottom + r._pad") & first)
+
+
+def keyed(words: DataFrame, keys: dict[str, Column]) -> DataFrame:
+    """words with the keys of their page, file, variant and mode; a key that words have already is replaced."""
+    return words.withColumns(keys)
+
+
+def without_header(lines: DataFrame, bottom: int = HEADER_BOTTOM) -> DataFrame:
+    """Lines (column top) below a page's header."""
+    return lines.where(F.col("top") >= bottom)
+
+
+def of_crop(words: DataFrame, crop: str, column: str = "crop_file") -> DataFrame:
+    """Words of one crop, whichever slashes its path is written with."""
+    plain = lambda c: F.translate(c, "\\", "/")
+    return words.where(plain(F.col(column)) == plain(F.lit(crop)))
+
+
+def samples_with(samples: DataFrame, words: DataFrame, lines: DataFrame, key: str = "sample_id") -> DataFrame:
+    """samples with the numbers of their words and lines, 0 for none; both are counted before they are joined."""
+    count = lambda df, n: df.groupBy(key).agg(F.count("*").alias(n))
+    out = samples.join(count(words, "n_words"), key, "left").join(count(lines, "n_lines"), key, "left")
+    return out.withColumns({n: F.coalesce(n, F.lit(0)) for n in ("n_words", "n_lines")})

@@ -6,12 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from folioframe.dimensions import BASE_WIDTH, BOND_BANDS, EQUITY_BANDS, LINE_HEADER_TERMS, LINE_SECTION_TERMS, OCR_TERMS
+from folioframe.dimensions import BASE_WIDTH, BOND_BANDS, COVER_BANDS, DIVIDEND_BANDS, EQUITY_BANDS, HEADER_BOTTOM, LINE_HEADER_TERMS, LINE_SECTION_TERMS, OCR_TERMS, SPECIAL_BANDS
 from folioframe.functions import text as T
 from folioframe.operators import anchors as A
 from folioframe.operators import pages as P
 from folioframe.operators import words as W
 from folioframe.operators.rescue import backup_texts
+from folioframe.sources.rendering import components_of, rendered
 from folioframe.sources.tsv import parse_tsv
 from folioframe.sources.views import WORDS, words
 
@@ -140,10 +141,9 @@ def row_bands(spark: SparkSession, d: str) -> DataFrame:
     return W.row_bands(W.with_centers(words(spark, d)).withColumnRenamed("line_num", "row"), top=60, bottom=2000)
 
 
-@query("SELECT page, line_num, count(*) AS word_count, min(top) AS word_top, max(bottom) AS word_bottom, printf('%.2f', avg(conf)) AS mean_conf, string_agg(text, ' ' ORDER BY left_, word_num) AS raw_text FROM v_words GROUP BY page, line_num HAVING count(*) > 1")
+@query("SELECT page, line_num, count(*) AS word_count, min(left_) AS \"left\", max(right_) AS \"right\", min(top) AS word_top, max(bottom) AS word_bottom, printf('%.2f', avg(conf)) AS mean_conf, string_agg(text, ' ' ORDER BY left_, word_num) AS raw_text FROM v_words GROUP BY page, line_num")
 def row_records(spark: SparkSession, d: str) -> DataFrame:
-    r = words(spark, d).groupBy("page", "line_num").agg(F.count("*").alias("word_count"), F.min("top").alias("word_top"), F.max("bottom").alias("word_bottom"), W.two_places(F.avg("conf")).alias("mean_conf"), W.joined(["left_", "word_num"]).alias("raw_text"))
-    return r.where("word_count > 1")
+    return words(spark, d).groupBy("page", "line_num").agg(F.count("*").alias("word_count"), F.min("left_").alias("left"), F.max("right_").alias("right"), F.min("top").alias("word_top"), F.max("bottom").alias("word_bottom"), W.two_places(F.avg("conf")).alias("mean_conf"), W.joined(["left_", "word_num"]).alias("raw_text"))
 
 
 @query("SELECT page, median(right_ - left_)::DOUBLE AS median_width, max(right_) AS page_width FROM v_words GROUP BY page")
@@ -183,11 +183,12 @@ def assign_overlap_columns(spark: SparkSession, d: str) -> DataFrame:
 ORACLES["assign_overlap_columns"] = f"WITH {WORDS},\n" + _best_sql('SELECT page, "column", count(*) AS n_words, sum(length(text))::BIGINT AS n_chars FROM best GROUP BY page, "column"')
 
 
-@query(f"""SELECT page, line_num, {", ".join(f"coalesce(trim(regexp_replace(translate(string_agg(text, ' ' ORDER BY left_, line_num, word_num) FILTER (WHERE pos = {k}), '{{}}[]|', '     '), '\\s+', ' ', 'g')), '') AS {n}" for k, (n, _, _) in enumerate(_BOND_PIXELS[:6]))}
-FROM (SELECT *, (SELECT pos FROM (VALUES {_values(_BOND_PIXELS)}) c(name, x0, x1, pos) WHERE (left_ + right_) // 2 >= x0 AND (left_ + right_) // 2 < x1 ORDER BY pos LIMIT 1) AS pos FROM v_words) GROUP BY page, line_num""")
+@query(f"""SELECT page, line_num, {", ".join(f"coalesce(trim(regexp_replace(translate(string_agg(text, ' ' ORDER BY left_, line_num, word_num) FILTER (WHERE pos = {k}), '{{}}[]|', '     '), '\\s+', ' ', 'g')), '') AS {n}" for k, (n, _, _) in enumerate(_BOND_PIXELS))}
+FROM (SELECT *, coalesce((SELECT pos FROM (VALUES {_values(_BOND_PIXELS)}) c(name, x0, x1, pos) WHERE mx >= x0 AND mx < x1 ORDER BY pos LIMIT 1), (SELECT pos FROM (VALUES {_values(_BOND_PIXELS)}) c(name, x0, x1, pos) ORDER BY least(abs(mx - x0), abs(mx - x1)), pos LIMIT 1)) AS pos
+  FROM (SELECT *, (left_ + right_) // 2 AS mx FROM v_words)) GROUP BY page, line_num""")
 def cells_pivot(spark: SparkSession, d: str) -> DataFrame:
     w = W.with_centers(words(spark, d)).withColumn("column", W.point_column(F.col("mid_x"), _BOND_PIXELS)).withColumns({"at": F.col("left_"), "part": F.col("text")})
-    return W.cells(w, ["page", "line_num"], [n for n, _, _ in _BOND_PIXELS[:6]])
+    return W.cells(w, ["page", "line_num"], [n for n, _, _ in _BOND_PIXELS])
 
 
 # the page's first line stands for its detected rules
@@ -211,7 +212,7 @@ def nearest_rule_snap(spark: SparkSession, d: str) -> DataFrame:
 
 @query(None)
 def monotone_snap(spark: SparkSession, d: str) -> DataFrame:
-    rules = words(spark, d).where("line_num = 1").groupBy("page").agg(F.array_sort(F.collect_set("left_")).alias("rules"))
+    rules = words(spark, d).groupBy("page").agg(F.array_sort(F.collect_set("left_")).alias("rules"))
     edges = F.array(*[F.lit(x) for x in [_BOND_PIXELS[0][1], *[b for _, _, b in _BOND_PIXELS]]])
     return rules.select("page", F.array_join(W.snapped(edges, F.col("rules")), ",").alias("edges"))
 
@@ -315,3 +316,37 @@ def parse_summary(spark: SparkSession, d: str) -> DataFrame:
     kind = F.when(F.col("txt").rlike("[0-9]"), "candidate_record").otherwise("text_line")
     flags = F.when(F.length("txt") < 20, F.array(F.lit("fragment"))).otherwise(F.array().cast("array<string>"))
     return P.parse_summary(lines.select("page", kind.alias("record_type"), flags.alias("validation_flags")), ["page"])
+
+
+_TYPED = {"cover_valori_stato": W.scaled(COVER_BANDS, 0, 2000), "dividendi_in_pagamento": W.scaled(DIVIDEND_BANDS, 0, 2000), "special_market_lists": W.scaled(SPECIAL_BANDS, 0, 2000)}
+
+
+def _point_sql(columns) -> str:
+    inside = f"(SELECT name FROM (VALUES {_values(columns)}) c(name, x0, x1, pos) WHERE mx >= x0 AND mx < x1 ORDER BY pos LIMIT 1)"
+    near = f"(SELECT name FROM (VALUES {_values(columns)}) c(name, x0, x1, pos) ORDER BY least(abs(mx - x0), abs(mx - x1)), pos LIMIT 1)"
+    return f"coalesce({inside}, {near})"
+
+
+@query(f"""SELECT page, line_num, page_type, "column", string_agg(text, ' ' ORDER BY left_, word_num) AS text FROM (SELECT page, line_num, word_num, left_, text, page_type, CASE page_type {" ".join(f"WHEN '{t}' THEN {_point_sql(c)}" for t, c in _TYPED.items())} END AS "column"
+  FROM (SELECT *, (left_ + right_) // 2 AS mx, {list(_TYPED)!r}[page % 3 + 1] AS page_type FROM v_words)) GROUP BY page, line_num, page_type, "column" """)
+def typed_cells(spark: SparkSession, d: str) -> DataFrame:
+    """Cells of cover, dividend and special pages, each by the bands of its type."""
+    kind = F.element_at(F.array(*map(F.lit, _TYPED)), (F.col("page") % 3 + 1).cast("int"))
+    w = W.with_centers(words(spark, d)).withColumn("page_type", kind)
+    column = F.coalesce(*[F.when(F.col("page_type") == t, W.point_column(F.col("mid_x"), c)) for t, c in _TYPED.items()])
+    return w.groupBy("page", "line_num", "page_type", column.alias("column")).agg(W.joined(["left_", "word_num"]).alias("text"))
+
+
+@query(f"""SELECT page, line_num, printf('page-%d', page) AS sample_id, count(*) AS n_words, min(psm) AS psm, min(ocr_variant) AS ocr_variant FROM (SELECT *, CASE WHEN page % 2 = 0 THEN 'original_full' ELSE 'line_removed_full' END AS ocr_variant, min(top) OVER (PARTITION BY page, line_num) AS first FROM v_words) WHERE first >= {HEADER_BOTTOM} GROUP BY page, line_num""")
+def keyed_lines(spark: SparkSession, d: str) -> DataFrame:
+    """Words with their page's keys, in lines without those of the header."""
+    variant = F.when(F.col("page") % 2 == 0, "original_full").otherwise("line_removed_full")
+    keyed = W.keyed(words(spark, d), {"sample_id": F.concat_ws("-", F.lit("page"), F.col("page").cast("string")), "ocr_variant": variant, "psm": F.col("psm")})
+    lines = keyed.groupBy("page", "line_num", "sample_id").agg(F.count("*").alias("n_words"), F.min("psm").alias("psm"), F.min("ocr_variant").alias("ocr_variant"), F.min("top").alias("top"))
+    return W.without_header(lines).drop("top")
+
+
+@query("SELECT page, count(*) AS n_components, sum((right_ - left_) // 10 * (bottom - top))::BIGINT AS ink, min(left_) // 10 AS x0, max(right_) // 10 AS x1, min(top) AS y0, max(bottom) AS y1 FROM v_words GROUP BY page")
+def page_components(spark: SparkSession, d: str) -> DataFrame:
+    """Connected components of each page's image, in which a word is a dark box."""
+    return components_of(rendered(words(spark, d)))

@@ -62,19 +62,16 @@ class Runs:
         return name
 
 
-def cached(spark: SparkSession, path: str, make: Callable[[], DataFrame], keys: list[str]) -> DataFrame:
-    """A table by its keys: what is stored at path, and, for work that isn't there, what make() gives, stored as well.
+def cached(work: DataFrame, path: str, make: Callable[[DataFrame], DataFrame], schema: str, keys: list[str]) -> DataFrame:
+    """What path holds (schema, with the keys), after what make() gives for the work whose keys it lacks has been added.
 
-    make() gives a row for each key of the work; keys that are stored are left out of it.
+    Work that a reading gave nothing for is tried again, as it has left no row.
     """
-    wanted = make()
-    if exists(spark, path):
-        have = spark.read.schema(wanted.schema).parquet(path)
-        new = wanted.join(have.select(*keys), keys, "left_anti")
-    else:
-        new = wanted
-    new.write.mode("append").parquet(path)
-    return spark.read.schema(wanted.schema).parquet(path)
+    spark = work.sparkSession
+    new = work.join(spark.read.schema(schema).parquet(path).select(*keys).distinct(), keys, "left_anti") if exists(spark, path) else work
+    if new.limit(1).count():
+        make(new).write.mode("append").parquet(path)
+    return spark.read.schema(schema).parquet(path) if exists(spark, path) else spark.createDataFrame([], schema)
 
 
 def resolved(pages: DataFrame, listings: list[tuple[str, DataFrame]], fallback: str = "made_from_scan") -> DataFrame:

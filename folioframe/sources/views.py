@@ -14,9 +14,12 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def words(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A word for each non-empty piece of a document's lines, with a place on the page and a confidence."""
     lines = read(spark, sf_dir, "documents").select(F.col("doc_id").alias("page"), F.posexplode(F.split("text", "\n")).alias("l", "line"))
-    pieces = lines.select("page", (F.col("l") + 1).alias("line_num"), F.posexplode(F.split("line", " ")).alias("w", "text"))
-    before = Window.partitionBy("page", "line_num").orderBy("w").rowsBetween(Window.unboundedPreceding, -1)
-    at = pieces.withColumn("left_", (10 * F.coalesce(F.sum(F.length("text") + 1).over(before), F.lit(0))).cast("int")).where("text != ''")
+    # each piece with the length of what stands before it on its line, so that places need no shuffle
+    start = F.struct(F.lit(0).alias("n"), F.array().cast("array<int>").alias("at"))
+    places = F.aggregate("_p", start, lambda a, x: F.struct((a["n"] + F.length(x) + 1).alias("n"), F.concat(a["at"], F.array(a["n"])).alias("at")), lambda a: a["at"])
+    pieces = lines.select("page", (F.col("l") + 1).alias("line_num"), F.split("line", " ").alias("_p"))
+    pieces = pieces.select("page", "line_num", F.posexplode(F.arrays_zip(F.col("_p").alias("text"), places.alias("at"))).alias("w", "x"))
+    at = pieces.select("page", "line_num", "w", "x.text", (10 * F.col("x.at")).cast("int").alias("left_")).where("text != ''")
     word = F.col("w") + 1
     top = 40 * F.col("line_num") + (7 * word) % 11
     return at.select(

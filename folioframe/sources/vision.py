@@ -110,16 +110,6 @@ def without_rules(gray: np.ndarray, length: int = 60) -> np.ndarray:
     return out
 
 
-def skew(gray: np.ndarray, most: float = 8.0, step: float = 0.25) -> float:
-    """The angle in degrees at which the rows of ink are sharpest."""
-    y, x = np.nonzero(ink(gray))
-    if not len(y):
-        return 0.0
-    angles = np.arange(-most, most + step, step)
-    sharp = [float((np.bincount((y - np.tan(np.radians(a)) * x - (y - np.tan(np.radians(a)) * x).min()).astype(int)).astype(float) ** 2).sum()) for a in angles]
-    return float(angles[int(np.argmax(sharp))])
-
-
 def measures(gray: np.ndarray) -> dict[str, float]:
     """Shares and means that the manifest holds."""
     x0, y0, x1, y1 = content_box(gray)

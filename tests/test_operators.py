@@ -5,12 +5,15 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from folioframe.functions.text import clean_cell
+from folioframe.functions.dates import typed_date
+from folioframe.functions.text import clean_cell, display_text, is_large_amount, letters_only, plain_letters
+from folioframe.operators import anchors as A
 from folioframe.operators import review as R
 from folioframe.operators import words as W
 from folioframe.operators.sections import backup_merged, fuzzy_sections
 from folioframe.plans import cell_queries, equity, word_queries
 from folioframe.sources import csv, vision
+from folioframe.sources.scans import scan_date
 from folioframe.sources.tsv import parse_tsv
 from folioframe.sources.views import words
 
@@ -174,3 +177,90 @@ def test_cell_queries_keep_every_row(spark, tmp_path):
     for r in rows:
         k, n = r.sample_id % 60 + 1, r.nominal_value  # only three digits may belong to the number before them
         assert got[r.sample_id, r.row_index].value == (str(k) if len(n) < 3 else n if k <= 30 else f"{k}{n}")
+
+
+def test_bucketed_bands_equal_a_plain_join(spark):
+    rng = np.random.default_rng(5)
+    ws = [(int(rng.integers(1, 3)), k, int(t), int(t + rng.integers(1, 200))) for k, t in enumerate(rng.integers(0, 900, 150))]
+    rs = [(int(rng.integers(1, 3)), k, int(t), int(t + rng.integers(1, 150))) for k, t in enumerate(rng.integers(0, 900, 40))]
+    w = spark.createDataFrame(ws, "page long, n int, top int, bottom int")
+    r = spark.createDataFrame(rs, "page long, row int, band_top int, band_bottom int")
+    got = sorted((x.n, x.row) for x in W.band_words(w, r, F.lit(7)).select("w.n", "r.row").collect())
+    assert got == sorted((b, d) for a, b, t, u in ws for c, d, x, y in rs if a == c and u >= x - 7 and t <= y + 7)
+
+
+def test_counters_cost_no_pass_of_their_own(spark):
+    rows = spark.createDataFrame([("security_main_row", ["a"]), ("security_continuation_row", []), ("section_heading", ["manual_corrected"])], "row_role string, validation_flags array<string>")
+    out, seen = R.counted(rows)
+    assert out.count() == 3
+    assert seen.get == {"records": 3, "candidates": 2, "flagged": 2, "corrected": 1}
+
+
+def test_diagnostics_in_the_order_of_need(spark):
+    rows = [("issuer_name_clean", 1, 0, 0), ("price_close", 5, 0, 0), ("capital_subscribed", 5, 0, 2), ("nominal_value", 1, 0, 0)]
+    df = spark.createDataFrame(rows, "field string, field_review_rows int, raw_present_clean_empty int, empty_clean int")
+    assert [r.field for r in R.by_need(df).collect()] == ["capital_subscribed", "price_close", "issuer_name_clean", "nominal_value"]
+
+
+def test_words_of_a_crop_and_of_samples(spark):
+    w = spark.createDataFrame([("a\\b.jpg", "s1", 10), ("a/b.jpg", "s1", 200), ("c.jpg", "s2", 300)], "crop_file string, sample_id string, top int")
+    assert W.of_crop(w, "a\\b.jpg").count() == W.of_crop(w, "a/b.jpg").count() == 2
+    assert [r.top for r in W.without_header(w).orderBy("top").collect()] == [200, 300]
+    samples = spark.createDataFrame([("s1",), ("s2",), ("s3",)], "sample_id string")
+    got = W.samples_with(samples, W.keyed(w, {"psm": F.lit("6")}), w.where("top > 100")).orderBy("sample_id").collect()
+    assert [tuple(r) for r in got] == [("s1", 2, 1), ("s2", 1, 1), ("s3", 0, 0)]
+
+
+def test_nearest_of_equals_a_search_of_all():
+    rng = np.random.default_rng(7)
+    for n in (1, 2, 30):
+        centers, ys = rng.integers(0, 60, n), rng.integers(-5, 70, 200)
+        near, away = A.nearest_of(ys, centers)
+        all_ = np.abs(ys[:, None] - centers[None, :])
+        assert (near == all_.argmin(1)).all() and (away == all_.min(1)).all()
+
+
+def test_text_functions_without_a_query(spark):
+    t = lambda c: spark.range(1).select(c).first()[0]
+    assert t(display_text(F.lit("|a__b [c]|"))) == "a b c" and t(is_large_amount(F.lit("12.500"))) and not t(is_large_amount(F.lit("125")))
+    assert t(typed_date(F.lit("1950-02-28"))) == datetime.date(1950, 2, 28) and t(typed_date(F.lit("1950-02-30"))) is None
+    assert t(scan_date(F.lit("1950-M3-7_12.JPG"))) == "1950-03-07" and t(scan_date(F.lit("x"))) == ""
+    texts = [None, "", "Élan ÀÈ-ß", "ﬁne Ｗｉｄｅ", "İstanbul", "Ångström 12 x", "日本 abc", "K Å", "ǅ"]
+    got = spark.createDataFrame([(x,) for x in texts], "x string").select(letters_only(F.col("x")).alias("y")).collect()
+    assert [r.y for r in got] == [plain_letters(x or "") for x in texts]
+
+
+def test_tables_by_type_and_combined(spark, tmp_path):
+    a, b = spark.createDataFrame([("x", 1)], "page_type string, n int"), spark.createDataFrame([("y", "q")], "page_type string, t string")
+    both = csv.combined([a, b], ["t", "missing"])
+    assert both.columns == ["t", "page_type", "n"] and both.count() == 2
+    csv.write_by_type(both, f"{tmp_path}/typed")
+    assert sorted(p.name for p in (tmp_path / "typed").glob("page_type=*")) == ["page_type=x", "page_type=y"]
+
+
+def test_measures_rules_and_zones_of_images(spark):
+    page = np.full((300, 200), 30, np.uint8)
+    page[20:280, 20:180] = 235
+    page[60:240, [40, 41, 100, 101, 160]] = 10
+    ruled = np.full((300, 200), 235, np.uint8)
+    ruled[60:240, [40, 41, 100, 101, 160]] = 10
+    assert vision.vertical_rules(vision.ink(ruled)) == [40, 100, 160]
+    x0, y0, x1, y1 = vision.table_zone(page)
+    assert x0 <= 40 and x1 >= 160 and y0 <= 62 and y1 >= 238
+    image = ("file:p", 300, 200, 1, 0, bytearray(page.tobytes()))
+    df = spark.createDataFrame([(image,), (("file:bad", 3, 3, 1, 0, bytearray(b"x")),)], "image struct<origin:string,height:int,width:int,nChannels:int,mode:int,data:binary>")
+    got = {r.origin: r for r in vision.page_measures(df).collect()}
+    assert got["file:p"].error is None and 0.6 < got["file:p"].content_ratio < 1 and got["file:bad"].error
+
+
+def test_the_engine_runs_only_where_it_is(monkeypatch):
+    calls = []
+
+    class Done:
+        stdout = "level"
+
+    run = lambda args, **_: calls.append(args) or Done
+    monkeypatch.setattr(vision.shutil, "which", lambda _: None)
+    assert vision.tesseract("a.png", "6", run=run) == "" and not calls
+    monkeypatch.setattr(vision.shutil, "which", lambda _: "/x")
+    assert vision.tesseract("a.png", "6", run=run) == "level" and calls[0][1] == "a.png" and "6" in calls[0]

@@ -48,10 +48,16 @@ def test_half_written_samples_are_made_again(spark, tmp_path):
 
 
 def test_cached_readings_are_made_once(spark, tmp_path):
-    make = lambda *k: (lambda: spark.createDataFrame([(i, f"text {i} {len(k)}") for i in k], "row_index int, text string"))
-    assert resume.cached(spark, f"{tmp_path}/c", make(1, 2), ["row_index"]).count() == 2
-    got = resume.cached(spark, f"{tmp_path}/c", make(1, 2, 3), ["row_index"]).collect()
-    assert sorted(r.text for r in got) == ["text 1 2", "text 2 2", "text 3 3"]
+    seen = []
+
+    def make(todo):
+        seen.append(sorted(r.row_index for r in todo.collect()))
+        return todo.where("row_index <> 9").withColumn("text", F.concat(F.lit("text "), F.col("row_index").cast("string")))
+
+    read = lambda *k: sorted(r.text for r in resume.cached(spark.createDataFrame([(i,) for i in k], "row_index int"), f"{tmp_path}/c", make, "row_index int, text string", ["row_index"]).collect())
+    assert read() == [] and read(1, 2) == ["text 1", "text 2"] and read(1, 2) == ["text 1", "text 2"]
+    assert read(1, 3, 9) == ["text 1", "text 2", "text 3"] and read(9) == ["text 1", "text 2", "text 3"]
+    assert seen == [[1, 2], [3, 9], [9]]
 
 
 def test_crops_are_found_in_the_first_listing(spark):
