@@ -6,9 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioframe.dimensions import HEADING_PATTERNS, PAGE_OVERRIDES, PAGE_TYPES
+from folioframe.operators import layout as L
 from folioframe.operators import pages as P
+from folioframe.operators import reports
 from folioframe.operators.sections import table_row_type
-from folioframe.sources.scans import scan_name
+from folioframe.sources.resume import resolved
+from folioframe.sources.scans import manifest_rows, scan_name
 from folioframe.sources.views import PAGES, pages, read
 
 QUERIES, ORACLES = {}, {}
@@ -90,3 +93,71 @@ def scaled_boxes(spark: SparkSession, d: str) -> DataFrame:
 def classify_rows(spark: SparkSession, d: str) -> DataFrame:
     return read(spark, d, "documents").select("doc_id", table_row_type(F.col("text"), F.lit("")).alias("record_type"))
 
+
+
+_SIZE = "page_id, url, 1000 + page_id % 700 AS w, 1400 + page_id % 900 AS h, length(html) AS n"
+
+
+def _sized(spark: SparkSession, d: str) -> DataFrame:
+    """Pages with a size, and a table zone that stands for a detected one: none for some, too far right or too short for others."""
+    p, n = F.col("page_id"), F.length("html")
+    w, h = (1000 + p % 700).cast("int"), (1400 + p % 900).cast("int")
+    table = F.when(p % 11 != 0, F.struct((20 + n % 200).cast("int").alias("x0"), (30 + n % 120).cast("int").alias("y0"), (w - n % 90).cast("int").alias("x1"), (h - 50 - n % 700).cast("int").alias("y1")))
+    return pages(spark, d).select("page_id", w.alias("width"), h.alias("height"), table.alias("table"))
+
+
+@query(f""", sz AS (SELECT {_SIZE} FROM v_pages), tb AS (SELECT page_id, w, h, page_id % 11 <> 0 AS found, 20 + n % 200 AS x0, 30 + n % 120 AS y0, w - n % 90 AS x1, h - 50 - n % 700 AS y1 FROM sz),
+rp AS (SELECT page_id, w, h, found, y0, x1, CASE WHEN x0 > w * 0.1 OR x1 - x0 < w * 0.78 THEN least(x0, floor(w * 0.035)) ELSE x0 END AS x0, CASE WHEN y1 < h * 0.72 THEN floor(h * 0.855) ELSE y1 END AS y1 FROM tb),
+zn AS (SELECT page_id, 'azioni_table' AS zone_type, x0, y0, x1, y1 FROM rp WHERE found UNION ALL SELECT page_id, 'azioni_header', x0, 0, x1, y0 FROM rp WHERE found AND y0 > h * 0.04 UNION ALL SELECT page_id, 'azioni_footer', x0, y1, x1, h FROM rp WHERE found AND y1 < h * 0.94
+ UNION ALL SELECT page_id, 'azioni_table', floor(w * 0.035), floor(h * 0.085), floor(w * 0.965), floor(h * 0.855) FROM rp WHERE NOT found UNION ALL SELECT page_id, 'azioni_header', floor(w * 0.035), floor(h * 0.025), floor(w * 0.965), floor(h * 0.085) FROM rp WHERE NOT found UNION ALL SELECT page_id, 'azioni_footer', floor(w * 0.035), floor(h * 0.855), floor(w * 0.965), floor(h * 0.965) FROM rp WHERE NOT found)
+SELECT page_id, zone_type, x0::INTEGER AS x0, y0::INTEGER AS y0, x1::INTEGER AS x1, y1::INTEGER AS y1 FROM zn""")
+def equity_zones(spark: SparkSession, d: str) -> DataFrame:
+    """Table, header and footer of each page, repaired or from the fallback."""
+    z = _sized(spark, d).select("page_id", F.inline(L.zones(F.col("table"), F.col("width"), F.col("height"))))
+    return z.select("page_id", "zone_type", "x0", "y0", "x1", "y1")
+
+
+_VAR = ", ".join(f"('{n}', {a}, {b}, {c}, {e})" for n, a, b, c, e, _ in L.VARIANTS)
+
+
+@query(f""", sz AS (SELECT {_SIZE} FROM v_pages) SELECT page_id, variant, floor(w * a)::INTEGER AS x0, floor(h * b)::INTEGER AS y0, floor(w * c)::INTEGER AS x1, floor(h * d)::INTEGER AS y1, n % w AS left_, n % h AS top FROM sz, (VALUES {_VAR}) v(variant, a, b, c, d)""")
+def variant_boxes(spark: SparkSession, d: str) -> DataFrame:
+    """The crops that are read of each page, and a word's place on the page, as it comes back from each crop's coordinates."""
+    n = F.length("html")
+    sized = pages(spark, d).select("page_id", (1000 + F.col("page_id") % 700).alias("width"), (1400 + F.col("page_id") % 900).alias("height"), n.alias("n"))
+    words = L.variants(sized).withColumns({"left_": F.col("n") % F.col("width"), "right_": F.col("n") % F.col("width") + 20, "top": F.col("n") % F.col("height"), "bottom": F.col("n") % F.col("height") + 20})
+    back = L.to_page(L.to_crop(words, 3.0), 3.0)
+    return back.select("page_id", "variant", "x0", "y0", "x1", "y1", F.col("left_").cast("long").alias("left_"), F.col("top").cast("long").alias("top"))
+
+
+@query(_LABELS + """
+SELECT 'reports/' || page_type || '.md' AS name, '# ' || page_type || chr(10) || chr(10) || '| page_id | date | picture | side | confidence |' || chr(10) || '|---|---|---|---|---|' || chr(10) || string_agg('| ' || page_id || ' | ' || date || ' | ' || picture || ' | ' || side || ' | ' || confidence || ' |', chr(10) ORDER BY page_id) || chr(10) AS content FROM lb GROUP BY page_type""")
+def type_reports(spark: SparkSession, d: str) -> DataFrame:
+    """A document for each page type: its pages in order."""
+    found = reports.page_documents(labels(spark, d), "page_type", "page_id", ["page_id", "date", "picture", "side", "confidence"])
+    return found.select("name", F.col("content").cast("string").alias("content"))
+
+
+@query(_LABELS + """,
+t AS (SELECT string_agg('- `' || page_type || '`: ' || n, chr(10) ORDER BY page_type) AS t FROM (SELECT page_type, count(*) AS n FROM lb GROUP BY page_type)),
+f AS (SELECT string_agg('- `' || confidence || '`: ' || n, chr(10) ORDER BY confidence) AS f FROM (SELECT confidence, count(*) AS n FROM lb WHERE confidence <> 'high' GROUP BY confidence))
+SELECT '# Run' || chr(10) || chr(10) || '## Pages by type' || chr(10) || chr(10) || coalesce(t, '- none') || chr(10) || chr(10) || '## Flags' || chr(10) || chr(10) || coalesce(f, '- none') || chr(10) AS content FROM t, f""")
+def run_report(spark: SparkSession, d: str) -> DataFrame:
+    """What a run has labelled; labels that aren't certain count as flags."""
+    found = labels(spark, d)
+    return reports.run_summary(found, found.where("confidence <> 'high'").select(F.col("confidence").alias("flag")), "Run")
+
+
+@query(_LABELS + "\nSELECT page_id, date, side FROM lb WHERE page_type = 'regular_azioni' ORDER BY date, page_id LIMIT 500")
+def labelled_targets(spark: SparkSession, d: str) -> DataFrame:
+    """The pages of one type that the next stage takes, the first 500 in order."""
+    return manifest_rows(labels(spark, d), "page_type", "regular_azioni", ["date", "page_id"], 500).select("page_id", "date", "side")
+
+
+@query("""SELECT page_id, CASE WHEN page_id % 3 = 0 THEN 'm/' || page_id || '.jpg' WHEN page_id % 5 = 0 THEN 'k/' || page_id || '.jpg' END AS crop_path, CASE WHEN page_id % 3 = 0 THEN 'manifest' WHEN page_id % 5 = 0 THEN 'kept' ELSE 'made_from_scan' END AS crop_source FROM v_pages""")
+def crop_paths(spark: SparkSession, d: str) -> DataFrame:
+    """Where each page's crop is: in the manifest's folder, in the kept one, or to be made from its scan."""
+    p = pages(spark, d).select("page_id", F.concat(F.col("page_id").cast("string"), F.lit(".jpg")).alias("name"))
+    files = lambda folder, every: p.where(F.col("page_id") % every == 0).select("name", F.concat(F.lit(f"{folder}/"), "name").alias("path"))
+    wanted = p.select("page_id", F.col("name").alias("manifest_name"), F.col("name").alias("kept_name"))
+    return resolved(wanted, [("manifest", files("m", 3)), ("kept", files("k", 5))]).select("page_id", "crop_path", "crop_source")

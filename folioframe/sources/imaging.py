@@ -300,6 +300,28 @@ def deskewed(gray: np.ndarray) -> tuple[np.ndarray, float]:
     return (rotated(gray, angle), angle) if abs(angle) >= 0.1 else (gray, 0.0)
 
 
+def strip(gray: np.ndarray, scale: int = 3) -> np.ndarray:
+    """A strip of figures as it is read again: larger, equalised, dark on white by its surroundings."""
+    h, w = gray.shape
+    y, x = np.mgrid[: h * scale, : w * scale].astype(np.float64)
+    large = sampled(gray, (x + 0.5) / scale - 0.5, (y + 0.5) / scale - 0.5, 255)
+    return np.where(adaptive_ink(large, 35, 11), 0, 255).astype(np.uint8)
+
+
+def overlay(gray: np.ndarray, rows: list[tuple[int, int, int, int]], edges: list[int], rules: list[int]) -> np.ndarray:
+    """The page with the frames of its rows (left, top, right, bottom), its columns' edges and the rules that were found."""
+    out = gray.copy()
+    h, w = out.shape
+    for x, value in [*((r, 220) for r in rules), *((e, 180) for e in edges)]:
+        if 0 <= x < w:
+            out[:, x] = value
+    for x0, y0, x1, y1 in rows:
+        x0, y0, x1, y1 = max(0, x0), max(0, y0), min(w, x1), min(h, y1)
+        for part in (np.s_[y0 : y0 + 2, x0:x1], np.s_[max(y0, y1 - 2) : y1, x0:x1], np.s_[y0:y1, x0 : x0 + 2], np.s_[y0:y1, max(x0, x1 - 2) : x1]):
+            out[part] = 90
+    return out
+
+
 def png(gray: np.ndarray) -> bytes:
     """A gray image as PNG."""
     h, w = gray.shape

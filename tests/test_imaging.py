@@ -131,3 +131,12 @@ def test_png_holds_the_pixels():
     size = struct.unpack(">I", data[33:37])[0]
     rows = np.frombuffer(zlib.decompress(data[41 : 41 + size]), np.uint8).reshape(5, 8)
     assert (rows[:, 0] == 0).all() and (rows[:, 1:] == a).all()
+
+
+def test_strips_and_overlays():
+    gray = np.full((20, 60), 200, np.uint8)
+    gray[6:14, 10:14] = 40
+    large = I.strip(gray)
+    assert large.shape == (60, 180) and set(np.unique(large)) <= {0, 255} and (large[20:40, 32:40] == 0).mean() > 0.9 and (large[:, 100:] == 255).all()
+    seen = I.overlay(gray, [(5, 4, 30, 16), (50, -3, 90, 5)], [20, 500], [40])
+    assert (seen[4:6, 5:30] == 90).all() and (seen[17:, 20] == 180).all() and (seen[:, 40] == 220).all() and (seen[0, 50:] == 90).all() and (seen[7:13, 11:13] == 40).all()
