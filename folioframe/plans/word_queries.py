@@ -210,14 +210,19 @@ def nearest_rule_snap(spark: SparkSession, d: str) -> DataFrame:
     return page_columns(words(spark, d))
 
 
-@query(None)
+_EDGES = [_BOND_PIXELS[0][1], *[b for _, _, b in _BOND_PIXELS]]
+
+
+@query(f""", pr AS (SELECT page, list(DISTINCT left_ ORDER BY left_) AS rules FROM v_words GROUP BY page),
+mv AS (SELECT page, list_transform({_EDGES}, lambda b, i: CASE WHEN i IN (1, {len(_EDGES)}) THEN b ELSE coalesce(list_transform(list_sort(list_transform(list_filter(rules, lambda r: abs(r - b) <= 38), lambda r: {{'d': abs(r - b), 'r': r}})), lambda s: s.r)[1], b) END) AS moved FROM pr)
+SELECT page, array_to_string(list_reduce(list_transform(moved, lambda x: [x]), lambda a, b: list_append(a, greatest(b[1], a[-1] + 8))), ',') AS edges FROM mv""")
 def monotone_snap(spark: SparkSession, d: str) -> DataFrame:
     rules = words(spark, d).groupBy("page").agg(F.array_sort(F.collect_set("left_")).alias("rules"))
     edges = F.array(*[F.lit(x) for x in [_BOND_PIXELS[0][1], *[b for _, _, b in _BOND_PIXELS]]])
     return rules.select("page", F.array_join(W.snapped(edges, F.col("rules")), ",").alias("edges"))
 
 
-@query(None)
+@query("""SELECT page, array_to_string(list_reduce(list_transform(x, lambda v: [v]), lambda a, b: CASE WHEN b[1] - a[-1] <= 20 THEN list_append(a[:-2], round_even((a[-1] + b[1]) / 2.0, 0)::INTEGER) ELSE list_append(a, b[1]) END), ',') AS rules FROM (SELECT page, list(left_ ORDER BY left_) AS x FROM v_words GROUP BY page)""")
 def merged_rules(spark: SparkSession, d: str) -> DataFrame:
     return words(spark, d).groupBy("page").agg(F.collect_list("left_").alias("x")).select("page", F.array_join(W.merged_close(F.col("x")), ",").alias("rules"))
 
