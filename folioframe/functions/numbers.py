@@ -24,9 +24,25 @@ NUMBER = (
 
 
 def number_tokens(c: Column) -> Column:
-    """Numbers of an equity cell as they are written."""
-    found = F.regexp_extract_all(F.translate(ocr_text(c), "€", "E"), F.lit(NUMBER), F.lit(1))
-    return F.filter(F.transform(found, lambda t: F.btrim(t, F.lit(" .,'"))), lambda t: t != "")
+    """Numbers of an equity cell as they are written: they begin and end with a digit and hold digits, dots, commas and spaces.
+
+    What OCR damages (dashes, look-alikes, currency signs) is no part of them and parts none of them, so it isn't mended first.
+    """
+    return F.regexp_extract_all(text_of(c), F.lit(NUMBER), F.lit(1))
+
+
+def token_value(t: Column, decimal: bool = False) -> Column:
+    """parse_number() of one of number_tokens(), where only its marks are left to mend."""
+    if not decimal:
+        return F.translate(t, "., ", "")
+    return F.translate(F.regexp_replace(F.translate(t, ". ", ""), r",(\d{1,2})$", ".$1"), ",", "")
+
+
+def plain_value(t: Column, decimal: bool = False) -> Column:
+    """parse_bond_number() of one of plain_tokens(), which hold digits, dots and commas alone."""
+    if not decimal:
+        return F.translate(t, ".,", "")
+    return F.translate(F.regexp_replace(t, r"^(.*),(\d{1,2})$|^(\d+(?:\.\d+)*)\.(\d{1,2})$", "$1$3;$2$4"), ";.,", ".")
 
 
 def plain_tokens(c: Column) -> Column:
@@ -65,12 +81,12 @@ def parse_bond_number(c: Column, decimal: bool = False) -> Column:
 
 def parsed(c: Column, decimal: bool = False) -> Column:
     """All numbers of an equity cell, in order."""
-    return F.filter(F.transform(number_tokens(c), lambda t: parse_number(t, decimal)), lambda v: v != "")
+    return values_of(number_tokens(c), decimal)
 
 
 def values_of(tokens: Column, decimal: bool = False) -> Column:
-    """Values of number tokens, in order."""
-    return F.filter(F.transform(tokens, lambda t: parse_number(t, decimal)), lambda v: v != "")
+    """Values of number_tokens(), in order."""
+    return F.transform(tokens, lambda t: token_value(t, decimal))
 
 
 def greatest_of(values: Column) -> Column:
@@ -80,7 +96,8 @@ def greatest_of(values: Column) -> Column:
 
 
 def bond_parsed(c: Column, decimal: bool = False) -> Column:
-    return F.filter(F.transform(plain_tokens(bond_text(c)), lambda t: parse_bond_number(t, decimal)), lambda v: v != "")
+    """All numbers of a bond cell, in order; what bond_text() mends is no part of them."""
+    return F.transform(plain_tokens(text_of(c)), lambda t: plain_value(t, decimal))
 
 
 def first_of(values: Column) -> Column:
@@ -111,33 +128,46 @@ def first_numeric(c: Column, decimal: bool = False, prefer_large: bool = False,
     return greatest_of(values)
 
 
-def _whole(c: Column) -> Column:
-    return F.when(c.rlike(r"^\d+$"), c.try_cast("decimal(38,0)"))
-
-
 def _true(c: Column) -> Column:
     return F.coalesce(c, F.lit(False))
 
 
+def _whole(c: Column, pattern: str) -> Column:
+    """Whether a whole number of at most 38 digits, zeros before it aside, is one that the pattern describes."""
+    return _true(c.rlike(f"^0*(?:{pattern})$"))
+
+
+_FIFTHS = "(?:00|25|50|75)"
+_ODD_NOMINALS = "|".join(str(n) for n in NOMINALS if n % 25 or not 25 <= n <= 20000)
+
+
 def is_large(c: Column) -> Column:
-    return _true(_whole(c) >= 10000)
+    """10000 or more."""
+    return _whole(c, r"[1-9]\d{4,37}")
 
 
 def is_nominal(c: Column) -> Column:
-    n = _whole(c)
-    return _true(n.isin(NOMINALS) | (n.between(25, 20000) & (n % 25 == 0)))
+    """A known nominal, or a multiple of 25 up to 20000."""
+    return _whole(c, rf"25|50|75|[1-9]\d?{_FIFTHS}|1\d\d{_FIFTHS}|20000|{_ODD_NOMINALS}")
 
 
 def is_identity_amount(c: Column) -> Column:
-    return _true(_whole(c) >= 1000)
+    """1000 or more."""
+    return _whole(c, r"[1-9]\d{3,37}")
 
 
 def is_suspicious(c: Column) -> Column:
-    return _true(_whole(c).between(1, 30))
+    """1 to 30."""
+    return _whole(c, r"[1-9]|[12]\d|30")
+
+
+def is_up_to_thirty(c: Column) -> Column:
+    return _whole(c, r"[12]?\d|30")
 
 
 def is_quantity(c: Column) -> Column:
-    return _true(_whole(c).between(1, 500000))
+    """1 to 500000."""
+    return _whole(c, r"[1-9]\d{0,4}|[1-4]\d{5}|500000")
 
 
 def is_price(c: Column) -> Column:
@@ -164,17 +194,17 @@ def identity_pairs(tokens: Column) -> Column:
     """For each token its value and, of tokens of two parts, the values of both ('' for others)."""
 
     def one(t: Column) -> Column:
-        parts = F.split(F.btrim(ocr_text(t)), r"\s+")
-        part = lambda k: F.when(F.size(parts) == 2, parse_number(F.get(parts, F.lit(k)))).otherwise("")
-        return F.struct(parse_number(t).alias("value"), part(0).alias("left"), part(1).alias("right"))
+        two = t.rlike("^[^ ]+ [^ ]+$")
+        part = lambda k: F.when(two, token_value(F.substring_index(t, " ", k))).otherwise("")
+        return F.struct(token_value(t).alias("value"), part(1).alias("left"), part(-1).alias("right"))
 
     return F.transform(tokens, one)
 
 
 def values_of_pairs(pairs: Column) -> Column:
     """Values of such tokens; a row number and a nominal read as one count as the nominal."""
-    pick = lambda p: F.when(_true(_whole(p["left"]) <= 30) & is_nominal(p["right"]) & ~is_large(p["right"]), p["right"]).otherwise(p["value"])
-    return F.filter(F.transform(F.filter(pairs, lambda p: p["value"] != ""), pick), lambda v: v != "")
+    pick = lambda p: F.when((p["left"] != "") & is_up_to_thirty(p["left"]) & is_nominal(p["right"]) & ~is_large(p["right"]), p["right"]).otherwise(p["value"])
+    return F.transform(pairs, pick)
 
 
 def identity_values(c: Column) -> Column:
@@ -189,13 +219,13 @@ def nominal_values(c: Column) -> Column:
 
 def only_small_extras(tokens: Column, selected: Column, most: int = 31) -> Column:
     """The first number is the selected one and all others are small."""
-    values = F.filter(F.transform(tokens, lambda t: parse_number(t)), lambda v: v != "")
+    values = values_of(tokens)
     extras = F.slice(values, F.lit(2), F.greatest(F.size(values), F.lit(1)))
-    return (F.size(tokens) > 1) & (selected != "") & _true(F.get(values, F.lit(0)) == selected) & (F.size(extras) > 0) & F.forall(extras, lambda v: _true(_whole(v) <= most))
+    return (F.size(tokens) > 1) & (selected != "") & _true(F.get(values, F.lit(0)) == selected) & (F.size(extras) > 0) & F.forall(extras, lambda v: _true(v.try_cast("decimal(38,0)") <= most))
 
 
 def over_thirty(values: Column) -> Column:
-    return F.filter(values, lambda v: _true(_whole(v) > 30))
+    return F.filter(values, lambda v: _whole(v, r"3[1-9]|[4-9]\d|[1-9]\d{2,37}"))
 
 
 def places(values: Column, test) -> Column:
@@ -226,17 +256,22 @@ def row_pattern_of(values: Column, at: Column, suffix: Column, repaired: Column)
     return _if(F.size(at) >= 2, capital=F.get(values, F.get(at, F.lit(0)) - 1), shares=F.get(values, F.get(at, F.lit(1)) - 1), nominal=nominal)
 
 
+def suffix_of(values: Column, at: Column) -> Column:
+    """The four values after the second of these places; none without it."""
+    return F.when(F.size(at) >= 2, F.slice(values, F.get(at, F.lit(1)) + 1, F.lit(4))).otherwise(F.array().cast("array<string>"))
+
+
 def raw_row_pattern(text: Column) -> Column:
     """struct(capital, shares, nominal) from a whole row: two amounts of 1000 and more and a nominal in the next four."""
     values = over_thirty(parsed(text))
     at = places(values, is_identity_amount)
-    suffix = F.when(F.size(at) >= 2, F.slice(values, F.get(at, F.lit(1)) + 1, F.lit(4))).otherwise(F.array().cast("array<string>"))
+    suffix = suffix_of(values, at)
     return row_pattern_of(values, at, suffix, nominal_values(F.array_join(suffix, " ")))
 
 
 def without_markers(values: Column) -> Column:
     """values without small ones before large ones."""
-    return F.filter(F.transform(values, lambda v, i: F.when(~(_true(_whole(v) <= 30) & is_large(F.coalesce(F.get(values, i + 1), F.lit("")))), v)), lambda v: v.isNotNull())
+    return F.filter(F.transform(values, lambda v, i: F.when(~(is_up_to_thirty(v) & is_large(F.coalesce(F.get(values, i + 1), F.lit("")))), v)), lambda v: v.isNotNull())
 
 
 def fallback_of(kept: Column, at: Column) -> Column:

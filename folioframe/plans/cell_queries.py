@@ -94,8 +94,12 @@ ORACLES["small_extras"] = f"WITH {CELLS}\nSELECT {_K}, nominal_raw <> '' AND qua
 
 @query(None)
 def identity_fallbacks(spark: SparkSession, d: str) -> DataFrame:
-    c = cells(spark, d).withColumn("t", F.concat_ws(" ; ", "capital_raw", "shares_raw", "nominal_raw"))
-    c = c.withColumns({"a": N.column_sequence(N.parsed(F.col("t"))), "b": N.raw_row_pattern(F.col("t")), "c": N.identity_fallback(F.col("t"))})
+    c = cells(spark, d).select("sample_id", "row_index", N.number_tokens(F.concat_ws(" ; ", "capital_raw", "shares_raw", "nominal_raw")).alias("_t"))
+    # a column for each step, so that each is computed once
+    c = c.withColumns({"_v": N.over_thirty(N.values_of(F.col("_t"))), "_k": N.without_markers(N.values_of_pairs(N.identity_pairs(F.col("_t"))))})
+    c = c.withColumns({"_l": F.filter("_v", N.is_large), "_p": N.places(F.col("_v"), N.is_identity_amount), "_kl": N.places(F.col("_k"), N.is_large)})
+    c = c.withColumn("_s", N.suffix_of(F.col("_v"), F.col("_p"))).withColumn("_n", N.nominal_values(F.array_join("_s", " ")))
+    c = c.withColumns({"a": N.sequence_of(F.col("_v"), F.col("_l")), "b": N.row_pattern_of(F.col("_v"), F.col("_p"), F.col("_s"), F.col("_n")), "c": N.fallback_of(F.col("_k"), F.col("_kl"))})
     return c.select("sample_id", "row_index", *[F.col(f"{x}.{f}").alias(f"{n}_{f}") for x, n in (("a", "sequence"), ("b", "row"), ("c", "right")) for f in ("capital", "shares", "nominal")])
 
 
