@@ -23,6 +23,12 @@ def test_lines_of_a_tsv_are_split_once(spark):
     assert _times(Q.tsv_word_parse(spark, SF), "concat_ws(") == 1
 
 
+def test_references_are_one_constant(spark):
+    """Not a branch for each name, whose code is too long to be compiled."""
+    assert _times(C.issuer_reference_match(spark, SF), "array_intersect(") == 0
+    assert _times(C.issuer_reference_match(spark, SF), "lower(") == 1
+
+
 def test_values_of_tokens_equal_those_of_any_text(spark):
     rng = random.Random(3)
     texts = ["".join(rng.choice("0012359.,, -–€Cl/'") for _ in range(rng.randint(0, 22))) for _ in range(3000)]
