@@ -12,6 +12,7 @@ from folioframe.dimensions import BOND_FOOTNOTES, BOND_NOMINALS, BOND_SECTIONS
 from folioframe.functions import numbers as N
 from folioframe.functions import text as T
 from folioframe.functions.dates import parse_date, parse_year
+from folioframe.operators.words import let
 
 RAW = ["capital_in_circulation_raw", "nominal_value_raw", "maturity_year_raw", "extraction_period_raw", "godimento_raw", "coupon_date_raw", "coupon_net_amount_raw", "coupon_number_raw", "compensation_price_raw", "security_name_raw", "price_min_raw", "price_max_raw", "price_close_raw", "quantity_traded_raw"]
 LEFT = ["capital_in_circulation", "nominal_value", "maturity_year"]
@@ -24,46 +25,57 @@ def _flags(*pairs: tuple[Column, str]) -> Column:
 
 def price_and_quantity(price: Column, quantity: Column) -> Column:
     """struct(price, quantity, flags, processing) of a closing price cell that may hold a quantity too."""
-    text = T.bond_text(price)
-    values = N.bond_parsed(price, True)
+    read = F.struct(T.bond_text(price).alias("text"), N.bond_parsed(price, True).alias("values"), N.first_of(N.bond_parsed(quantity)).alias("given"))
+    return let(read, _price_and_quantity)
+
+
+def _price_and_quantity(read: Column) -> Column:
+    text, values, given = read["text"], read["values"], read["given"]
     n = F.size(values)
-    whole = lambda v: N.parse_bond_number(F.coalesce(v, F.lit("")))
-    split = F.concat(whole(F.get(values, F.lit(0))), F.lit("."), F.lpad(whole(F.get(values, F.lit(1))), F.greatest(F.lit(2), F.length(whole(F.get(values, F.lit(1))))), F.lit("0")))
+    digits = lambda v: F.translate(F.coalesce(v, F.lit("")), ".", "")
+    first, second, last = digits(F.get(values, F.lit(0))), digits(F.get(values, F.lit(1))), digits(F.try_element_at(values, F.lit(-1)))
+    split = F.concat(first, F.lit("."), F.lpad(second, F.greatest(F.lit(2), F.length(second)), F.lit("0")))
     two = (n == 2) & text.rlike(r"^\D*\d{1,3}\s+\d{1,2}\D*$") & ~F.contains(text, F.lit(",")) & ~F.contains(text, F.lit("-"))
-    slash = ~two & (n >= 3) & F.contains(text, F.lit("/"))
-    given = N.first_of(N.bond_parsed(quantity))
-    last = whole(F.try_element_at(values, F.lit(-1)))
+    slash = (n >= 3) & F.contains(text, F.lit("/"))
     hint = (n > 1) & (F.contains(text, F.lit("/")) | text.rlike(r"(?i)\bm\b")) & (last != "")
-    taken = (given == "") & (slash | hint)
-    return F.struct(
-        F.when(two | slash, split).otherwise(N.first_of(values)).alias("price"),
-        F.when(taken, last).otherwise(given).alias("quantity"),
-        _flags((n > 1, "possible_price_column_merge")).alias("flags"),
-        _flags((two | slash, "price_decimal_split_from_ocr_tokens"), (taken, "quantity_split_from_price_cell")).alias("processing"),
-    )
+
+    def told(k: Column) -> Column:
+        taken = (given == "") & (k["slash"] | k["hint"])
+        return F.struct(
+            F.when(k["two"] | k["slash"], split).otherwise(N.first_of(values)).alias("price"),
+            F.when(taken, last).otherwise(given).alias("quantity"),
+            _flags((n > 1, "possible_price_column_merge")).alias("flags"),
+            _flags((k["two"] | k["slash"], "price_decimal_split_from_ocr_tokens"), (taken, "quantity_split_from_price_cell")).alias("processing"),
+        )
+
+    return let(F.struct(two.alias("two"), slash.alias("slash"), hint.alias("hint")), told)
 
 
 def inferred_left(raw: Column) -> Column:
     """struct(capital, nominal, maturity) read off the first five numbers of a row, from left to right."""
-    text = T.bond_text(raw)
-    tokens = F.slice(N.plain_tokens(text), 1, 8)
-    items = F.transform(tokens, lambda t, i: F.struct(t.alias("t"), N.parse_bond_number(t).alias("v"), N.parse_bond_number(F.coalesce(F.get(tokens, i + 1), F.lit(""))).alias("next")))
+    return let(F.slice(N.plain_tokens(T.text_of(raw)), 1, 6), _inferred_left)
+
+
+def _inferred_left(tokens: Column) -> Column:
     nominal = lambda v: v.isin(BOND_NOMINALS)
-    year4 = lambda v: (F.length(v) == 4) & F.coalesce(v.try_cast("int").between(1850, 2100), F.lit(False))
+    values = F.transform(tokens, lambda t: F.struct(t.alias("t"), N.plain_value(t).alias("v")))
+
+    def items(x: Column) -> Column:
+        def item(y: Column, i: Column) -> Column:
+            v, pair = y["v"], F.concat(y["v"], F.get(x, i + 1)["v"])  # null after the last
+            year = v.rlike(r"^(?:18[5-9]\d|19\d\d|20\d\d|2100)$")
+            large = ~nominal(v) & ~year & (F.contains(y["t"], F.lit(".")) | (F.length(v) >= 5))
+            return F.struct(v.alias("v"), year.alias("year"), large.alias("large"), F.when(nominal(v), v).when(nominal(pair), pair).otherwise("").alias("nominal"))
+
+        return F.aggregate(F.slice(F.transform(x, item), 1, 5), start, step)
 
     def step(s: Column, x: Column) -> Column:
-        v = x["v"]
-        live = ~s["done"] & (v != "")
-        capital = live & (s["capital"] == "") & ~nominal(v) & ~year4(v) & (F.contains(x["t"], F.lit(".")) | (F.length(v) >= 5))
-        plain = live & ~capital & (s["nominal"] == "") & nominal(v)
-        pair = F.concat(v, x["next"])
-        joined = live & ~capital & ~plain & (s["nominal"] == "") & (x["next"] != "") & nominal(pair)
-        year = F.coalesce(F.nullif(parse_year(x["t"]), F.lit("")), F.when(year4(v), v))
-        found = live & ~capital & ~plain & ~joined & (s["nominal"] != "") & (s["maturity"] == "") & year.isNotNull()
-        return F.struct(F.when(capital, v).otherwise(s["capital"]).alias("capital"), F.when(plain, v).when(joined, pair).otherwise(s["nominal"]).alias("nominal"), F.when(found, year).otherwise(s["maturity"]).alias("maturity"), (s["done"] | found).alias("done"))
+        """A year after the nominal ends the search; a number that is taken for the capital is no nominal."""
+        live, first = s["maturity"] == "", x["large"] & (s["capital"] == "")
+        return F.struct(F.when(live & first, x["v"]).otherwise(s["capital"]).alias("capital"), F.when(live & ~first & (s["nominal"] == "") & (x["nominal"] != ""), x["nominal"]).otherwise(s["nominal"]).alias("nominal"), F.when(live & (s["nominal"] != "") & x["year"], x["v"]).otherwise(s["maturity"]).alias("maturity"))
 
-    start = F.struct(F.lit("").alias("capital"), F.lit("").alias("nominal"), F.lit("").alias("maturity"), F.lit(False).alias("done"))
-    return F.when(F.size(tokens) < 3, start).otherwise(F.aggregate(F.slice(items, 1, 5), start, step))
+    start = F.struct(F.lit("").alias("capital"), F.lit("").alias("nominal"), F.lit("").alias("maturity"))
+    return F.when(F.size(tokens) < 3, start).otherwise(let(values, items))
 
 
 def _has_any(text: Column, terms: list[str]) -> Column:
@@ -75,7 +87,8 @@ def clean(rows: DataFrame, keys: list[str]) -> DataFrame:
     names = [*RAW, "raw_text", "record_type", "record_role", "section", "mean_conf"]
     df = rows.withColumns({n: T.text_of(F.col(n).cast("string")) if n in rows.columns else F.lit("") for n in names})
     c = F.col
-    low = F.lower(T.bond_text(c("raw_text")))
+    df = df.withColumns({"_low": F.lower(T.bond_text(c("raw_text"))), "_name": T.bond_text(c("security_name_raw"))})
+    low, raw_name = c("_low"), c("_name")
     note = _has_any(low, BOND_FOOTNOTES)
     section = (c("record_type") == "section_heading") | (_has_any(low, BOND_SECTIONS) & (F.size(N.plain_tokens(low)) <= 2))
     df = df.withColumns({"record_role": F.when(section, "section_heading").when(note, "footnote_text").otherwise(c("record_role")), "record_type": F.when(section, "section_heading").when(note, "other_text").otherwise(c("record_type"))})
@@ -90,14 +103,13 @@ def clean(rows: DataFrame, keys: list[str]) -> DataFrame:
     df = df.withColumns({"price_close": c("_pq.price"), "quantity_traded": c("_pq.quantity"), "capital_in_circulation_inferred": c("_left.capital"), "nominal_value_inferred": c("_left.nominal"), "maturity_year_inferred": c("_left.maturity")})
     by_max, by_min = (c("price_close") == "") & (c("price_max") != ""), (c("price_close") == "") & (c("price_max") == "") & (c("price_min") != "")
     df = df.withColumns({"price_close_filled": F.when(by_max, N.last_of(N.bond_parsed(c("price_max_raw"), True))).when(by_min, N.last_of(N.bond_parsed(c("price_min_raw"), True))).otherwise(c("price_close")), "price_close_fill_source": F.when(c("price_close") != "", "ocr").when(by_max, "inferred_from_price_max").when(by_min, "inferred_from_price_min").otherwise("")})
-    raw_name = T.bond_text(c("security_name_raw"))
     raw_left = F.concat_ws("", *[T.bond_text(c(n)) for n in RAW[:5]])
     more = raw_name.rlike(r"^[»\"'`.,;:\-\s]+") | ((c("security_name_clean") != "") & (F.length("security_name_clean") <= 8) & raw_name.rlike(r"[%»\"]")) | ((F.btrim(raw_left) == "") & (c("security_name_clean") != ""))
     candidate = c("record_type") == "candidate_record"
     df = df.withColumns({"_more": more, "record_role": F.when(candidate & more, "candidate_continuation").otherwise(c("record_role"))})
     missing = reduce(lambda a, b: a + b, [(c(n) == "").cast("int") for n in LEFT])
     prices = T.without_dashes(F.concat_ws(" ", *[c(n) for n in RAW[10:]]))
-    many = lambda n: F.size(N.plain_tokens(T.bond_text(c(n)))) > 1
+    many = lambda n: F.size(N.plain_tokens(c(n))) > 1
     flags = _flags(
         (many("capital_in_circulation_raw") | many("nominal_value_raw"), "possible_left_column_merge"),
         (many("price_close_raw") | (F.size("_pq.flags") > 0), "possible_price_column_merge"),

@@ -48,3 +48,12 @@ def test_kinds_of_numbers_equal_comparisons(spark):
     same = [(N.is_large(v), n >= 10000), (N.is_identity_amount(v), n >= 1000), (N.is_suspicious(v), n.between(1, 30)), (N.is_quantity(v), n.between(1, 500000)), (N.is_up_to_thirty(v), n <= 30), (N.is_nominal(v), n.isin(N.NOMINALS) | (n.between(25, 20000) & (n % 25 == 0))), (F.size(N.over_thirty(F.array(v))) == 1, n > 30)]
     for a, b in same:
         assert not df.where(a != true(b)).count()
+
+
+def test_the_left_of_a_bond_row_finds_numbers_once(spark):
+    assert _times(C.bond_left_infer(spark, SF), "regexp_extract_all(") <= 3
+
+
+def test_bond_cells_are_mended_once(spark):
+    assert _times(C.bond_clean(spark, SF), "â€™") <= 25
+    assert _times(C.bond_carry_forward(spark, SF), "â€™") <= 25
