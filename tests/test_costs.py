@@ -57,3 +57,8 @@ def test_the_left_of_a_bond_row_finds_numbers_once(spark):
 def test_bond_cells_are_mended_once(spark):
     assert _times(C.bond_clean(spark, SF), "â€™") <= 25
     assert _times(C.bond_carry_forward(spark, SF), "â€™") <= 25
+
+
+def test_flags_are_made_in_one_step(spark):
+    assert _times(C.equity_clean(spark, SF), "array_distinct(") <= 1
+    assert _times(C.equity_clean(spark, SF), "translate(") <= 14
