@@ -11,9 +11,20 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A word for each non-empty piece of a document's lines, with a place on the page and a confidence."""
-    lines = read(spark, sf_dir, "documents").select(F.col("doc_id").alias("page"), F.posexplode(F.split("text", "\n")).alias("l", "line"))
+#: Parts that the pages of one split of a file are dealt to, so that a part's words, of many times its size, fit a task.
+SHARES = 8
+
+
+def words(spark: SparkSession, sf_dir: str, together: bool = False) -> DataFrame:
+    """A word for each non-empty piece of a document's lines, with a place on the page and a confidence.
+
+    together: documents are shuffled by page before they are taken apart, so that grouping the words, whose rows are many
+    times as long as their texts, by page or by page and line shuffles none of them.
+    """
+    docs = read(spark, sf_dir, "documents").select(F.col("doc_id").alias("page"), "text")
+    if together:
+        docs = docs.repartition(SHARES * docs.rdd.getNumPartitions(), "page")
+    lines = docs.select("page", F.posexplode(F.split("text", "\n")).alias("l", "line"))
     # each piece with the length of what stands before it on its line, so that places need no shuffle
     start = F.struct(F.lit(0).alias("n"), F.array().cast("array<int>").alias("at"))
     places = F.aggregate("_p", start, lambda a, x: F.struct((a["n"] + F.length(x) + 1).alias("n"), F.concat(a["at"], F.array(a["n"])).alias("at")), lambda a: a["at"])

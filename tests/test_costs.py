@@ -2,6 +2,7 @@
 
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from folioframe.functions import numbers as N
@@ -62,3 +63,21 @@ def test_bond_cells_are_mended_once(spark):
 def test_flags_are_made_in_one_step(spark):
     assert _times(C.equity_clean(spark, SF), "array_distinct(") <= 1
     assert _times(C.equity_clean(spark, SF), "translate(") <= 14
+
+
+@pytest.mark.parametrize("name", ["words_to_lines", "row_records", "typed_cells", "line_types", "page_text", "parse_summary", "text_page_rows", "row_noise_signal", "cells_pivot", "merged_rules", "body_fraction_words", "row_cluster", "issuer_anchor_rows", "bond_anchor_split", "page_components"])
+def test_texts_are_shuffled_and_not_their_words(spark, name):
+    plan = Q.QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert plan.index("Exchange hashpartitioning") > plan.rindex("Generate ")
+
+
+def test_page_parts_grow_with_the_input(spark):
+    """So that one task's words don't: no count that is fixed, none that is merged again."""
+    plan = Q.strip_band_join(spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan and plan.count("Exchange hashpartitioning") == 2
+
+
+def test_words_of_a_top_are_counted_before_they_look_for_an_anchor(spark):
+    plan = Q.asof_anchor(spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" in plan and "Aggregate" in plan[plan.index("Union"):]
