@@ -81,3 +81,9 @@ def test_page_parts_grow_with_the_input(spark):
 def test_words_of_a_top_are_counted_before_they_look_for_an_anchor(spark):
     plan = Q.asof_anchor(spark, SF)._jdf.queryExecution().optimizedPlan().toString()
     assert "Union" in plan and "Aggregate" in plan[plan.index("Union"):]
+
+
+@pytest.mark.parametrize("name", ["row_cluster", "issuer_anchor_rows", "bond_anchor_split"])
+def test_pages_are_arrow_tables(spark, name):
+    """No data frame is made for each page, or row of it."""
+    assert "FlatMapGroupsInArrow" in Q.QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
