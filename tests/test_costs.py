@@ -87,3 +87,11 @@ def test_words_of_a_top_are_counted_before_they_look_for_an_anchor(spark):
 def test_pages_are_arrow_tables(spark, name):
     """No data frame is made for each page, or row of it."""
     assert "FlatMapGroupsInArrow" in Q.QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_cells_are_shuffled_by_page_and_not_their_words(spark):
+    from folioframe.plans import parse_queries as R
+
+    plan = R.page_anchored_rows(spark, SF)._jdf.queryExecution().executedPlan().toString()
+    last = plan.index("Exchange hashpartitioning(page")
+    assert "REPARTITION_BY_NUM" in plan[last:].split("\n")[0] and plan.index("Generate inline") < last
