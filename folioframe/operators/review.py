@@ -30,22 +30,49 @@ def sample_summary(rows: DataFrame) -> DataFrame:
     return rows.groupBy("sample_id").agg(F.count("*").alias("total"), F.count_if(F.col("row_role") == "security_main_row").alias("main_rows"), F.count_if(F.size("validation_flags") > 0).alias("flagged"))
 
 
-def by_field(rows: DataFrame) -> DataFrame:
+def by_field(rows: DataFrame, keys: list[str] = KEY) -> DataFrame:
     """A row for each row and field: clean and raw value, and the row's flags that concern the field."""
     have = [f for f in FIELDS if f[0] in rows.columns and f[1] in rows.columns]
     parts = [F.struct(F.lit(i).alias("pos"), F.lit(c).alias("field"), F.col(c).alias("clean"), F.col(r).alias("raw"), F.array_intersect("validation_flags", strings([*flags, *GENERIC_FLAGS])).alias("flags")) for i, (c, r, flags) in enumerate(have)]
-    return rows.select(*KEY, F.inline(F.array(*parts)))
+    return rows.select(*keys, F.inline(F.array(*parts)))
 
 
 def is_hard(f: Column) -> Column:
     return f.rlike("^(?:missing_|multi_value_)|(?:_ocr_noise|_needs_review)$|^(?:glued_shares_nominal_raw|probable_row_fragment|probable_split_identity_prefix)$")
 
 
+def place_of(rows: DataFrame) -> Column:
+    """A value in the order of a row's key: of keys of whole numbers a decimal, which a hash aggregate keeps the least of; a
+    struct makes it sort. A row index is a count, so that its amount stays below 5e17; one beyond stops the query."""
+    kinds = dict(rows.dtypes)
+    if any(kinds[k] not in ("tinyint", "smallint", "int", "bigint") for k in KEY):
+        return F.struct(*KEY)
+    sample, index = (F.col(k).cast("decimal(19,0)") for k in KEY)
+    ok = F.coalesce(F.abs(index) < 5 * 10**17, F.lit(True))
+    low = F.when(ok, F.coalesce(index, F.lit(-5 * 10**17).cast("decimal(19,0)"))).otherwise(F.raise_error(F.lit("row_index is no count")).cast("decimal(19,0)"))
+    high = F.coalesce(sample, F.lit("-9500000000000000000").cast("decimal(19,0)")) * F.lit(10**18).cast("decimal(19,0)")
+    return (high + low).cast("decimal(38,0)")
+
+
+def patterns(rows: DataFrame) -> DataFrame:
+    """Rows as counts: for each set of flags, and of empty, null and other values of the fields, n and the first place_of() it.
+
+    The fields that rows have stand for any value of their kind: null, '' or 'x'.
+    """
+    have = [f for f in FIELDS if f[0] in rows.columns and f[1] in rows.columns]
+    cells = [c for f in have for c in f[:2]]
+    kind = lambda c: F.coalesce(F.when(F.btrim(c) == "", 1).when(F.btrim(c).isNotNull(), 0), F.lit(2)).cast("long")
+    code = reduce(lambda a, b: a + b, [kind(c) * 3**i for i, c in enumerate(cells)], F.lit(0).cast("long"))
+    seen = rows.select("validation_flags", code.alias("_code"), place_of(rows).alias("_place")).groupBy("validation_flags", "_code").agg(F.count("*").alias("_n"), F.min("_place").alias("_place"))
+    value = lambda i: F.element_at(F.array(F.lit("x"), F.lit(""), F.lit(None)), (F.expr(f"_code div {3**i}L % 3") + 1).cast("int"))
+    return seen.select("validation_flags", "_n", "_place", *[value(i).alias(c) for i, c in enumerate(cells)])
+
+
 def column_diagnostics(rows: DataFrame, most: int = 8) -> DataFrame:
     """Counts of empty, flagged, rescued and blank values of each field, with its most frequent flags.
 
-    Each row and field gives an item for its counts and one for each of its flags; they are counted in one pass, before the
-    shuffle, to a few hundred rows, from which both are read.
+    Rows are counted by their flags and empty values first. Each of these patterns and field gives an item for its counts
+    and one for each of its flags; they are counted in one pass to a few hundred rows, from which both are read.
     """
     blank = lambda c: F.btrim(c) == ""
     cases = {
@@ -58,8 +85,9 @@ def column_diagnostics(rows: DataFrame, most: int = 8) -> DataFrame:
         "rescued_or_inherited_rows": F.exists("flags", lambda f: f.rlike("rescued|_inherited$")),
         "likely_printed_blank_rows": F.exists("flags", lambda f: f.endswith("_likely_printed_blank")),
     }
-    items = by_field(rows).select("field", F.struct(*KEY).alias("key"), *[c.alias(n) for n, c in cases.items()], F.explode(F.concat(strings([""]), "flags")).alias("flag"))
-    seen = items.groupBy("field", "flag").agg(F.count("*").alias("n"), F.min(F.struct("key", "flag")).alias("first"), *[F.count_if(n).alias(n) for n in cases])
+    items = by_field(patterns(rows), ["_n", "_place"]).select("field", "_n", "_place", *[c.alias(n) for n, c in cases.items()], F.explode(F.concat(strings([""]), "flags")).alias("flag"))
+    count = lambda n: F.sum(F.when(F.col(n), F.col("_n")).otherwise(0))
+    seen = items.groupBy("field", "flag").agg(F.sum("_n").alias("n"), F.min(F.struct(F.col("_place").alias("key"), "flag")).alias("first"), *[count(n).alias(n) for n in cases])
     own = F.col("flag") == ""
     ranked = F.array_sort(F.collect_list(F.when(~own, F.struct((-F.col("n")).alias("n"), "first", "flag"))))
     out = seen.groupBy("field").agg(F.max(F.when(own, F.col("n"))).alias("total_rows"), *[F.max(F.when(own, F.col(n))).alias(n) for n in cases], ranked.alias("_f"))

@@ -95,3 +95,25 @@ def test_cells_are_shuffled_by_page_and_not_their_words(spark):
     plan = R.page_anchored_rows(spark, SF)._jdf.queryExecution().executedPlan().toString()
     last = plan.index("Exchange hashpartitioning(page")
     assert "REPARTITION_BY_NUM" in plan[last:].split("\n")[0] and plan.index("Generate inline") < last
+
+
+def test_diagnostics_count_rows_before_fields_and_flags_multiply_them(spark):
+    df = C.column_diagnostics(spark, SF)
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.rindex("Aggregate [validation_flags") > plan.rindex("Generate inline")
+    physical = df._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate(keys=[validation_flags" in physical and "SortAggregate(keys=[validation_flags" not in physical
+
+
+def test_diagnostics_of_null_and_odd_values(spark):
+    """Against plain counts; equal counts of flags go by the first row, whatever the type and sign of its key."""
+    from folioframe.operators import review as R
+
+    low, high = -(1 << 63), (1 << 63) - 1
+    data = [(high, 2, None, "a", ["missing_issuer"]), (low, 9, " ", None, ["text_in_close", "text_in_close"]), (low, -1, "", "b", ["issuer_inherited"]), (None, 5, "x", " ", ["text_in_compensation"]), (7, None, "x", "y", []), (8, 1, "x", "y", None)]
+    for key in ("bigint", "string"):
+        rows = spark.createDataFrame(data, "sample_id bigint, row_index bigint, issuer_name_clean string, issuer_name_raw string, validation_flags array<string>").withColumn("sample_id", F.col("sample_id").cast(key))
+        (r,) = R.column_diagnostics(rows).collect()
+        assert (r.total_rows, r.empty_clean, r.empty_raw, r.raw_present_clean_empty, r.clean_present_raw_empty, r.field_flagged_rows, r.field_review_rows, r.rescued_or_inherited_rows) == (5, 2, 1, 1, 1, 4, 1, 1)
+        first = [("text_in_compensation", (0,)), *sorted([("missing_issuer", (1, str(high) if key == "string" else high, 2)), ("text_in_close", (1, str(low) if key == "string" else low, 9)), ("issuer_inherited", (1, str(low) if key == "string" else low, -1))], key=lambda x: x[1])]
+        assert r.top_field_flags == "; ".join(f"{f}:1" for f, _ in first)
