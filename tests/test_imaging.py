@@ -140,3 +140,20 @@ def test_strips_and_overlays():
     assert large.shape == (60, 180) and set(np.unique(large)) <= {0, 255} and (large[20:40, 32:40] == 0).mean() > 0.9 and (large[:, 100:] == 255).all()
     seen = I.overlay(gray, [(5, 4, 30, 16), (50, -3, 90, 5)], [20, 500], [40])
     assert (seen[4:6, 5:30] == 90).all() and (seen[17:, 20] == 180).all() and (seen[:, 40] == 220).all() and (seen[0, 50:] == 90).all() and (seen[7:13, 11:13] == 40).all()
+
+
+def test_a_page_is_drawn_in_strips_of_bounded_size(monkeypatch):
+    """Against the whole image; one long line must not make every line of its page as wide."""
+    from folioframe.sources import rendering as R
+
+    r, sizes = rng(4), []
+    for k in range(30):
+        at = r.integers(0, 60, (40, 2)) * [1, 1 + k % 4]
+        boxes = np.concatenate([at, at + r.integers(1, 9, (40, 2))], 1)
+        c = I.components(R.drawn(boxes))
+        assert R.measured(boxes.ravel()) == (len(c), c[:, 4].sum(), c[:, 0].min(), c[:, 2].max(), c[:, 1].min(), c[:, 3].max())
+    whole = R.drawn
+    monkeypatch.setattr(R, "drawn", lambda b: (lambda m: sizes.append(m.size) or m)(whole(b)))
+    lines = [(0, 40 * k, 9000 if k == 70 else 50, 40 * k + 24) for k in range(1, 200)]
+    assert R.measured(np.array(lines)) == (199, 24 * (9000 + 198 * 50), 0, 9000, 40, 40 * 199 + 24)
+    assert max(sizes) <= 24 * 9000
