@@ -1,6 +1,7 @@
 """What a row costs: steps that are computed once stand once in the plan, and shorter forms give what the longer ones gave."""
 
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -65,6 +66,35 @@ def test_flags_are_made_in_one_step(spark):
     assert _times(C.equity_clean(spark, SF), "translate(") <= 14
 
 
+def test_no_text_is_mended_for_each_name_it_is_looked_for(spark):
+    """Spark copies what is used once into a function of array items: there it would be done for each of them."""
+    fields = "spark.sql.debug.maxToStringFields"
+    before = spark.conf.get(fields)
+    spark.conf.set(fields, "10000")
+    try:
+        plan = C.equity_clean(spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.set(fields, before)
+    assert not re.search(r"lambdafunction\((?i:contains)\((?:trim|lower|regexp_replace|translate)\(", plan)
+
+
+def test_mended_texts_equal_single_replacements(spark):
+    """ASCII texts pass by the replacements, others take one for both; names are held as they were one by one."""
+    from folioframe.functions import dates as D
+    from folioframe.functions import text as T
+
+    rng = random.Random(5)
+    texts = ["".join(rng.choice("aZ 0—ЧСТАлàÀéÈìÌòÒùÙ’'-\n\t\u00a0") for _ in range(rng.randint(0, 9))) + rng.choice(["", "", "Marzo", " sett", "DIVERSI", "ma r"]) for _ in range(2000)]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    t = F.col("t")
+    ocr = F.translate(t, "‐‑‒–—−ЧСТАл", "-------CTAl")
+    squeezed = F.regexp_replace(F.regexp_replace(F.translate(ocr, "{}|\\[]", " " * 6), r"(?U)\s+", " "), "^ | $", "")
+    looked = F.btrim(F.regexp_replace(F.translate(F.lower(ocr), "àèéìòù’", "aeeiou'"), "[^a-z0-9]+", " "))
+    month = F.exists(F.array(*[F.lit(k) for k, _ in D.MONTHS]), lambda k: F.contains(F.lower(t), k))
+    for a, b in ((T.ocr_text(t), ocr), (T.clean_text(t), squeezed), (T.lookup_text(t), looked), (D.has_month(t), month), (T.holds_any(F.lower(t), [k for k, _ in D.MONTHS]), month)):
+        assert not df.where(~a.eqNullSafe(b)).count()
+
+
 @pytest.mark.parametrize("name", ["words_to_lines", "row_records", "typed_cells", "line_types", "page_text", "parse_summary", "text_page_rows", "row_noise_signal", "cells_pivot", "merged_rules", "body_fraction_words", "row_cluster", "issuer_anchor_rows", "bond_anchor_split", "page_components"])
 def test_texts_are_shuffled_and_not_their_words(spark, name):
     plan = Q.QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
