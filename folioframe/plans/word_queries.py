@@ -230,10 +230,12 @@ def merged_rules(spark: SparkSession, d: str) -> DataFrame:
 @query("""SELECT page, anchor, count(*) AS n_words FROM (SELECT page, CASE WHEN (CASE WHEN lo IS NULL THEN hi - top WHEN hi IS NULL THEN top - lo ELSE least(top - lo, hi - top) END) <= tol THEN CASE WHEN lo IS NOT NULL AND (hi IS NULL OR top - lo <= hi - top) THEN i - 1 ELSE i END ELSE -1 END::BIGINT AS anchor
 FROM (SELECT page, top, tol, i, tops[i] AS lo, tops[i + 1] AS hi FROM (SELECT w.page, w.top, tops, tol, len(list_filter(tops, lambda t: t <= w.top)) AS i FROM v_words w JOIN (SELECT page, list(DISTINCT top ORDER BY top) FILTER (WHERE word_num = 1 AND line_num % 2 = 1) AS tops, greatest(26, round_even(median(bottom - top) * 1.15, 0)) AS tol FROM v_words GROUP BY page) USING (page)))) GROUP BY page, anchor""")
 def nearest_anchor(spark: SparkSession, d: str) -> DataFrame:
-    w = words(spark, d)
-    with_height = w.join(W.median_height(w), "page")
-    at = A.nearest_anchors(with_height, w.where("word_num = 1 AND line_num % 2 = 1"), A.anchor_tolerance(F.col("median_height")))
-    return at.groupBy("page", F.coalesce("anchor", F.lit(-1)).alias("anchor")).agg(F.count("*").alias("n_words"))
+    w = words(spark, d, together=True)
+    # words of one top have one anchor, and a page's median is that of its counted heights
+    tops = w.groupBy("page", "top", (F.col("bottom") - F.col("top")).alias("h")).agg(F.count("*").alias("n"), F.bool_or((F.col("word_num") == 1) & (F.col("line_num") % 2 == 1)).alias("is_anchor"))
+    tops = tops.withColumn("median_height", F.percentile("h", F.lit(0.5), F.col("n")).over(Window.partitionBy("page")))
+    at = A.nearest_anchors(tops.drop("h", "is_anchor"), tops.where("is_anchor"), A.anchor_tolerance(F.col("median_height")))
+    return at.groupBy("page", F.coalesce("anchor", F.lit(-1)).alias("anchor")).agg(F.sum("n").alias("n_words"))
 
 
 @query("""SELECT page, anchor, count(*) AS n_words FROM (SELECT w.page, CASE WHEN tops IS NOT NULL THEN greatest(len(list_filter(tops, lambda t: t <= w.top - 6)) - 1, 0) ELSE -1 END::BIGINT AS anchor FROM v_words w JOIN (SELECT page, list(DISTINCT top ORDER BY top) FILTER (WHERE word_num = 1) AS tops FROM v_words GROUP BY page) USING (page)) GROUP BY page, anchor""")

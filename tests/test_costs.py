@@ -108,6 +108,14 @@ def test_page_parts_grow_with_the_input(spark):
     assert "REPARTITION_BY_NUM" in plan and plan.count("Exchange hashpartitioning") == 2
 
 
+def test_words_of_a_top_are_counted_before_they_look_for_the_nearest_anchor(spark):
+    """And texts are shuffled, not their words."""
+    df = Q.nearest_anchor(spark, SF)
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" in plan and "Aggregate" in plan[plan.index("Union"):]
+    assert "REPARTITION_BY_NUM" in df._jdf.queryExecution().executedPlan().toString()
+
+
 def test_words_of_a_top_are_counted_before_they_look_for_an_anchor(spark):
     plan = Q.asof_anchor(spark, SF)._jdf.queryExecution().optimizedPlan().toString()
     assert "Union" in plan and "Aggregate" in plan[plan.index("Union"):]
