@@ -108,6 +108,19 @@ def test_page_parts_grow_with_the_input(spark):
     assert "REPARTITION_BY_NUM" in plan and plan.count("Exchange hashpartitioning") == 2
 
 
+def test_words_meet_the_bands_of_their_page_without_another_shuffle(spark):
+    """As they do where tables are too large for a broadcast."""
+    least = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(least)
+    spark.conf.set(least, "-1")
+    try:
+        plan = Q.backup_cell_texts(spark, SF)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(least, before)
+    shuffles = [x for x in plan.split("\n") if "Exchange hashpartitioning" in x]
+    assert shuffles and all("REPARTITION_BY_NUM" in x for x in shuffles)
+
+
 def test_words_of_a_top_are_counted_before_they_look_for_the_nearest_anchor(spark):
     """And texts are shuffled, not their words."""
     df = Q.nearest_anchor(spark, SF)
