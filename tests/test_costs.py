@@ -108,6 +108,12 @@ def test_page_parts_grow_with_the_input(spark):
     assert "REPARTITION_BY_NUM" in plan and plan.count("Exchange hashpartitioning") == 2
 
 
+def test_headings_of_pages_are_constants(spark):
+    from folioframe.sources.views import page_words
+
+    assert _times(page_words(spark, SF), "initcap(") == 0
+
+
 def test_words_meet_the_bands_of_their_page_without_another_shuffle(spark):
     """As they do where tables are too large for a broadcast."""
     least = "spark.sql.autoBroadcastJoinThreshold"
